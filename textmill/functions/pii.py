@@ -10,36 +10,49 @@ from pyspark.sql import functions as F
 from . import patterns as P
 
 
-def detect_pii(text: Column, entities: Sequence[str] = tuple(P.PII_ENTITIES),
-               max_chars: int = 10000, max_matches: int = 2) -> Column:
-    """struct<has_pii, pii_types, pii_count> over the first ``max_chars``
-    characters.  Entities are scanned in the given order and the scan stops
-    after ``max_matches`` hits in total (a budget <= 0 behaves as 1).  Each
-    entity contributes ``least(matches, budget left)`` hits, so one
-    ``regexp_count`` per entity replaces the sequential loop."""
+def pii_counts(text: Column, entities: Sequence[str] = tuple(P.PII_ENTITIES),
+               max_chars: int = 10000) -> Column:
+    """array<int> of match counts per entity over the first ``max_chars``
+    characters.  Stage it in its own column: ``detect_pii_from_counts``
+    reads each element several times."""
     scanned = F.substring(text, 1, max_chars) if max_chars and max_chars > 0 else text
+    out = []
+    for name in entities:
+        n = F.regexp_count(scanned, F.lit(P.PII_J[name]))
+        need = P.PII_REQUIRED.get(name)
+        if need:
+            n = F.when(scanned.contains(need), n).otherwise(F.lit(0))
+        out.append(n.cast("int"))
+    return F.array(*out) if out else F.array().cast("array<int>")
+
+
+def detect_pii_from_counts(counts: Column, entities: Sequence[str] = tuple(P.PII_ENTITIES),
+                           max_matches: int = 2) -> Column:
+    """struct<has_pii, pii_types, pii_count>: entities in the given order,
+    the scan stopping after ``max_matches`` hits in total (a budget <= 0
+    behaves as 1); entity i contributes ``least(n_i, budget left)``."""
+    entities = [e for e in entities if e in P.PII_J]
+    if not entities:
+        return empty_pii()
     budget = max(int(max_matches), 1)
     left = F.lit(budget)
-    parts = []
-    counts = []
-    for name in entities:
-        pattern = P.PII_J.get(name)
-        if pattern is None:
-            continue
-        n = F.regexp_count(scanned, F.lit(pattern))
-        k = F.least(n, F.greatest(left, F.lit(0)))
+    parts, ks = [], []
+    for i, name in enumerate(entities):
+        k = F.least(F.element_at(counts, i + 1), left)
         parts.append(F.array_repeat(F.lit(name), k))
-        counts.append(k)
-        left = left - k
-    if not parts:
-        return empty_pii()
-    types = F.flatten(F.array(*parts))
-    count = sum(counts[1:], counts[0]).cast("int")
-    return F.struct(
-        (count > 0).alias("has_pii"),
-        types.alias("pii_types"),
-        count.alias("pii_count"),
-    )
+        ks.append(k)
+        left = F.lit(budget) - sum(ks[1:], ks[0])
+    count = F.least(F.lit(budget), F.aggregate(counts, F.lit(0), lambda a, x: a + x)).cast("int")
+    return F.struct((count > 0).alias("has_pii"), F.flatten(F.array(*parts)).alias("pii_types"),
+                    count.alias("pii_count"))
+
+
+def detect_pii(text: Column, entities: Sequence[str] = tuple(P.PII_ENTITIES),
+               max_chars: int = 10000, max_matches: int = 2) -> Column:
+    """Single-expression form (fine for one use; stage ``pii_counts`` when
+    the result is read more than once)."""
+    entities = tuple(e for e in entities if e in P.PII_J)
+    return detect_pii_from_counts(pii_counts(text, entities, max_chars), entities, max_matches)
 
 
 def empty_pii() -> Column:

@@ -75,8 +75,8 @@ def decode_entities(c: Column) -> Column:
         hx = F.regexp_extract(p, ENTITY_HEX, 1)
         semi = F.regexp_extract(p, ENTITY_NAMED_SEMI, 1)
         bare = F.regexp_extract(p, ENTITY_NAMED_BARE, 1)
-        dec_n = dec.cast("int")
-        hex_n = F.conv(hx, 16, 10).cast("int")
+        dec_n = dec.try_cast("int")
+        hex_n = F.conv(hx, 16, 10).try_cast("int")
         valid = lambda n: (n > 0) & (n <= 0x10FFFF) & ~((n >= 0xD800) & (n <= 0xDFFF))
         return (
             F.when((dec != "") & valid(dec_n),

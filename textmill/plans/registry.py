@@ -176,3 +176,97 @@ FROM (SELECT page_id, url, dom, d, string_split(d, '.') AS parts FROM (
 def q_source_from_url(spark: SparkSession, sf: str) -> DataFrame:
     p = tables.table(spark, sf, "pages")
     return p.select("page_id", "url", source_from_url(F.col("url")).alias("source"))
+
+
+# --------------------------------------------------------------------------- D1-D21
+
+def _prefilter_sql() -> str:
+    m = "m"
+    prof = "(?i)" + "|".join(P.PROFANITY_TERMS_PY)
+    obf = "(?i)" + P.OBFUSCATED_PROFANITY_PATTERN_PY
+    caps = P.ALL_CAPS_WORD_PATTERN_PY
+    punct = P.REPEATED_PUNCT_PATTERN_PY
+    n = {k: S.count_matches(m, v) for k, v in (("prof", prof), ("obf", obf), ("punct", punct), ("caps", caps))}
+    ws = S.WS
+    allow = " OR ".join(f"contains(lower(text), {S.lit(p)})" for p in P.SAFE_ALLOWLIST_PHRASES)
+    return f"""
+WITH base AS (
+  SELECT doc_id, text, {S.ascii_word_map('text')} AS m,
+         regexp_replace(text, {S.lit('^' + ws + '+|' + ws + '+$')}, '', 'g') AS stripped,
+         CAST(length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) AS DOUBLE) / greatest(length(text), 1) AS ar
+  FROM documents),
+f AS (
+  SELECT doc_id, text, stripped, ar, {S.ascii_word_map('stripped')} AS ms,
+         {n['prof']} AS n_prof, {n['obf']} AS n_obf, {n['punct']} AS n_punct, {n['caps']} AS n_caps
+  FROM base),
+g AS (
+  SELECT *, greatest(CASE WHEN n_prof > 0 THEN 3 ELSE 0 END, CASE WHEN n_obf > 0 THEN 3 ELSE 0 END,
+                     CASE WHEN n_punct > 0 THEN 2 ELSE 0 END, CASE WHEN n_caps > 0 THEN 1 ELSE 0 END) AS sev0,
+         ar < 0.35 AS non_en,
+         length(stripped) <= 20 AND regexp_full_match(ms, {S.lit(S.py_to_re2(P.SAFE_SHORT_TEXT_PATTERN_PY[1:-1], False))}) AND ar >= 0.75 AS short,
+         regexp_matches(ms, {S.lit(P.SAFE_NUMERIC_PATTERN_PY)}) AS numeric,
+         regexp_matches(ms, {S.lit(P.SAFE_TIMESTAMP_PATTERN_PY)}) AS ts,
+         regexp_matches(ms, {S.lit('(?i)' + P.SAFE_URL_ONLY_PATTERN_PY)}) AS url,
+         regexp_matches(ms, {S.lit('(?i)' + P.SAFE_FORMAL_TEMPLATE_PATTERN_PY)}) AS formal,
+         regexp_matches(ms, {S.lit('(?m)' + chr(92) + 'A```[' + chr(92) + 's' + chr(92) + 'S]+```$')}) AS code,
+         ({allow}) AS allow
+  FROM f),
+h AS (
+  SELECT *, CASE WHEN short THEN least(CASE WHEN non_en THEN greatest(sev0, 1) ELSE sev0 END, 1)
+                 ELSE CASE WHEN non_en THEN greatest(sev0, 1) ELSE sev0 END END AS sev,
+         list_filter(['suspect_pattern', 'non_english_like', 'short_neutral', 'numeric_like', 'timestamp_like',
+                      'url_only', 'formal_template', 'code_block', 'allowlist_phrase'],
+                     lambda r, i: [sev0 > 0, non_en, short, numeric, ts, url, formal, code, allow][i]) AS reasons
+  FROM g)
+SELECT doc_id AS original_index,
+       CASE WHEN text IS NULL OR stripped = '' THEN 'safe' WHEN sev >= 2 THEN 'suspect' WHEN sev = 1 THEN 'unknown'
+            WHEN len(reasons) > 0 THEN 'safe' ELSE 'unknown' END AS tag,
+       CASE WHEN text IS NULL OR stripped = '' THEN NULL ELSE CAST(sev AS INTEGER) END AS severity,
+       CASE WHEN text IS NULL OR stripped = '' THEN ['empty'] ELSE reasons END AS reasons,
+       CAST(CASE WHEN text IS NULL OR stripped = '' THEN 0 ELSE n_prof + n_obf + n_punct + n_caps END AS INTEGER) AS n_spans
+FROM h
+"""
+
+
+@register("prefilter", _prefilter_sql())
+def q_prefilter(spark: SparkSession, sf: str) -> DataFrame:
+    from ..functions import safety as SF
+    d = SF.add_prefilter(tables.documents(spark, sf))
+    return d.select("original_index", "prefilter.tag", F.col("prefilter.metadata.severity").alias("severity"),
+                    "prefilter.reasons", F.size("prefilter.suspect_spans").cast("int").alias("n_spans"))
+
+
+def _safety_annotated(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import safety
+    return safety.annotate(tables.documents(spark, sf))
+
+
+@register("toxicity_score")
+def q_toxicity_score(spark: SparkSession, sf: str) -> DataFrame:
+    return _safety_annotated(spark, sf).select(
+        "original_index", "toxicity.is_toxic", "toxicity.score", "toxicity.flagged_tokens", "toxicity.char_span",
+        F.col("toxicity.signals.window_count").alias("window_count"))
+
+
+@register("safety_filter")
+def q_safety_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return _safety_annotated(spark, sf).select("original_index", "drop_reason", "pii.pii_types",
+                                               "prefilter.tag", "toxicity.score")
+
+
+@register("safety_metrics")
+def q_safety_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import safety
+    return safety.metrics(_safety_annotated(spark, sf))
+
+
+@register("flagged_tokens")
+def q_flagged_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import safety
+    return safety.flagged_token_top(_safety_annotated(spark, sf), 20)
+
+
+@register("pii_type_counts")
+def q_pii_type_counts(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import safety
+    return safety.pii_type_counts(_safety_annotated(spark, sf))
