@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
 from ..config import DedupConfig
 from ..functions import text as TX
@@ -64,13 +65,18 @@ def annotate_exact(df: DataFrame, squeeze_punct: bool = False) -> DataFrame:
 # E5 shingles
 # ---------------------------------------------------------------------------
 
-def shingles(canonical: Column) -> Column:
-    """Distinct word 3-grams of the canonical text (split on whitespace)."""
-    words = F.split(F.trim(canonical), r"\s+")
+def add_shingles(df: DataFrame, canonical_col: str = "canonical_text", out: str = "shingles") -> DataFrame:
+    """Distinct word 3-grams of the canonical text (split on whitespace).
+
+    The word array is projected into its own column first: a lambda that
+    referenced the split expression would re-split the text per 3-gram."""
+    staged = df.withColumn("_words", F.split(F.trim(F.col(canonical_col)), r"\s+"))
+    words = F.col("_words")
     n = F.size(words)
-    grams = F.transform(F.sequence(F.lit(1), n - 2),
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))),
                         lambda i: F.array_join(F.slice(words, i, 3), " "))
-    return F.when(n >= 3, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    return staged.withColumn(out, F.when(n >= 3, F.array_distinct(grams))
+                             .otherwise(F.array().cast("array<string>"))).drop("_words")
 
 
 # ---------------------------------------------------------------------------
@@ -95,8 +101,8 @@ def _mulmod61(x: np.ndarray, a: np.ndarray) -> np.ndarray:
     a_hi = a >> np.uint64(31)
     lo = (x * a_lo) % _MERSENNE
     hi = ((x * a_hi) % _MERSENNE)
-    # hi * 2^31 mod p, in two 16/15-bit steps to stay below 2^64
-    hi = ((hi << np.uint64(15)) % _MERSENNE << np.uint64(16)) % _MERSENNE
+    # hi * 2^31 mod p: since 2^61 = 1 (mod p) this is a 61-bit rotation
+    hi = (((hi << np.uint64(31)) & _MERSENNE) + (hi >> np.uint64(30))) % _MERSENNE
     return (lo + hi) % _MERSENNE
 
 
@@ -125,3 +131,146 @@ def signature(shingle_col: Column, cfg: DedupConfig) -> Column:
     integer arrays cross into Python."""
     hashed = F.transform(shingle_col, lambda s: F.xxhash64(s))
     return minhash_udf(cfg.num_perm, cfg.seed)(hashed)
+
+
+# ---------------------------------------------------------------------------
+# E7-E8 candidate pairs and verification
+# ---------------------------------------------------------------------------
+
+def _reps(fp: DataFrame, cfg: DedupConfig) -> DataFrame:
+    """Compact table (index, shingles or signature, ``_copy``) for the
+    near-duplicate joins.  ``_rep_key`` identifies equal representations
+    (equal signature, or equal shingle set in exact mode), whose later
+    members are duplicates of the first.  The table is read by several
+    joins, so it is checkpointed once (shared checkpoint folder): the
+    signature UDF runs once per row and lineage stays short."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(fp.sparkSession)
+    out = add_shingles(fp.select(IDX, "canonical_text")).drop("canonical_text")
+    if cfg.verify == "exact":
+        out = out.withColumn("_rep_key", F.sha2(F.array_join(F.array_sort("shingles"), "\u0001"), 256))
+    else:
+        out = out.withColumn("sig", signature(F.col("shingles"), cfg)).drop("shingles")
+        out = out.withColumn("_rep_key", F.sha2(F.array_join(F.transform("sig", lambda x: x.cast("string")), ","), 256))
+    out = out.checkpoint(eager=True)
+    return first_of_group(out, "_rep_key", "_copy")
+
+
+def minhash_candidates(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
+    """(i, j), i < j, sharing at least one LSH band.  Bands are explode'd as
+    (band, 64-bit hash of the band's slots); the self equi-join on
+    (band, hash) only carries indices, never signatures."""
+    r = cfg.rows_per_band
+    bands = F.transform(F.sequence(F.lit(0), F.lit(cfg.bands - 1)),
+                        lambda b: F.struct(b.alias("band"), F.xxhash64(F.slice("sig", b * r + 1, r)).alias("bh")))
+    ex = reps.select(IDX, F.explode(bands).alias("b")).select(IDX, "b.band", "b.bh")
+    a, b = ex.alias("a"), ex.alias("b")
+    return (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.bh") == F.col("b.bh"))
+                   & (F.col(f"a.{IDX}") < F.col(f"b.{IDX}")))
+            .select(F.col(f"a.{IDX}").alias("i"), F.col(f"b.{IDX}").alias("j")).distinct())
+
+
+def prefix_candidates(reps: DataFrame, threshold: float) -> DataFrame:
+    """(i, j), i < j, that can reach Jaccard >= threshold: the exact prefix
+    filter.  Shingles are ordered rarest first (global document frequency);
+    two sets with Jaccard >= t share a shingle within their first
+    ``|A| - ceil(t*|A|) + 1`` shingles, and their sizes differ by at most
+    the factor t.  No candidate is lost, so no cap is needed."""
+    ex = reps.select(IDX, F.explode("shingles").alias("sh"), F.size("shingles").alias("n"))
+    df_ = ex.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
+    ranked = ex.join(df_, "sh").withColumn(
+        "rk", F.row_number().over(Window.partitionBy(IDX).orderBy("df", "sh")))
+    plen = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
+    pre = ranked.filter(F.col("rk") <= plen).select(IDX, "sh", "n")
+    a, b = pre.alias("a"), pre.alias("b")
+    cond = ((F.col("a.sh") == F.col("b.sh")) & (F.col(f"a.{IDX}") < F.col(f"b.{IDX}"))
+            & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * F.lit(threshold) - F.lit(1e-9)))
+    return a.join(b, cond).select(F.col(f"a.{IDX}").alias("i"), F.col(f"b.{IDX}").alias("j")).distinct()
+
+
+def verified_edges(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
+    """Candidate pairs whose similarity is strictly above the threshold:
+    share of equal signature slots (minhash) or exact Jaccard of the
+    shingle sets (exact)."""
+    if cfg.verify == "exact":
+        cands = prefix_candidates(reps, cfg.threshold)
+        val = "shingles"
+    else:
+        cands = minhash_candidates(reps, cfg)
+        val = "sig"
+    side = reps.select(F.col(IDX).alias("_id"), F.col(val).alias("_v"))
+    left = cands.join(side.withColumnRenamed("_v", "va"), F.col("i") == F.col("_id")).drop("_id")
+    both = left.join(side.withColumnRenamed("_v", "vb"), F.col("j") == F.col("_id")).drop("_id")
+    if cfg.verify == "exact":
+        inter = F.size(F.array_intersect("va", "vb"))
+        union = F.size(F.array_union("va", "vb"))
+        sim = F.when(union == 0, F.lit(1.0)).otherwise(inter / union)
+    else:
+        eq = F.size(F.filter(F.zip_with("va", "vb", lambda x, y: x == y), lambda e: e))
+        sim = eq / F.lit(float(cfg.num_perm))
+    return both.select("i", "j", sim.alias("similarity")).filter(F.col("similarity") > F.lit(cfg.threshold))
+
+
+# ---------------------------------------------------------------------------
+# E9 greedy first-occurrence-wins
+# ---------------------------------------------------------------------------
+
+def greedy_dropped(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """Indices dropped by the sequential rule "in order, drop a row iff it
+    is similar to an earlier kept row", computed in rounds: an undecided row
+    with no undecided smaller neighbour is kept, and its larger neighbours
+    are dropped.  Each round's state is checkpointed (shared checkpoint
+    folder), so lineage stays short and lost executors recompute one round.
+    Rows without an edge are kept and never enter the loop."""
+    e = edges.select("i", "j")
+    spark = e.sparkSession
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    dropped = None
+    for _ in range(max_rounds):
+        e = e.checkpoint(eager=True)
+        if e.isEmpty():
+            return dropped if dropped is not None else spark.createDataFrame([], f"{IDX} long")
+        # rows with an undecided smaller neighbour must wait
+        waiting = e.select(F.col("j").alias("v")).distinct()
+        kept_now = e.select(F.col("i").alias("v")).distinct().join(waiting, "v", "left_anti")
+        newly = (e.join(kept_now.withColumnRenamed("v", "i"), "i", "left_semi")
+                 .select(F.col("j").alias(IDX)).distinct())
+        newly = newly.checkpoint(eager=True)
+        dropped = newly if dropped is None else dropped.unionByName(newly)
+        # decided rows leave the graph: kept sources and dropped targets
+        gone = kept_now.withColumnRenamed("v", "x").unionByName(newly.withColumnRenamed(IDX, "x"))
+        e = (e.join(gone.withColumnRenamed("x", "i"), "i", "left_anti")
+              .join(gone.withColumnRenamed("x", "j"), "j", "left_anti"))
+    raise RuntimeError(f"greedy dedup did not converge in {max_rounds} rounds")
+
+
+def annotate_near(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
+    """All rows with text, fingerprinted, with ``is_duplicate`` by the
+    near-duplicate rule (first occurrence wins)."""
+    fp = fingerprint(df, cfg.squeeze_punct).filter(F.col("content_hash").isNotNull())
+    reps = _reps(fp, cfg)
+    dropped = greedy_dropped(verified_edges(reps.filter(~F.col("_copy")), cfg), cfg.max_rounds)
+    decided = (reps.select(IDX, "_copy").join(dropped.withColumn("_dropped", F.lit(True)), IDX, "left")
+               .select(IDX, (F.col("_copy") | F.coalesce("_dropped", F.lit(False))).alias("is_duplicate")))
+    return fp.join(decided, IDX, "inner")
+
+
+def deduplicate(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
+    """Dispatch on ``cfg.method`` (case-folded): minhash | hash | none."""
+    method = "none" if cfg.method is None else str(cfg.method).lower()
+    if method == "none":
+        return fingerprint(df, cfg.squeeze_punct).withColumn("is_duplicate", F.lit(False))
+    if method == "hash":
+        return annotate_exact(df, cfg.squeeze_punct)
+    if method == "minhash":
+        return annotate_near(df, cfg)
+    raise ValueError(f"Unknown deduplication method: {cfg.method}")
+
+
+def metrics(annotated: DataFrame) -> DataFrame:
+    total = F.count(F.lit(1))
+    dups = F.count_if(F.col("is_duplicate"))
+    return annotated.agg(total.alias("total_samples"), (total - dups).alias("kept_samples"),
+                         dups.alias("duplicates_removed"),
+                         F.when(total > 0, dups / total).otherwise(F.lit(0.0)).alias("duplicate_rate"))

@@ -270,3 +270,87 @@ def q_flagged_tokens(spark: SparkSession, sf: str) -> DataFrame:
 def q_pii_type_counts(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import safety
     return safety.pii_type_counts(_safety_annotated(spark, sf))
+
+
+# --------------------------------------------------------------------------- E5-E9
+
+def _shingle_sql() -> str:
+    canon = S.canonical("text")
+    return f"""
+SELECT doc_id, w, len(w) AS nw FROM (
+  SELECT doc_id, CASE WHEN c = '' THEN [] ELSE string_split(c, ' ') END AS w
+  FROM (SELECT doc_id, {canon} AS c FROM documents WHERE text IS NOT NULL AND text <> '')
+  WHERE c <> '')
+"""
+
+
+_SH = f"""
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(list_transform(range(1, greatest(nw - 1, 1)),
+           lambda i: array_to_string(w[i:i + 2], ' ')))) AS sh
+  FROM ({_shingle_sql()})),
+sets2 AS (SELECT doc_id, CASE WHEN len(sh) > 0 AND len(sh[1]) > 0 THEN sh ELSE [] END AS sh FROM sets),
+keyed AS (SELECT doc_id, sh, md5(array_to_string(sh, chr(1))) AS k FROM sets2),
+reps AS (SELECT doc_id, sh, k, doc_id <> min(doc_id) OVER (PARTITION BY k) AS copy FROM keyed),
+r AS (SELECT doc_id, sh FROM reps WHERE NOT copy),
+tok AS (SELECT doc_id, unnest(sh) AS t, len(sh) AS n FROM r),
+pairs AS (
+  SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS inter, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+edges AS (SELECT i, j FROM pairs WHERE CAST(inter AS DOUBLE) / (na + nb - inter) > 0.9)
+"""
+
+
+@register("shingles", f"""
+WITH {_SH.strip()}
+SELECT doc_id AS original_index, CAST(len(sh) AS INTEGER) AS n_shingles FROM sets2
+""")
+def q_shingles(spark: SparkSession, sf: str) -> DataFrame:
+    fp = dedup.fingerprint(tables.documents(spark, sf)).filter(F.col("content_hash").isNotNull())
+    return dedup.add_shingles(fp).select("original_index", F.size("shingles").cast("int").alias("n_shingles"))
+
+
+_EXACT = None
+
+
+def _exact_cfg():
+    from ..config import DedupConfig
+    return DedupConfig(verify="exact")
+
+
+@register("near_dup_pairs", f"""
+WITH {_SH.strip()}
+SELECT i, j FROM edges
+""")
+def q_near_dup_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = _exact_cfg()
+    fp = dedup.fingerprint(tables.documents(spark, sf)).filter(F.col("content_hash").isNotNull())
+    reps = dedup._reps(fp, cfg).filter(~F.col("_copy"))
+    return dedup.verified_edges(reps, cfg).select("i", "j")
+
+
+@register("dedup_greedy", f"""
+WITH RECURSIVE {_SH.strip()},
+nodes AS (SELECT v, row_number() OVER (ORDER BY v) AS rn FROM (SELECT i AS v FROM edges UNION SELECT j FROM edges)),
+walk(rn, kept) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT n.rn,
+         CASE WHEN len(list_filter(w.kept, lambda x: list_contains(n.nb, x))) > 0 THEN w.kept
+              ELSE list_append(w.kept, n.v) END
+  FROM walk w JOIN (SELECT nodes.v, nodes.rn, coalesce((SELECT list(e.i) FROM edges e WHERE e.j = nodes.v), []) AS nb FROM nodes) n
+    ON n.rn = w.rn + 1),
+final AS (SELECT kept FROM walk ORDER BY rn DESC LIMIT 1)
+SELECT doc_id AS original_index,
+       copy OR (doc_id IN (SELECT v FROM nodes) AND NOT list_contains((SELECT kept FROM final), doc_id)) AS is_duplicate
+FROM reps
+""")
+def q_dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.annotate_near(tables.documents(spark, sf), _exact_cfg()).select("original_index", "is_duplicate")
+
+
+@register("dedup_minhash")
+def q_dedup_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    from ..config import DedupConfig
+    return dedup.annotate_near(tables.documents(spark, sf), DedupConfig()).select(
+        "original_index", "content_hash", "is_duplicate")
