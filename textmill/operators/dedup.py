@@ -107,6 +107,11 @@ def _mulmod61(x: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def minhash_udf(num_perm: int = 128, seed: int = 1):
+    from pyspark.sql import SparkSession
+    from ..session import ship_package
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     a, b = _perm_params(num_perm, seed)
 
     @F.pandas_udf(T.ArrayType(T.LongType()))

@@ -354,3 +354,138 @@ def q_dedup_minhash(spark: SparkSession, sf: str) -> DataFrame:
     from ..config import DedupConfig
     return dedup.annotate_near(tables.documents(spark, sf), DedupConfig()).select(
         "original_index", "content_hash", "is_duplicate")
+
+
+# --------------------------------------------------------------------------- F1-F4
+
+def _tokenized(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import tokens
+    return tokens.annotate(tables.documents(spark, sf))
+
+
+@register("tokenize")
+def q_tokenize(spark: SparkSession, sf: str) -> DataFrame:
+    return _tokenized(spark, sf).select("original_index", "drop_reason", "encoded_count", "token_count")
+
+
+@register("token_metrics")
+def q_token_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import tokens
+    return tokens.metrics(_tokenized(spark, sf))
+
+
+# --------------------------------------------------------------------------- I2-I6, J1-J9
+
+def _training_cfg():
+    from ..config import TrainingConfig
+    return TrainingConfig(vocab_size=1 << 28, shard_size=50, shuffle_key="md5", eos_token=50256)
+
+
+def _hashed_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned documents with word-hash tokens (SQL-reproducible)."""
+    from ..operators import tokens
+    d = cleaning.kept(cleaning.annotate(tables.documents(spark, sf), CLEAN))
+    t = tokens.word_hash_tokens(F.col("text"))
+    return d.withColumn("tokens", t).withColumn("token_count", F.size(t).cast("int"))
+
+
+_SQL_WORDS = r"[\s\p{Z}\x0b\x1c-\x1f\x85]+"
+_SQL_DOCS = f"""
+cl AS ({_clean_sql("documents", "doc_id", "text")}),
+hd AS (SELECT original_index, text, char_length,
+         list_transform(list_filter(string_split_regex(text, {S.lit(_SQL_WORDS)}), lambda w: w <> ''),
+                        lambda w: CAST(('0x' || substr(md5(w), 1, 7)) AS INTEGER)) AS tokens
+       FROM cl WHERE drop_reason IS NULL)
+"""
+
+
+@register("preconditions", f"""
+WITH {_SQL_DOCS.strip()}
+SELECT original_index,
+       NOT (len(tokens) = 0 OR char_length < 80 OR len(tokens) < 20) AS valid,
+       CASE WHEN len(tokens) = 0 THEN 'empty_tokens'
+            WHEN char_length < 80 THEN 'too_few_chars_' || CAST(char_length AS VARCHAR)
+            WHEN len(tokens) < 20 THEN 'too_few_tokens_' || CAST(len(tokens) AS VARCHAR) END AS drop_reason
+FROM hd
+""")
+def q_preconditions(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    v = training.validate_preconditions(_hashed_docs(spark, sf), _training_cfg())
+    return v.select("original_index", "valid", "drop_reason")
+
+
+def _unredacted_sql(x: str) -> str:
+    m = S.ascii_word_map(x)
+    return " OR ".join(f"regexp_matches({m}, {S.lit(P.PII_PATTERNS_PY[n])})"
+                       for n in ("EMAIL_ADDRESS", "PHONE_NUMBER", "CREDIT_CARD"))
+
+
+@register("consistency", f"""
+WITH {_SQL_DOCS.strip()}
+SELECT original_index,
+       CASE WHEN len(tokens) = 0 THEN 'empty_sequence'
+            WHEN len(list_filter(tokens, lambda t: t < 0 OR t > {(1 << 28) - 1})) > 0 THEN 'out_of_vocab'
+            WHEN ({_unredacted_sql('text')}) THEN 'unredacted_pii' END AS consistency_reason
+FROM hd WHERE NOT (len(tokens) = 0 OR char_length < 80 OR len(tokens) < 20)
+""")
+def q_consistency(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    cfg = _training_cfg()
+    v = training.validate_preconditions(_hashed_docs(spark, sf), cfg)
+    return training.consistency_pass(v, cfg).select("original_index", "consistency_reason")
+
+
+_SQL_BLOCKS = f"""
+d AS (SELECT original_index, tokens, len(tokens) AS n FROM hd WHERE len(tokens) > 0),
+s AS (SELECT original_index, list_append(tokens, 50256) AS st,
+        coalesce(sum(n + 1) OVER (ORDER BY original_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM d),
+tot AS (SELECT coalesce(sum(n + 1), 0) - 1 AS total FROM d),
+nb AS (SELECT total // 2048 + CASE WHEN total % 2048 > 0 AND total % 2048 >= 1024 THEN 1 ELSE 0 END AS nblocks FROM tot),
+flat AS (SELECT start + generate_subscripts(st, 1) - 1 AS pos, unnest(st) AS tok FROM s),
+blocks AS (SELECT pos // 2048 AS block_index, list(tok ORDER BY pos) AS tokens
+           FROM flat, tot, nb WHERE pos < total AND pos // 2048 < nblocks GROUP BY pos // 2048)
+"""
+
+
+@register("pack_blocks", f"""
+WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()}
+SELECT CAST(block_index AS BIGINT) AS block_index, CAST(len(tokens) AS INTEGER) AS token_count, tokens,
+       printf('block_%08d', block_index) AS sample_id, block_index > 0 AS is_continuation
+FROM blocks
+""")
+def q_pack_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), _training_cfg())
+    return blocks.select("block_index", "token_count", "tokens", "sample_id", "is_continuation")
+
+
+@register("shard_meta", f"""
+WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()},
+ranked AS (SELECT block_index, len(tokens) AS token_count,
+             row_number() OVER (ORDER BY CAST(('0x' || substr(md5('42:' || CAST(block_index AS VARCHAR)), 1, 15)) AS BIGINT), block_index) - 1 AS rk
+           FROM blocks)
+SELECT CAST(rk // 50 AS INTEGER) AS shard_id, CAST(count(*) AS BIGINT) AS num_samples,
+       CAST(sum(token_count) AS BIGINT) AS num_tokens, avg(token_count) AS avg_tokens,
+       CAST(min(token_count) AS INTEGER) AS min_tokens, CAST(max(token_count) AS INTEGER) AS max_tokens,
+       printf('training_shard_%05d.jsonl', CAST(rk // 50 AS INTEGER)) AS filename
+FROM ranked GROUP BY rk // 50
+""")
+def q_shard_meta(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    cfg = _training_cfg()
+    blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), cfg)
+    return training.shard_meta(training.shuffle_and_shard(blocks, cfg))
+
+
+@register("mixture", f"""
+WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()},
+sh AS (SELECT DISTINCT CAST((row_number() OVER (ORDER BY block_index) - 1) // 50 AS INTEGER) AS shard_id FROM blocks)
+SELECT 'web' AS name, list_sort(list(printf('training_shard_%05d.jsonl', shard_id))) AS shards, 1.0 AS weight,
+       'unknown' AS license, CAST(count(*) AS INTEGER) AS total_shards, 1.0 AS total_weight FROM sh
+""")
+def q_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    cfg = _training_cfg()
+    blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), cfg)
+    return training.mixture(training.shard_meta(training.shuffle_and_shard(blocks, cfg)))

@@ -55,3 +55,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster, since the cluster names that folder)."""
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``textmill`` importable in Python workers (UDFs reference its
+    functions): zip the package into the shared folder once per session and
+    register it with ``addPyFile``, which distributes it to every executor."""
+    if spark.conf.get("textmill.shipped", "false") == "true":
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_path(spark, "pyfiles")
+    local_base = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local_base:  # a remote shared folder: build locally, then add by URI
+        local_base = os.path.join(tempfile.mkdtemp(prefix="textmill-zip-"), "textmill")
+    os.makedirs(os.path.dirname(local_base) or ".", exist_ok=True)
+    archive = shutil.make_archive(local_base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="textmill")
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("textmill.shipped", "true")
