@@ -489,3 +489,58 @@ def q_mixture(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _training_cfg()
     blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), cfg)
     return training.mixture(training.shard_meta(training.shuffle_and_shard(blocks, cfg)))
+
+
+# --------------------------------------------------------------------------- G1-G4
+
+_PPL_WORDS = r"[^\p{L}\p{N}']+"
+_PPL_SQL = f"""
+nb AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND trim(text) <> ''),
+s AS (SELECT doc_id, text FROM nb ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 1000),
+ws AS (SELECT doc_id, list_filter(string_split_regex(lower(text), {S.lit(_PPL_WORDS)}), lambda w: w <> '') AS w FROM s),
+pairs AS (SELECT doc_id, unnest(w[1:len(w) - 1]) AS prev, unnest(w[2:len(w)]) AS cur FROM ws WHERE len(w) >= 2),
+cw AS (SELECT list_filter(string_split_regex(lower(text), {S.lit(_PPL_WORDS)}), lambda w: w <> '') AS w
+       FROM documents WHERE text IS NOT NULL),
+cp AS (SELECT unnest(w[1:len(w) - 1]) AS prev, unnest(w[2:len(w)]) AS cur FROM cw WHERE len(w) >= 2),
+big AS (SELECT prev, cur, count(*) AS c2 FROM cp GROUP BY prev, cur),
+uni AS (SELECT prev, count(*) AS c1 FROM (SELECT unnest(w) AS prev FROM cw) GROUP BY prev),
+v AS (SELECT count(DISTINCT x) AS v FROM (SELECT unnest(w) AS x FROM cw)),
+scores AS (
+  SELECT s.doc_id, exp(-avg(CASE WHEN pairs.prev IS NOT NULL THEN ln(coalesce(big.c2, 0) + 1.0) - ln(coalesce(uni.c1, 0) + 1.0 * v.v) END)) AS perplexity
+  FROM s LEFT JOIN pairs ON pairs.doc_id = s.doc_id
+         LEFT JOIN big ON big.prev = pairs.prev AND big.cur = pairs.cur
+         LEFT JOIN uni ON uni.prev = pairs.prev, v
+  GROUP BY s.doc_id)
+"""
+
+
+def _ppl_scores(spark: SparkSession, sf: str) -> DataFrame:
+    from ..config import PerplexityConfig
+    from ..operators import perplexity
+    cfg = PerplexityConfig()
+    docs = tables.documents(spark, sf)
+    return perplexity.score_sample(docs, perplexity.sample(docs, cfg, key="md5"), cfg)
+
+
+@register("perplexity_sample", f"""
+WITH {_PPL_SQL.strip()}
+SELECT doc_id AS original_index, round(perplexity, 6) AS perplexity FROM scores
+""")
+def q_perplexity_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return _ppl_scores(spark, sf).select("original_index", F.round("perplexity", 6).alias("perplexity"))
+
+
+@register("perplexity_stats", f"""
+WITH {_PPL_SQL.strip()}
+SELECT CAST(count(perplexity) AS BIGINT) AS samples_evaluated, round(avg(perplexity), 4) AS mean_perplexity,
+       round(quantile_cont(perplexity, 0.5), 4) AS median_perplexity, round(stddev_pop(perplexity), 4) AS std_perplexity,
+       round(min(perplexity), 4) AS min_perplexity, round(max(perplexity), 4) AS max_perplexity,
+       round(quantile_cont(perplexity, 0.25), 4) AS p25_perplexity, round(quantile_cont(perplexity, 0.75), 4) AS p75_perplexity
+FROM scores
+""")
+def q_perplexity_stats(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import perplexity
+    st = perplexity.stats(_ppl_scores(spark, sf))
+    cols = ["mean_perplexity", "median_perplexity", "std_perplexity", "min_perplexity", "max_perplexity",
+            "p25_perplexity", "p75_perplexity"]
+    return st.select("samples_evaluated", *[F.round(c, 4).alias(c) for c in cols])
