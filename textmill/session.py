@@ -32,6 +32,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # the rule expressions are large; plan strings nest them per stage
+        .config("spark.sql.maxPlanStringLength", "200000")
+        .config("spark.sql.debug.maxToStringFields", "100")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
