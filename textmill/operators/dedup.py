@@ -65,45 +65,62 @@ def annotate_exact(df: DataFrame, squeeze_punct: bool = False) -> DataFrame:
 # E5 shingles
 # ---------------------------------------------------------------------------
 
-def add_shingles(df: DataFrame, canonical_col: str = "canonical_text", out: str = "shingles") -> DataFrame:
-    """Distinct word 3-grams of the canonical text (split on whitespace).
+# Every overlapping window of three space-separated words, captured by a
+# zero-width match at each word start (one JVM regex pass, no lambda).
+_TRIGRAM = r"(?<![^ ])(?=([^ ]+ [^ ]+ [^ ]+))"
+
 
-    The word array is projected into its own column first: a lambda that
-    referenced the split expression would re-split the text per 3-gram."""
-    staged = df.withColumn("_words", F.split(F.trim(F.col(canonical_col)), r"\s+"))
-    words = F.col("_words")
-    n = F.size(words)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 2, F.lit(1))),
-                        lambda i: F.array_join(F.slice(words, i, 3), " "))
-    return staged.withColumn(out, F.when(n >= 3, F.array_distinct(grams))
-                             .otherwise(F.array().cast("array<string>"))).drop("_words")
+def add_shingles(df: DataFrame, canonical_col: str = "canonical_text", out: str = "shingles") -> DataFrame:
+    """Distinct word 3-grams of the canonical text.  The canonical text has
+    single spaces between words and none at the ends, so its words are
+    exactly the space-separated pieces."""
+    grams = F.regexp_extract_all(F.col(canonical_col), F.lit(_TRIGRAM), 1)
+    return df.withColumn(out, F.coalesce(F.array_distinct(grams), F.array().cast("array<string>")))
 
 
 # ---------------------------------------------------------------------------
 # E6 MinHash signature (Arrow batch UDF; numpy over the whole batch)
 # ---------------------------------------------------------------------------
 
-_MERSENNE = np.uint64((1 << 61) - 1)
-_MAX_HASH = np.uint64((1 << 32) - 1)
+_MASK32 = np.uint64((1 << 32) - 1)
+_CHUNK = 1 << 13  # shingles hashed per numpy step (x 128 lanes): small temporaries
 
 
 def _perm_params(num_perm: int, seed: int):
+    """Multiply-shift family h_k(x) = ((a_k * x + b_k) mod 2^64) >> 32 with
+    odd a_k: universal for 32-bit keys, two integer ops per lane."""
     rng = np.random.RandomState(seed)
-    a = rng.randint(1, (1 << 61) - 1, size=num_perm, dtype=np.uint64)
-    b = rng.randint(0, (1 << 61) - 1, size=num_perm, dtype=np.uint64)
+    a = rng.randint(0, 1 << 62, size=num_perm, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    b = rng.randint(0, 1 << 62, size=num_perm, dtype=np.uint64)
     return a, b
 
 
-def _mulmod61(x: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """(x * a) mod (2^61 - 1) for x < 2^32, a < 2^61 without overflow:
-    split a into 31-bit halves."""
-    a_lo = a & np.uint64((1 << 31) - 1)
-    a_hi = a >> np.uint64(31)
-    lo = (x * a_lo) % _MERSENNE
-    hi = ((x * a_hi) % _MERSENNE)
-    # hi * 2^31 mod p: since 2^61 = 1 (mod p) this is a 61-bit rotation
-    hi = (((hi << np.uint64(31)) & _MERSENNE) + (hi >> np.uint64(30))) % _MERSENNE
-    return (lo + hi) % _MERSENNE
+def minhash_batch(hash_lists, num_perm: int = 128, seed: int = 1) -> list:
+    """Signatures for a batch: all shingle hashes of the batch are hashed
+    in chunks of one matrix each and reduced per document with
+    ``np.minimum.reduceat``; a document without shingles gets all-max."""
+    a, b = _perm_params(num_perm, seed)
+    lens = np.fromiter((0 if h is None else len(h) for h in hash_lists), dtype=np.int64, count=len(hash_lists))
+    out = np.full((len(hash_lists), num_perm), int(_MASK32), dtype=np.int64)
+    nz = np.flatnonzero(lens)
+    if len(nz) == 0:
+        return list(out)
+    flat = np.concatenate([np.asarray(hash_lists[i], dtype=np.int64) for i in nz]).astype(np.uint64) & _MASK32
+    starts = np.concatenate([[0], np.cumsum(lens[nz])[:-1]])
+    ends = starts + lens[nz]
+    # process documents in groups whose shingles fit one chunk
+    i = 0
+    while i < len(nz):
+        j = i
+        while j < len(nz) and (ends[j] - starts[i] <= _CHUNK or j == i):
+            j += 1
+        x = flat[starts[i]:ends[j - 1]][:, None]
+        v = np.multiply(x, a[None, :])
+        np.add(v, b[None, :], out=v)
+        np.right_shift(v, np.uint64(32), out=v)
+        out[nz[i:j]] = np.minimum.reduceat(v, starts[i:j] - starts[i], axis=0).astype(np.int64)
+        i = j
+    return list(out)
 
 
 def minhash_udf(num_perm: int = 128, seed: int = 1):
@@ -112,20 +129,10 @@ def minhash_udf(num_perm: int = 128, seed: int = 1):
     active = SparkSession.getActiveSession()
     if active is not None:
         ship_package(active)
-    a, b = _perm_params(num_perm, seed)
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def _sig(hashes: pd.Series) -> pd.Series:
-        out = []
-        empty = np.full(num_perm, int(_MAX_HASH), dtype=np.int64)
-        for hs in hashes:
-            if hs is None or len(hs) == 0:
-                out.append(empty)
-                continue
-            x = (np.asarray(hs, dtype=np.int64).astype(np.uint64) & _MAX_HASH)[:, None]
-            v = (_mulmod61(x, a[None, :]) + b[None, :]) % _MERSENNE
-            out.append((v & _MAX_HASH).min(axis=0).astype(np.int64))
-        return pd.Series(out)
+        return pd.Series(minhash_batch(hashes.tolist(), num_perm, seed))
 
     return _sig
 
@@ -157,7 +164,10 @@ def _reps(fp: DataFrame, cfg: DedupConfig) -> DataFrame:
     else:
         out = out.withColumn("sig", signature(F.col("shingles"), cfg)).drop("shingles")
         out = out.withColumn("_rep_key", F.sha2(F.array_join(F.transform("sig", lambda x: x.cast("string")), ","), 256))
-    out = out.checkpoint(eager=True)
+    # persist first: a checkpoint job would otherwise recompute the UDF
+    cached = out.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
     return first_of_group(out, "_rep_key", "_copy")
 
 

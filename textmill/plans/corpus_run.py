@@ -63,12 +63,13 @@ def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_la
     docs = tables.documents(spark, sf_dir)
 
     # load + language identification (model trained from the labelled table)
-    def load():
-        if not detect_language:
-            return docs
-        profile = language.train_profile(docs, label_col="language").persist()
-        return language.detect(docs.withColumnRenamed("language", "label"), profile)
-    loaded, n_all = stage("load_language", load, 0)
+    if detect_language:
+        # the model is trained once from the labelled table (its own stage)
+        profile, _ = stage("language_model", lambda: language.train_profile(docs, label_col="language"), 0)
+        loaded, n_all = stage("load_language", lambda: language.detect(
+            docs.withColumnRenamed("language", "label"), profile), 0)
+    else:
+        loaded, n_all = stage("load_language", lambda: docs, 0)
     res.tables["language_distribution"] = language.distribution(loaded)
     target, n_target = stage("language_filter", lambda: loaded.filter(F.col("language") == target_language), n_all)
 

@@ -544,3 +544,73 @@ def q_perplexity_stats(spark: SparkSession, sf: str) -> DataFrame:
     cols = ["mean_perplexity", "median_perplexity", "std_perplexity", "min_perplexity", "max_perplexity",
             "p25_perplexity", "p75_perplexity"]
     return st.select("samples_evaluated", *[F.round(c, 4).alias(c) for c in cols])
+
+
+# --------------------------------------------------------------------------- H1-H14
+
+_KEPT_SQL = f"WITH cl AS ({_clean_sql('documents', 'doc_id', 'text')}) "
+
+
+def _kept_clean(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.kept(cleaning.annotate(tables.documents(spark, sf), CLEAN))
+
+
+@register("corpus_stats", _KEPT_SQL + """
+SELECT avg(char_length) AS avg_chars, quantile_cont(char_length, 0.5) AS median_chars,
+       CAST(min(char_length) AS INTEGER) AS min_chars, CAST(max(char_length) AS INTEGER) AS max_chars,
+       CAST(count(char_length) AS BIGINT) AS n_chars
+FROM cl WHERE drop_reason IS NULL
+""")
+def q_corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report
+    return report.length_stats(_kept_clean(spark, sf), "char_length", "chars")
+
+
+@register("char_histogram", _KEPT_SQL + """
+, k AS (SELECT char_length AS x FROM cl WHERE drop_reason IS NULL),
+mm AS (SELECT CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) AS DOUBLE) AS hi FROM k),
+w AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM mm),
+c AS (SELECT CAST(CASE WHEN CAST(x AS DOUBLE) >= hi THEN 49 ELSE floor((CAST(x AS DOUBLE) - lo) / width) END AS INTEGER) AS bin,
+             count(*) AS n FROM k, w GROUP BY 1),
+b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50))
+SELECT b.bin, lo + b.bin * width AS lower, lo + (b.bin + 1) * width AS upper, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM b CROSS JOIN w LEFT JOIN c ON c.bin = b.bin
+""")
+def q_char_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report
+    return report.histogram(_kept_clean(spark, sf), "char_length", 50)
+
+
+@register("boxplot", _KEPT_SQL + """
+, k AS (SELECT CAST(char_length AS DOUBLE) AS x FROM cl WHERE drop_reason IS NULL),
+q AS (SELECT quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS med, quantile_cont(x, 0.75) AS q3 FROM k)
+SELECT q1, med AS median, q3,
+       min(CASE WHEN x >= q1 - 1.5 * (q3 - q1) THEN x END) AS whisker_low,
+       max(CASE WHEN x <= q3 + 1.5 * (q3 - q1) THEN x END) AS whisker_high,
+       avg(x) AS avg, min(x) AS min, max(x) AS max
+FROM k, q GROUP BY q1, med, q3
+""")
+def q_boxplot(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report
+    return report.boxplot(_kept_clean(spark, sf), "char_length")
+
+
+@register("token_histogram")
+def q_token_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report, tokens
+    return report.histogram(tokens.annotate(_kept_clean(spark, sf)), "encoded_count", 50)
+
+
+@register("drop_summary")
+def q_drop_summary(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report, safety, tokens
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # each stage is materialised once (as in the run): its metrics and its
+    # kept rows both read it, and a filter on a derived column would
+    # otherwise re-derive the whole rule set
+    ann = cleaning.annotate(tables.documents(spark, sf), CLEAN).checkpoint(eager=True)
+    saf = safety.annotate(cleaning.kept(ann)).checkpoint(eager=True)
+    tok = tokens.annotate(safety.kept(saf)).checkpoint(eager=True)
+    dd = dedup.annotate_exact(tokens.kept(tok))
+    return report.drop_summary(cleaning.drop_counts(ann), safety.metrics(saf), tokens.drop_counts(tok), dedup.metrics(dd))
