@@ -614,3 +614,38 @@ def q_drop_summary(spark: SparkSession, sf: str) -> DataFrame:
     tok = tokens.annotate(safety.kept(saf)).checkpoint(eager=True)
     dd = dedup.annotate_exact(tokens.kept(tok))
     return report.drop_summary(cleaning.drop_counts(ann), safety.metrics(saf), tokens.drop_counts(tok), dedup.metrics(dd))
+
+
+# --------------------------------------------------------------------------- A1-A6, J10-J12
+
+def _docs_as_jsonl(spark: SparkSession, sf: str) -> str:
+    """documents written as JSONL (text, url) in doc_id order to a fresh
+    folder under the shared checkpoint folder."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "jsonl")
+    d = tables.table(spark, sf, "documents").select("doc_id", "text", F.lit(None).cast("string").alias("url"))
+    d.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").select("text", "url") \
+        .write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return path
+
+
+@register("load_jsonl", """
+SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS original_index, text, CAST(NULL AS VARCHAR) AS url
+FROM documents WHERE text IS NOT NULL AND text <> ''
+""")
+def q_load_jsonl(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources import jsonl
+    return jsonl.load_jsonl(spark, _docs_as_jsonl(spark, sf))
+
+
+@register("validate_shards")
+def q_validate_shards(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    from ..session import scratch_path
+    from ..sources import sinks
+    cfg = _training_cfg()
+    blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), cfg)
+    path = scratch_path(spark, "training")
+    sinks.write_training_shards(training.shuffle_and_shard(blocks, cfg), path)
+    _, report = sinks.validate_shards(spark, path, cfg.min_tokens)
+    return report.join(sinks.dataset_index(spark, path), "file", "left")
