@@ -649,3 +649,33 @@ def q_validate_shards(spark: SparkSession, sf: str) -> DataFrame:
     sinks.write_training_shards(training.shuffle_and_shard(blocks, cfg), path)
     _, report = sinks.validate_shards(spark, path, cfg.min_tokens)
     return report.join(sinks.dataset_index(spark, path), "file", "left")
+
+
+# --------------------------------------------------------------------------- B1
+
+@register("lang_detect", r"""
+WITH w AS (SELECT doc_id, lang, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda x: x <> '')) AS word
+           FROM documents),
+c AS (SELECT lang, word, count(*) AS c FROM w GROUP BY lang, word),
+pl AS (SELECT lang, sum(c) AS total, count(*) AS vocab FROM c GROUP BY lang),
+dl AS (SELECT lang, count(*) AS docs FROM documents GROUP BY lang),
+pr AS (SELECT lang, ln(docs) - ln(sum(docs) OVER ()) AS log_prior FROM dl),
+top AS (SELECT lang, word, c FROM (SELECT lang, word, c, row_number() OVER (PARTITION BY lang ORDER BY c DESC, word) AS r FROM c)
+        WHERE r <= 2000),
+prof AS (SELECT top.lang, word, ln(c + 1.0) - ln(total + 1.0 * vocab) AS logp, ln(1.0) - ln(total + 1.0 * vocab) AS unseen,
+                log_prior FROM top JOIN pl ON pl.lang = top.lang JOIN pr ON pr.lang = top.lang),
+f AS (SELECT doc_id, word, count(*) AS c FROM w GROUP BY doc_id, word),
+nw AS (SELECT doc_id, sum(c) AS n FROM f GROUP BY doc_id),
+gain AS (SELECT doc_id, prof.lang, sum(c * (logp - unseen)) AS g FROM f JOIN prof ON prof.word = f.word GROUP BY doc_id, prof.lang),
+langs AS (SELECT DISTINCT lang, unseen, log_prior FROM prof),
+sc AS (SELECT nw.doc_id, langs.lang, coalesce(g, 0) + n * unseen + log_prior AS score
+       FROM nw CROSS JOIN langs LEFT JOIN gain ON gain.doc_id = nw.doc_id AND gain.lang = langs.lang),
+best AS (SELECT doc_id, arg_max(lang, score) AS lang FROM sc GROUP BY doc_id)
+SELECT d.doc_id AS original_index, coalesce(best.lang, 'unknown') AS language
+FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id
+""")
+def q_lang_detect(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import language
+    docs = tables.documents(spark, sf)
+    profile = language.train_profile(docs, label_col="language")
+    return language.detect(docs.withColumnRenamed("language", "label"), profile).select("original_index", "language")
