@@ -29,11 +29,17 @@ def pii_counts(text: Column, entities: Sequence[str] = tuple(P.PII_ENTITIES),
 def detect_pii_from_counts(counts: Column, entities: Sequence[str] = tuple(P.PII_ENTITIES),
                            max_matches: int = 2) -> Column:
     """struct<has_pii, pii_types, pii_count>: entities in the given order,
-    the scan stopping after ``max_matches`` hits in total (a budget <= 0
-    behaves as 1); entity i contributes ``least(n_i, budget left)``."""
+    the scan stopping after ``max_matches`` hits in total; entity i
+    contributes ``least(n_i, budget left)``.  A budget <= 0 scans only the
+    first entity, for at most one hit."""
     entities = [e for e in entities if e in P.PII_J]
     if not entities:
         return empty_pii()
+    if int(max_matches) <= 0:
+        # the budget is already spent after the first entity's scan: only
+        # that entity is looked at, and one hit ends it
+        counts = F.slice(counts, 1, 1)
+        entities = entities[:1]
     budget = max(int(max_matches), 1)
     left = F.lit(budget)
     parts, ks = [], []
