@@ -46,7 +46,7 @@ def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_la
         clean_cfg: CleanConfig = CleanConfig(), safety_cfg: SafetyConfig = SafetyConfig(),
         dedup_cfg: DedupConfig = DedupConfig(), token_cfg: TokenConfig = TokenConfig(),
         ppl_cfg: PerplexityConfig = PerplexityConfig(), train_cfg: TrainingConfig = TrainingConfig(),
-        export: bool = True) -> RunResult:
+        export: bool = True, min_partitions: int | None = None) -> RunResult:
     res = RunResult()
     prev: DataFrame | None = None
     from ..session import ensure_checkpoint_dir
@@ -60,7 +60,8 @@ def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_la
         res.throughput.append((name, int(rows_in), int(n), sec, (n / sec) if sec > 0 else 0.0))
         return df, n
 
-    docs = tables.documents(spark, sf_dir)
+    docs = tables.spread_small_input(tables.documents(spark, sf_dir),
+                                     min_partitions or spark.sparkContext.defaultParallelism)
 
     # load + language identification (model trained from the labelled table)
     if detect_language:
