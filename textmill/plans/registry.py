@@ -679,3 +679,74 @@ def q_lang_detect(spark: SparkSession, sf: str) -> DataFrame:
     docs = tables.documents(spark, sf)
     profile = language.train_profile(docs, label_col="language")
     return language.detect(docs.withColumnRenamed("language", "label"), profile).select("original_index", "language")
+
+
+# --------------------------------------------------------------------------- B6, E11, I4, J8
+
+@register("target_share", """
+SELECT avg(CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END) AS target_share FROM documents
+""")
+def q_target_share(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import language
+    return language.target_share(tables.documents(spark, sf), "en")
+
+
+@register("dedup_metrics", f"""
+WITH h AS (SELECT doc_id, sha256({S.canonical('text')}) AS k FROM documents WHERE text IS NOT NULL AND text <> ''),
+f AS (SELECT doc_id <> min(doc_id) OVER (PARTITION BY k) AS dup FROM h)
+SELECT CAST(count(*) AS BIGINT) AS total_samples, CAST(count(*) - count_if(dup) AS BIGINT) AS kept_samples,
+       CAST(count_if(dup) AS BIGINT) AS duplicates_removed,
+       CASE WHEN count(*) > 0 THEN count_if(dup) / count(*) ELSE 0.0 END AS duplicate_rate
+FROM f
+""")
+def q_dedup_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.metrics(dedup.annotate_exact(tables.documents(spark, sf)))
+
+
+@register("precondition_report", f"""
+WITH {_SQL_DOCS.strip()},
+v AS (SELECT NOT (len(tokens) = 0 OR char_length < 80 OR len(tokens) < 20) AS valid FROM hd),
+t AS (SELECT CAST(count(*) AS BIGINT) AS total_samples, CAST(count_if(valid) AS BIGINT) AS valid_samples FROM v),
+f AS (SELECT unnest(['text', 'tokens', 'token_count', 'language', 'source', 'license', 'char_length',
+                     'dedupe_hash', 'pii_types', 'pii_redacted']) AS field)
+SELECT total_samples, valid_samples, field, CAST(0 AS BIGINT) AS missing, total_samples AS present FROM t, f
+""")
+def q_precondition_report(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    return training.precondition_report(training.validate_preconditions(_hashed_docs(spark, sf), _training_cfg()))
+
+
+@register("sharding_summary", f"""
+WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()},
+r AS (SELECT (row_number() OVER (ORDER BY block_index) - 1) // 50 AS shard_id, len(tokens) AS tc FROM blocks),
+m AS (SELECT shard_id, count(*) AS ns, sum(tc) AS nt FROM r GROUP BY shard_id)
+SELECT CAST(count(*) AS BIGINT) AS total_shards, CAST(sum(ns) AS BIGINT) AS total_samples,
+       CAST(sum(nt) AS BIGINT) AS total_tokens, sum(ns) / count(*) AS avg_samples_per_shard,
+       sum(nt) / count(*) AS avg_tokens_per_shard
+FROM m
+""")
+def q_sharding_summary(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    cfg = _training_cfg()
+    blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), cfg)
+    return training.sharding_summary(training.shard_meta(training.shuffle_and_shard(blocks, cfg)))
+
+
+# --------------------------------------------------------------------------- A3 round trip
+
+@register("clean_shards", f"""
+WITH cl AS ({_clean_sql('documents', 'doc_id', 'text')})
+SELECT CAST((row_number() OVER (ORDER BY original_index) - 1) // 100 AS INTEGER) AS shard_id,
+       text, CAST(NULL AS VARCHAR) AS url, CAST(char_length AS BIGINT) AS char_length, 'x' AS language_present
+FROM cl WHERE drop_reason IS NULL
+""")
+def q_clean_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Kept documents written as clean shards of 100 rows (text, url,
+    char_length, language) and read back with their shard folder."""
+    from ..session import scratch_path
+    from ..sources import sinks
+    path = scratch_path(spark, "clean")
+    sinks.write_clean_shards(_kept_clean(spark, sf), path, shard_size=100)
+    back = spark.read.schema("text string, url string, char_length long, language string, shard_id int").json(path)
+    return back.select("shard_id", "text", "url", "char_length",
+                       F.when(F.col("language").isNotNull(), F.lit("x")).alias("language_present"))
