@@ -51,14 +51,20 @@ def target_share(df: DataFrame, target: str, lang_col: str = "language") -> Data
 
 
 def train_profile(labelled: DataFrame, text_col: str = "text", label_col: str = "language",
-                  top_k_words: int = 2000, alpha: float = 1.0) -> DataFrame:
+                  top_k_words: int = 2000, alpha: float = 1.0, buckets: int = 64) -> DataFrame:
     """(language, word, logp, logp_unseen, log_prior) from labelled text."""
     w = labelled.select(F.col(label_col).alias("language"), F.explode(words(F.col(text_col))).alias("word"))
     counts = w.groupBy("language", "word").agg(F.count(F.lit(1)).alias("c"))
     per_lang = counts.groupBy("language").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("vocab"))
     docs = labelled.groupBy(F.col(label_col).alias("language")).agg(F.count(F.lit(1)).alias("docs"))
+    # Two-level top-k: a window per (language, word-hash bucket) keeps each
+    # task bounded, the final window sees at most buckets * top_k rows of a
+    # language, whatever the corpus size or language skew.
+    part = F.row_number().over(Window.partitionBy("language", "_b").orderBy(F.desc("c"), "word"))
+    partial = (counts.withColumn("_b", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+               .withColumn("r", part).filter(F.col("r") <= top_k_words).drop("r", "_b"))
     rank = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("c"), "word"))
-    top = counts.withColumn("r", rank).filter(F.col("r") <= top_k_words).drop("r")
+    top = partial.withColumn("r", rank).filter(F.col("r") <= top_k_words).drop("r")
     n_docs = F.sum("docs").over(Window.partitionBy())
     priors = docs.select("language", (F.log("docs") - F.log(n_docs)).alias("log_prior"))
     stats = per_lang.join(priors, "language")

@@ -21,8 +21,12 @@ def document_stream(spark: SparkSession, path: str, fmt: str = "parquet",
                     max_files_per_trigger: int = 1) -> DataFrame:
     """documents-shaped files -> stream of (original_index, text, url, language)."""
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    raw = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-           .format(fmt).load(path))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).format(fmt)
+    if path.rstrip("/").endswith("." + fmt):  # one file: stream its folder, filtered to its name
+        folder, name = path.rstrip("/").rsplit("/", 1)
+        raw = reader.option("pathGlobFilter", name).load(folder)
+    else:
+        raw = reader.load(path)
     return raw.select(F.col("doc_id").alias("original_index"), "text",
                       F.lit(None).cast("string").alias("url"), F.col("lang").alias("language"))
 
