@@ -750,3 +750,147 @@ def q_clean_shards(spark: SparkSession, sf: str) -> DataFrame:
     back = spark.read.schema("text string, url string, char_length long, language string, shard_id int").json(path)
     return back.select("shard_id", "text", "url", "char_length",
                        F.when(F.col("language").isNotNull(), F.lit("x")).alias("language_present"))
+
+
+# --------------------------------------------------------------------------- D6-D15 oracle
+
+def _toxicity_sql(final: str | None = None) -> str:
+    from ..config import SafetyConfig
+    cfg = SafetyConfig()
+    wc, budget, pad, stride, cap_n = 512, 768, cfg.toxicity_window_padding, 256, cfg.toxicity_suspect_windows
+    pats = {"prof": "(?i)" + "|".join(P.PROFANITY_TERMS_PY), "obf": "(?i)" + P.OBFUSCATED_PROFANITY_PATTERN_PY,
+            "punct": P.REPEATED_PUNCT_PATTERN_PY, "caps": P.ALL_CAPS_WORD_PATTERN_PY}
+    ws = S.WS
+    allow = " OR ".join(f"contains(lower(text), {S.lit(p)})" for p in P.SAFE_ALLOWLIST_PHRASES)
+    mcols = ", ".join(f"regexp_extract_all(m, {S.lit(v)}) AS mt_{k}, regexp_split_to_array(m, {S.lit(v)}) AS pc_{k}"
+                      for k, v in pats.items())
+
+    def spans(k):
+        return (f"list_transform(range(1, len(mt_{k}) + 1), lambda j: {{'s': CAST(len(array_to_string(pc_{k}[1:j], '')) "
+                f"+ len(array_to_string(mt_{k}[1:j - 1], '')) AS INTEGER), 'e': CAST(len(array_to_string(pc_{k}[1:j], '')) "
+                f"+ len(array_to_string(mt_{k}[1:j], '')) AS INTEGER)}})")
+    weights = " ".join(f"WHEN {S.lit(k)} THEN {float(v)}" for k, v in P.DEFAULT_BLOCKLIST.items())
+    bl_keys = ", ".join(S.lit(k) for k in P.DEFAULT_BLOCKLIST)
+    sym_cls = r"[^\p{L}\p{N}_\s\p{Z}\x0b\x1c-\x1f\x85]"
+    win_t = "STRUCT(p INTEGER, s INTEGER, e INTEGER)[]"
+    sel_t = "STRUCT(s INTEGER, e INTEGER)[]"
+    return f"""
+WITH base AS (
+  SELECT doc_id, text, CAST(length(text) AS INTEGER) AS L, {S.ascii_word_map('text')} AS m,
+         regexp_replace(text, {S.lit('^' + ws + '+|' + ws + '+$')}, '', 'g') AS stripped,
+         CAST(length(regexp_replace(text, '[^\\x00-\\x7F]', '', 'g')) AS DOUBLE) / greatest(length(text), 1) AS ar
+  FROM documents),
+mt AS (SELECT *, {S.ascii_word_map('stripped')} AS ms, {mcols} FROM base),
+pf AS (
+  SELECT *, greatest(CASE WHEN len(mt_prof) > 0 THEN 3 ELSE 0 END, CASE WHEN len(mt_obf) > 0 THEN 3 ELSE 0 END,
+                     CASE WHEN len(mt_punct) > 0 THEN 2 ELSE 0 END, CASE WHEN len(mt_caps) > 0 THEN 1 ELSE 0 END) AS sev0,
+         ar < 0.35 AS non_en,
+         length(stripped) <= 20 AND regexp_full_match(ms, {S.lit(S.py_to_re2(P.SAFE_SHORT_TEXT_PATTERN_PY[1:-1], False))}) AND ar >= 0.75 AS short,
+         regexp_matches(ms, {S.lit(P.SAFE_NUMERIC_PATTERN_PY)}) OR regexp_matches(ms, {S.lit(P.SAFE_TIMESTAMP_PATTERN_PY)})
+           OR regexp_matches(ms, {S.lit('(?i)' + P.SAFE_URL_ONLY_PATTERN_PY)}) OR regexp_matches(ms, {S.lit('(?i)' + P.SAFE_FORMAL_TEMPLATE_PATTERN_PY)})
+           OR regexp_matches(ms, {S.lit('(?m)' + chr(92) + 'A```[' + chr(92) + 's' + chr(92) + 'S]+```$')}) OR ({allow}) AS other_safe,
+         list_concat({spans('prof')}, {spans('obf')}, {spans('punct')}, {spans('caps')})[1:{cap_n}] AS spans5
+  FROM mt),
+sv AS (
+  SELECT *, CASE WHEN short THEN least(CASE WHEN non_en THEN greatest(sev0, 1) ELSE sev0 END, 1)
+                 ELSE CASE WHEN non_en THEN greatest(sev0, 1) ELSE sev0 END END AS sev FROM pf),
+tg AS (
+  SELECT *, CASE WHEN text IS NULL OR stripped = '' THEN 'empty'
+                 WHEN sev >= 2 THEN 'suspect' WHEN sev = 1 THEN 'unknown'
+                 WHEN non_en OR short OR other_safe THEN 'safe' ELSE 'unknown' END AS tag FROM sv),
+cand AS (
+  SELECT *, list_concat(
+     [{{'k': 0, 'p': 2, 's': 0, 'e': least(L, {wc})}}, {{'k': 0, 'p': 2, 's': greatest(0, L - {wc}), 'e': L}}],
+     list_transform(spans5, lambda x: {{'k': 0, 'p': 0, 's': greatest(0, (x.s + x.e) // 2 - {wc // 2} - {pad}),
+                                        'e': least(L, greatest(0, (x.s + x.e) // 2 - {wc // 2} - {pad}) + {wc})}}),
+     list_transform(range(0, CAST(least({cap_n + 8}, ceil(L / {stride})) AS BIGINT)),
+                    lambda j: {{'k': 1, 'p': 1, 's': CAST(j * {stride} AS INTEGER), 'e': CAST(least(L, j * {stride} + {wc}) AS INTEGER)}}),
+     [{{'k': 2, 'p': 3, 's': greatest(0, L // 2 - {wc // 2}), 'e': least(L, greatest(0, L // 2 - {wc // 2}) + {wc})}}]) AS cands
+  FROM tg WHERE tag IN ('suspect', 'unknown')),
+reg AS (
+  SELECT *, list_sort(list_reduce(cands, lambda acc, x:
+      CASE WHEN len(acc) < {cap_n} AND len(list_filter(acc, lambda a: a.s = x.s AND a.e = x.e)) = 0
+                AND (CASE x.k WHEN 1 THEN sev >= 3 AND len(acc) < 2 AND x.s < L WHEN 2 THEN len(acc) < 2 ELSE true END)
+           THEN list_append(acc, {{'p': x.p, 's': x.s, 'e': x.e}}) ELSE acc END, []::{win_t})) AS wins
+  FROM cand),
+sel AS (
+  SELECT *, list_reduce(wins, lambda acc, w:
+      CASE WHEN acc.done OR acc.b <= 0 OR acc.rl <= 0 THEN acc
+           WHEN w.e - w.s > acc.b THEN {{'b': acc.b, 'rl': acc.rl, 'done': true,
+                                        'out': list_append(acc.out, {{'s': w.s, 'e': w.s + acc.b}})}}
+           ELSE {{'b': acc.b - (w.e - w.s), 'rl': acc.rl - 1, 'done': false,
+                 'out': list_append(acc.out, {{'s': w.s, 'e': w.e}})}} END,
+      {{'b': {budget}, 'rl': 2, 'done': false, 'out': []::{sel_t}}}).out AS chosen
+  FROM reg),
+st AS (
+  SELECT doc_id, chosen, substr(array_to_string(list_transform(chosen, lambda w: substr(text, w.s + 1, w.e - w.s)), chr(10)), 1, {budget}) AS t
+  FROM sel),
+nz AS (SELECT *, regexp_replace(t, '[\\x{{200b}}-\\x{{200d}}\\x{{2060}}\\x{{feff}}]', '', 'g') AS t1 FROM st),
+sq AS (
+  SELECT *, list_transform(range(1, length(t1) + 1), lambda i: substr(t1, i, 1)) AS ch FROM nz),
+sq2 AS (
+  SELECT *, lower(trim(regexp_replace(array_to_string(list_filter(ch, lambda c, i: NOT (i >= 3 AND regexp_matches(c, {S.lit(sym_cls)})
+            AND c = ch[i - 1] AND c = ch[i - 2])), ''), {S.lit(ws + '+')}, ' ', 'g'))) AS low FROM sq),
+sc AS (
+  SELECT doc_id, chosen, t, low,
+         list_filter(regexp_extract_all(low, '[a-zA-Z'']+'), lambda w: w IN ({bl_keys})) AS hits,
+         length(t) - length(regexp_replace(t, '\\p{{L}}', '', 'g')) AS letters,
+         length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS upper,
+         length(t) - length(regexp_replace(t, {S.lit(sym_cls.replace('_', ''))}, '', 'g')) AS symbols,
+         len(list_filter(range(1, length(t) - 2), lambda i: substr(t, i, 1) = substr(t, i + 1, 1)
+             AND substr(t, i, 1) = substr(t, i + 2, 1) AND substr(t, i, 1) = substr(t, i + 3, 1))) > 0 AS rep,
+         len(regexp_extract_all(t, '[!?]{{3,}}')) AS punct,
+         len(regexp_extract_all({S.ascii_word_map('low')}, {S.lit(pats['obf'])})) AS obf
+  FROM sq2),
+tot AS (
+  SELECT doc_id, hits, t, chosen,
+    list_reduce(list_transform(hits, lambda w: CASE w {weights} END), lambda a, x: a + x, 0.0)
+    + CASE WHEN length(t) >= 20 AND (CASE WHEN letters > 0 THEN CAST(upper AS DOUBLE) / letters ELSE 0.0 END) > 0.65 THEN 0.5 ELSE 0.0 END
+    + CASE WHEN CAST(symbols AS DOUBLE) / greatest(1, length(t)) > 0.45 THEN 0.4 ELSE 0.0 END
+    + CASE WHEN rep THEN 0.4 ELSE 0.0 END
+    + CASE WHEN punct > 0 THEN 0.3 ELSE 0.0 END
+    + CASE WHEN obf > 0 THEN 0.6 ELSE 0.0 END AS score
+  FROM sc)
+{final or _TOX_FINAL}
+"""
+
+
+_TOX_FINAL = """
+SELECT d.doc_id AS original_index, coalesce(tot.score >= 1.5, false) AS is_toxic,
+       coalesce(round(tot.score, 3), 0.0) AS score, coalesce(tot.hits, []::VARCHAR[]) AS flagged_tokens,
+       CAST(coalesce(length(tot.t), 0) AS INTEGER) AS char_span, CAST(len(tot.chosen) AS INTEGER) AS window_count
+FROM documents d LEFT JOIN tot ON tot.doc_id = d.doc_id
+"""
+
+
+def _pii_list_sql(src: str) -> str:
+    """pii_types list expression over a table alias with ``text`` (budget 2)."""
+    m = S.ascii_word_map(f"substr({src}.text, 1, 10000)")
+    ns = [S.count_matches(m, S.py_to_re2(P.PII_PATTERNS_PY[n], True)) for n in P.PII_ENTITIES]
+    parts, used = [], "0"
+    for name, n in zip(P.PII_ENTITIES, ns):
+        k = f"least({n}, 2 - ({used}))"
+        parts.append(f"list_transform(range({k}), lambda x: {S.lit(name)})")
+        used = f"({used}) + {k}"
+    return f"CAST(flatten([{', '.join(parts)}]) AS VARCHAR[])"
+
+
+_SAFETY_FINAL = f"""
+, piis AS (SELECT d.doc_id, {_pii_list_sql('d')} AS pii_all FROM documents d),
+j AS (
+  SELECT d.doc_id, d.text, CASE WHEN tg.tag = 'empty' THEN 'safe' ELSE tg.tag END AS tag,
+         coalesce(tot.score >= 1.5, false) AS toxic, coalesce(round(tot.score, 3), 0.0) AS score, piis.pii_all
+  FROM documents d JOIN tg ON tg.doc_id = d.doc_id LEFT JOIN tot ON tot.doc_id = d.doc_id
+       JOIN piis ON piis.doc_id = d.doc_id)
+SELECT doc_id AS original_index,
+       CASE WHEN text IS NULL OR text = '' THEN NULL
+            WHEN tag = 'safe' THEN CASE WHEN len(pii_all) > 0 THEN 'contains_pii' END
+            WHEN toxic THEN 'toxic'
+            WHEN len(pii_all) > 0 THEN 'contains_pii' END AS drop_reason,
+       CASE WHEN text IS NULL OR text = '' OR (tag <> 'safe' AND toxic) THEN []::VARCHAR[] ELSE pii_all END AS pii_types,
+       tag, score
+FROM j
+"""
+
+ORACLE["toxicity_score"] = _toxicity_sql()
+ORACLE["safety_filter"] = _toxicity_sql("SELECT 1 AS dummy").replace("\nSELECT 1 AS dummy", _SAFETY_FINAL)
