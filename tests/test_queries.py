@@ -16,7 +16,8 @@ from conftest import SF_SMALL  # noqa: E402
 
 FAST = ["lang_distribution", "lang_share", "clean_text", "clean_html", "pii_detect", "redact", "dedup_exact",
         "source_from_url", "prefilter", "near_dup_pairs", "dedup_greedy", "preconditions", "pack_blocks",
-        "shard_meta", "char_histogram", "boxplot", "load_jsonl"]
+        "shard_meta", "char_histogram", "boxplot", "load_jsonl", "toxicity_score", "safety_filter",
+        "target_share", "dedup_metrics", "clean_shards", "lang_detect", "perplexity_sample"]
 
 
 @pytest.fixture(scope="module")
