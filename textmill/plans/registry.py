@@ -894,3 +894,54 @@ FROM j
 
 ORACLE["toxicity_score"] = _toxicity_sql()
 ORACLE["safety_filter"] = _toxicity_sql("SELECT 1 AS dummy").replace("\nSELECT 1 AS dummy", _SAFETY_FINAL)
+
+
+_METRICS_FINAL = f"""
+, piis AS (SELECT d.doc_id, {_pii_list_sql('d')} AS pii_all FROM documents d),
+j AS (
+  SELECT d.doc_id, d.text, CASE WHEN tg.tag = 'empty' THEN 'safe' ELSE tg.tag END AS tag,
+         coalesce(tot.score >= 1.5, false) AS toxic, round(tot.score, 3) AS score, length(tot.t) AS span,
+         len(tot.chosen) AS nwin, piis.pii_all
+  FROM documents d JOIN tg ON tg.doc_id = d.doc_id LEFT JOIN tot ON tot.doc_id = d.doc_id
+       JOIN piis ON piis.doc_id = d.doc_id),
+r AS (
+  SELECT *, text IS NULL OR text = '' AS empty,
+         NOT (text IS NULL OR text = '') AND tag <> 'safe' AS scored,
+         CASE WHEN text IS NULL OR text = '' THEN NULL
+              WHEN tag = 'safe' THEN CASE WHEN len(pii_all) > 0 THEN 'contains_pii' END
+              WHEN toxic THEN 'toxic'
+              WHEN len(pii_all) > 0 THEN 'contains_pii' END AS drop_reason
+  FROM j)
+SELECT CAST(count(*) AS BIGINT) AS total_samples, CAST(count_if(drop_reason IS NULL) AS BIGINT) AS kept_samples,
+       CAST(count_if(drop_reason = 'toxic') AS BIGINT) AS toxic_dropped,
+       CAST(count_if(drop_reason = 'contains_pii') AS BIGINT) AS pii_dropped,
+       CAST(count_if(empty) AS BIGINT) AS empty_texts,
+       coalesce(sum(CASE WHEN scored THEN span END), 0) / greatest(1, count(*) - count_if(empty)) AS avg_chars_scanned,
+       round(coalesce(sum(CASE WHEN scored THEN score END), 0.0) / greatest(1, count(*) - count_if(empty)), 6) AS avg_toxicity_score,
+       CASE WHEN count_if(scored) > 0 THEN sum(CASE WHEN scored THEN nwin END) / count_if(scored) ELSE 0.0 END AS avg_windows_scored
+FROM r
+"""
+
+ORACLE["safety_metrics"] = _toxicity_sql("SELECT 1 AS dummy").replace("\nSELECT 1 AS dummy", _METRICS_FINAL)
+
+
+def q_safety_metrics_rounded(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import safety
+    m = safety.metrics(_safety_annotated(spark, sf))
+    return m.withColumn("avg_toxicity_score", F.round("avg_toxicity_score", 6))
+
+
+QUERIES["safety_metrics"] = q_safety_metrics_rounded
+
+_R_CTES = _METRICS_FINAL[:_METRICS_FINAL.index("SELECT CAST(count(*) AS BIGINT) AS total_samples")]
+
+ORACLE["pii_type_counts"] = _toxicity_sql("SELECT 1 AS dummy").replace("\nSELECT 1 AS dummy", _R_CTES + """
+SELECT pii_type, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT unnest(pii_all) AS pii_type FROM r WHERE drop_reason = 'contains_pii') GROUP BY pii_type
+""")
+
+ORACLE["flagged_tokens"] = _toxicity_sql("SELECT 1 AS dummy").replace("\nSELECT 1 AS dummy", """
+, ft AS (SELECT doc_id, unnest(hits) AS token, generate_subscripts(hits, 1) AS pos FROM tot)
+SELECT token, CAST(count(*) AS BIGINT) AS n FROM ft GROUP BY token
+ORDER BY n DESC, min(doc_id * 1000000 + pos) LIMIT 20
+""")
