@@ -12,6 +12,8 @@ whole group.
 
 from __future__ import annotations
 
+from ..session import reliable_checkpoint
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -164,10 +166,7 @@ def _reps(fp: DataFrame, cfg: DedupConfig) -> DataFrame:
     else:
         out = out.withColumn("sig", signature(F.col("shingles"), cfg)).drop("shingles")
         out = out.withColumn("_rep_key", F.sha2(F.array_join(F.transform("sig", lambda x: x.cast("string")), ","), 256))
-    # persist first: a checkpoint job would otherwise recompute the UDF
-    cached = out.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
+    out = reliable_checkpoint(out)  # the signature UDF runs once per row
     return first_of_group(out, "_rep_key", "_copy")
 
 
@@ -243,7 +242,7 @@ def greedy_dropped(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     ensure_checkpoint_dir(spark)
     dropped = None
     for _ in range(max_rounds):
-        e = e.checkpoint(eager=True)
+        e = reliable_checkpoint(e)
         if e.isEmpty():
             return dropped if dropped is not None else spark.createDataFrame([], f"{IDX} long")
         # rows with an undecided smaller neighbour must wait
@@ -251,7 +250,7 @@ def greedy_dropped(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         kept_now = e.select(F.col("i").alias("v")).distinct().join(waiting, "v", "left_anti")
         newly = (e.join(kept_now.withColumnRenamed("v", "i"), "i", "left_semi")
                  .select(F.col("j").alias(IDX)).distinct())
-        newly = newly.checkpoint(eager=True)
+        newly = reliable_checkpoint(newly)
         dropped = newly if dropped is None else dropped.unionByName(newly)
         # decided rows leave the graph: kept sources and dropped targets
         gone = kept_now.withColumnRenamed("v", "x").unionByName(newly.withColumnRenamed(IDX, "x"))

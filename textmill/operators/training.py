@@ -8,6 +8,8 @@ each group holding at most ``block_size`` tokens."""
 
 from __future__ import annotations
 
+from ..session import reliable_checkpoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -155,7 +157,7 @@ def pack_blocks(docs: DataFrame, cfg: TrainingConfig = TrainingConfig(),
         IDX, "tokens", F.size("tokens").alias("n"), "language", "source")
     d = ordering.exclusive_prefix_sum(d, ordering.dense_bucket(F.col(IDX), bucket_rows), [IDX],
                                       F.col("n") + 1, "start")
-    d = d.checkpoint(eager=True)
+    d = reliable_checkpoint(d)
     stats = d.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.col("n") + 1), F.lit(0)).alias("len")).first()
     total = max(int(stats["len"]) - 1, 0)
     full, tail = divmod(total, B)

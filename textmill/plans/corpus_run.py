@@ -8,6 +8,8 @@ second, with rows in reported beside it."""
 
 from __future__ import annotations
 
+from ..session import reliable_checkpoint
+
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -53,7 +55,7 @@ def _materialise(df: DataFrame, cut: bool = False) -> tuple[DataFrame, int]:
     """persist + count; ``cut`` = reliable checkpoint in the shared folder
     instead, which also ends the lineage (and the nested plan) there."""
     if cut:
-        df = df.checkpoint(eager=True)
+        df = reliable_checkpoint(df)
         return df, df.count()
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return df, df.count()

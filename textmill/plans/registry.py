@@ -609,9 +609,10 @@ def q_drop_summary(spark: SparkSession, sf: str) -> DataFrame:
     # each stage is materialised once (as in the run): its metrics and its
     # kept rows both read it, and a filter on a derived column would
     # otherwise re-derive the whole rule set
-    ann = cleaning.annotate(tables.documents(spark, sf), CLEAN).checkpoint(eager=True)
-    saf = safety.annotate(cleaning.kept(ann)).checkpoint(eager=True)
-    tok = tokens.annotate(safety.kept(saf)).checkpoint(eager=True)
+    from ..session import reliable_checkpoint
+    ann = reliable_checkpoint(cleaning.annotate(tables.documents(spark, sf), CLEAN))
+    saf = reliable_checkpoint(safety.annotate(cleaning.kept(ann)))
+    tok = reliable_checkpoint(tokens.annotate(safety.kept(saf)))
     dd = dedup.annotate_exact(tokens.kept(tok))
     return report.drop_summary(cleaning.drop_counts(ann), safety.metrics(saf), tokens.drop_counts(tok), dedup.metrics(dd))
 

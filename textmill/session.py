@@ -76,3 +76,14 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(local_base, "zip", root_dir=os.path.dirname(pkg_dir), base_dir="textmill")
     spark.sparkContext.addPyFile(archive)
     spark.conf.set("textmill.shipped", "true")
+
+
+def reliable_checkpoint(df):
+    """Reliable checkpoint (shared folder) that computes ``df`` once: the
+    checkpoint write would otherwise recompute the whole plan after the
+    action that materialises it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
