@@ -166,8 +166,12 @@ def _reps(fp: DataFrame, cfg: DedupConfig) -> DataFrame:
     else:
         out = out.withColumn("sig", signature(F.col("shingles"), cfg)).drop("shingles")
         out = out.withColumn("_rep_key", F.sha2(F.array_join(F.transform("sig", lambda x: x.cast("string")), ","), 256))
-    out = reliable_checkpoint(out)  # the signature UDF runs once per row
-    return first_of_group(out, "_rep_key", "_copy")
+    # the signature UDF runs once per row: the table is persisted while both
+    # sides of first_of_group read it, and the marked result is checkpointed
+    out = out.persist()
+    marked = reliable_checkpoint(first_of_group(out, "_rep_key", "_copy"))
+    out.unpersist()
+    return marked
 
 
 def minhash_candidates(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
