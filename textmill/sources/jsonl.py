@@ -36,7 +36,9 @@ def load_jsonl(spark: SparkSession, path: str, with_status: bool = False) -> Dat
     stripped = F.trim(F.regexp_replace("value", r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
     parsed = (lines.withColumn("_line", stripped).filter(F.col("_line") != "")
               .withColumn("_obj", F.when(F.col("_line").startswith("{"), F.from_json("_line", SCHEMA))))
-    status = (F.when(F.col("_obj").isNull(), F.lit("corrupt"))
+    # from_json yields a struct of nulls for a malformed object; the key
+    # list is null for anything that is not a valid JSON object
+    status = (F.when(F.col("_obj").isNull() | F.json_object_keys("_line").isNull(), F.lit("corrupt"))
               .when(F.col("_obj.text").isNull() | (F.col("_obj.text") == ""), F.lit("no_text"))
               .otherwise(F.lit("ok")))
     rows = parsed.withColumn("status", status)
