@@ -6,12 +6,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import decontaminate, shard_bytes, warc
+from textmill.llm import decontaminate, packing, recompress, shard_bytes, token_arrow, warc
 from textmill.sources.tables import table
 
 SHARDS = 24
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_arrow.write_tokens(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return token_arrow.read_documents(manifest)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_warc(table(spark, sf_dir, "pages"))
     return warc.read_warc(manifest, with_payload=False).select(
@@ -24,6 +35,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                          table(spark, sf_dir, "benchmark"))
@@ -32,10 +49,20 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.items_digest().alias("items_sha256"), decontaminate.is_contaminated().alias("contaminated"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = recompress.remove_repeats(docs, window=35, keep_layout=False)
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_token_arrow": op1_token_arrow,
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
+    "op6_packing": op6_packing,
     "op9_decontamination": op9_decontamination,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {}
