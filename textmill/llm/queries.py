@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import decontaminate, packing, recompress, shard_bytes, token_arrow, warc
+from textmill.llm import decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow, warc
 from textmill.sources.tables import table
 
 SHARDS = 24
@@ -41,6 +41,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dup.near_duplicates(docs, shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                          table(spark, sf_dir, "benchmark"))
@@ -61,6 +66,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
+    "op7_near_dedup": op7_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
