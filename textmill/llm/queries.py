@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow, warc
+from textmill.llm import decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow, toxicity, warc
 from textmill.sources.tables import table
 
 SHARDS = 24
@@ -23,6 +23,15 @@ def op1_token_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_arrow.read_documents(manifest)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold(F.col("doc_id"), 5) == 0
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_warc(table(spark, sf_dir, "pages"))
     return warc.read_warc(manifest, with_payload=False).select(
@@ -63,6 +72,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_arrow": op1_token_arrow,
+    "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,

@@ -88,7 +88,17 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit name of each word, equal for equal bytes anywhere."""
-        out = np.empty(len(self.start), dtype=U64)
+        return self.names([(self.start, self.end)])[0]
+
+    def affixes(self, prefixes: list[int], suffixes: list[int]) -> list[np.ndarray]:
+        """Names of the words, then of their first and last so many bytes."""
+        spans = [(self.start, np.minimum(self.start + k, self.end)) for k in prefixes]
+        spans += [(np.maximum(self.end - k, self.start), self.end) for k in suffixes]
+        return self.names([(self.start, self.end), *spans])
+
+    def names(self, spans: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+        """Names of byte spans, each inside its word."""
+        out = [np.empty(len(self.start), dtype=U64) for _ in spans]
         at, n = 0, len(self.start)
         while at < n:  # segments of words, so that byte-wide temporaries stay small
             to = max(at + 1, int(np.searchsorted(self.end, self.start[at] + HASH_BYTES, side="right")))
@@ -97,10 +107,11 @@ class Words:
             sums = np.empty(hi - lo + 1, dtype=U64)
             sums[0] = 0
             np.cumsum(_BYTE_VALUE[self.data[lo:hi]] * up[: hi - lo], out=sums[1:])
-            s, e = self.start[at:to] - lo, self.end[at:to] - lo
-            out[at:to] = (sums[e] - sums[s]) * down[s] + (e - s).astype(U64)
+            for o, (start, end) in zip(out, spans):
+                s, e = start[at:to] - lo, end[at:to] - lo
+                o[at:to] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(U64))
             at = to
-        return mix(out)
+        return out
 
     def word(self, i: int) -> bytes:
         return self.data[self.start[i]: self.end[i]].tobytes()
