@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow, toxicity, warc
+from textmill.llm import crf_lang, decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow, toxicity, warc
 from textmill.sources.tables import table
 
 SHARDS = 24
@@ -55,6 +55,14 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(docs, shingle=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = crf_lang.train(docs, ~held_out)
+    return crf_lang.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                          table(spark, sf_dir, "benchmark"))
@@ -77,6 +85,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_near_dedup": op7_near_dedup,
+    "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
