@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import crf_lang, decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow, toxicity, warc
+from textmill.llm import (ann_tree, crf_lang, decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow,
+                          toxicity, warc)
 from textmill.sources.tables import table
 
 SHARDS = 24
@@ -23,6 +24,10 @@ def op1_token_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_arrow.read_documents(manifest)
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = toxicity.fold(F.col("doc_id"), 5) == 0
@@ -80,6 +85,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_arrow": op1_token_arrow,
+    "op2_nearest": op2_nearest,
     "op3_toxicity": op3_toxicity,
     "op4_warc": op4_warc,
     "op5_sharding": op5_sharding,
