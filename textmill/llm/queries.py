@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import (ann_tree, crf_lang, decontaminate, near_dup, packing, recompress, shard_bytes, token_arrow,
-                          toxicity, warc)
+from textmill.llm import (ann_tree, crf_lang, decontaminate, near_dup, oracle, packing, recompress, shard_bytes,
+                          token_arrow, toxicity, warc)
 from textmill.sources.tables import table
 
 SHARDS = 24
@@ -96,4 +96,4 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.SQL)
