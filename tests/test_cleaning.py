@@ -20,6 +20,24 @@ CASES = [
     ("a­b a​b", "ab ab"),
     ("a b c", "a b c"),
     ("  many   \n\t spaces  ", "many spaces"),
+    # quotes delimit only after '='; a stray '<letter' is text
+    ("<a title=it's>hello world rest of page", "hello world rest of page"),
+    ("<p>x</p><a href=/o'neil>hello</a> don't <b>drop</b> me", "x hello don't drop me"),
+    ("a <b and then the rest of the text", "a <b and then the rest of the text"),
+    ("<a title = 'x>y' alt=\">\">in</a> out", "in out"),
+    ("text <img src='a", "text"),
+    ("text <img alt=x src", "text"),
+    ("text <br", "text"),
+    ("<p " + "x" * 200_000 + ">kept", "kept"),
+    ("<p " + "a='b' " * 10_000 + ">kept", "kept"),
+    ("<script " + "x" * 50_000 + ">gone</script>kept", "kept"),
+    ("a <" + "b" * 50_000 + " c d e", "a <" + "b" * 50_000 + " c d e"),
+    # character references: the whole standard set, Windows-1252, numbers out of range
+    ("caf&eacute; &rarr; &frac12;", "café → ½"),
+    ("&#150;&#x93;x&#148;", "–“x”"),
+    ("&#0;&#xD800;&#99999999999;&#x110000;", "\ufffd\ufffd\ufffd\ufffd"),
+    ("&notit; &notin; &ampere &unknown; &;&", "¬it; ∉ &ere &unknown; &;&"),
+    ("&#0000000065;&NotEqualTilde;", "A≂̸"),
 ]
 
 

@@ -101,18 +101,6 @@ REDACTION_LABELS = [
     ("SSN", "[SSN_REDACTED]"),
 ]
 
-# Named HTML entities decoded by the cleaner (name -> character).  The set
-# covers the HTML 4 entities that are also valid without ';'.
-HTML_ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
-    "copy": "©", "reg": "®", "middot": "·", "laquo": "«",
-    "raquo": "»", "deg": "°", "plusmn": "±", "para": "¶",
-    "sect": "§", "cent": "¢", "pound": "£", "yen": "¥",
-    "euro": "€", "ndash": "–", "mdash": "—", "lsquo": "‘",
-    "rsquo": "’", "ldquo": "“", "rdquo": "”", "hellip": "…",
-    "bull": "•", "trade": "™", "times": "×", "divide": "÷",
-}
-
 # --------------------------------------------------------------------------
 # Java translations of the rules above
 # --------------------------------------------------------------------------

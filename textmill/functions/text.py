@@ -5,6 +5,8 @@ whole-stage codegen); nothing here runs Python per row.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,40 +18,37 @@ from . import patterns as P
 # the same as joining text nodes with a space.
 # ---------------------------------------------------------------------------
 
-# A tag with quote-aware attributes: '>' inside a quoted value does not end it.
-_ATTRS = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+# A tag runs to the first '>' outside a quoted value, and a value is quoted only
+# right after '='.  All loops are possessive: Java runs them without recursion,
+# so a tag of any length is safe.
+_ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 HTML_COMMENT = r"<!--[\s\S]*?(?:-->|\z)"
-HTML_DECL = r"<[!?][^>]*(?:>|\z)"
+HTML_DECL = r"<[!?][^>]*+(?:>|\z)"
 # Bodies of script, style and template contribute no text; an unclosed one
 # runs to the end of the page.
 HTML_RAW_BODY = (
-    r"(?i)<script(?:[\s/]" + _ATTRS + r")?>[\s\S]*?(?:</script\s*>|\z)"
-    r"|<style(?:[\s/]" + _ATTRS + r")?>[\s\S]*?(?:</style\s*>|\z)"
-    r"|<template(?:[\s/]" + _ATTRS + r")?>[\s\S]*?(?:</template\s*>|\z)"
+    r"(?i)<script(?:[\s/]" + _ATTRS + r")?+>[\s\S]*?(?:</script\s*+>|\z)"
+    r"|<style(?:[\s/]" + _ATTRS + r")?+>[\s\S]*?(?:</style\s*+>|\z)"
+    r"|<template(?:[\s/]" + _ATTRS + r")?+>[\s\S]*?(?:</template\s*+>|\z)"
 )
 HTML_TAG = r"</?[A-Za-z]" + _ATTRS + ">"
-# After all complete tags are gone, a remaining '<letter' starts a tag cut
-# off by the end of the page: it is dropped with the rest.
-HTML_UNFINISHED_TAG = r"</?[A-Za-z][\s\S]*\z"
-
-# Entities valid without a trailing ';' (the HTML 4 set); the others need it.
-_NO_SEMI_OK = [
-    "amp", "lt", "gt", "quot", "nbsp", "copy", "reg", "middot", "laquo",
-    "raquo", "deg", "plusmn", "para", "sect", "cent", "pound", "yen", "times",
-    "divide",
-]
-
-
-def _entity_alternation(names) -> str:
-    # longest first, so that a longer name wins over its prefix
-    return "|".join(sorted(names, key=lambda n: (-len(n), n)))
-
+# A tag cut off by the end of the page is a name, attributes with values and at
+# most one more name; any other remaining '<letter' is text.
+HTML_UNFINISHED_TAG = (
+    r"""</?[A-Za-z][^\s<>"'=/]*+"""
+    r"""(?:[\s/]++[^\s<>"'=/]++\s*+=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s"'<>]++|\z))*+"""
+    r"""(?:[\s/]++[^\s<>"'=/]++)?+[\s/]*+\z"""
+)
 
-_SEMI_ONLY = [n for n in P.HTML_ENTITIES if n not in _NO_SEMI_OK]
-ENTITY_NAMED_SEMI = r"^(" + _entity_alternation(P.HTML_ENTITIES) + r");"
-ENTITY_NAMED_BARE = r"^(" + _entity_alternation(_NO_SEMI_OK) + r")"
-ENTITY_DEC = r"^#([0-9]{1,7});?"
-ENTITY_HEX = r"^#[xX]([0-9a-fA-F]{1,6});?"
+# Character references: names of up to 32 characters, numbers of any length.
+ENTITY_NAME = r"^([A-Za-z][A-Za-z0-9]{0,31})(;?)"
+ENTITY_DEC = r"^#([0-9]++);?+"
+ENTITY_HEX = r"^#[xX]([0-9a-fA-F]++);?+"
+_NAMES_SEMI = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
+_NAMES_BARE = {n: c for n, c in html5.items() if not n.endswith(";")}
+_BARE_PREFIX = "^(" + "|".join(sorted(_NAMES_BARE, key=lambda n: (-len(n), n))) + ")"
+# 128-159 are read as Windows-1252 where it has a character
+_C1 = {n: bytes([n]).decode("cp1252", "ignore") for n in range(128, 160)}
 
 
 def _code_point_to_string(n: Column) -> Column:
@@ -57,34 +56,40 @@ def _code_point_to_string(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
-def _entity_map() -> Column:
-    items = []
-    for name, ch in P.HTML_ENTITIES.items():
-        items += [F.lit(name), F.lit(ch)]
-    return F.create_map(*items)
+def _literal_map(items: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in items.items() for x in pair])
+
+
+def _numeric_reference(n: Column) -> Column:
+    """The character of a number: 0, surrogates and numbers beyond Unicode are
+    U+FFFD, 128-159 are Windows-1252."""
+    bad = n.isNull() | (n == 0) | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF))
+    c1 = F.element_at(_literal_map({n: c for n, c in _C1.items() if c}), F.when(n.between(128, 159), n))
+    return F.when(bad, F.lit("\ufffd")).otherwise(F.coalesce(c1, _code_point_to_string(n)))
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode character references once: named (from the fixed table),
-    decimal and hexadecimal.  The text is split on '&' and each piece after
-    the first is decoded at its head, so a decoded '&' is never re-read."""
-    emap = _entity_map()
+    """Decode character references once: all names of the HTML standard
+    (those of the old set also without ';', longest first), decimal and
+    hexadecimal numbers.  The text is split on '&' and each piece after the
+    first is decoded at its head, so a decoded '&' is never re-read."""
+    semi, bare = _literal_map(_NAMES_SEMI), _literal_map(_NAMES_BARE)
 
     def piece(p: Column) -> Column:
-        dec = F.regexp_extract(p, ENTITY_DEC, 1)
-        hx = F.regexp_extract(p, ENTITY_HEX, 1)
-        semi = F.regexp_extract(p, ENTITY_NAMED_SEMI, 1)
-        bare = F.regexp_extract(p, ENTITY_NAMED_BARE, 1)
-        dec_n = dec.try_cast("int")
-        hex_n = F.conv(hx, 16, 10).try_cast("int")
-        valid = lambda n: (n > 0) & (n <= 0x10FFFF) & ~((n >= 0xD800) & (n <= 0xDFFF))
+        dec, hx = F.regexp_extract(p, ENTITY_DEC, 1), F.regexp_extract(p, ENTITY_HEX, 1)
+        name, end = F.regexp_extract(p, ENTITY_NAME, 1), F.regexp_extract(p, ENTITY_NAME, 2)
+        full = F.when(end == ";", F.element_at(semi, F.when(name != "", name)))
+        short = F.regexp_extract(p, _BARE_PREFIX, 1)
+        # more than 7 significant digits are beyond Unicode in any case
+        dec_n = F.ltrim(dec, F.lit("0"))
+        hex_n = F.ltrim(hx, F.lit("0"))
+        dec_n = F.when(F.length(dec_n) <= 7, F.coalesce(dec_n.try_cast("int"), F.lit(0)))
+        hex_n = F.when(F.length(hex_n) <= 6, F.coalesce(F.conv(hex_n, 16, 10).try_cast("int"), F.lit(0)))
         return (
-            F.when((dec != "") & valid(dec_n),
-                   F.concat(_code_point_to_string(dec_n), F.regexp_replace(p, ENTITY_DEC, "")))
-            .when((hx != "") & valid(hex_n),
-                  F.concat(_code_point_to_string(hex_n), F.regexp_replace(p, ENTITY_HEX, "")))
-            .when(semi != "", F.concat(F.element_at(emap, semi), F.regexp_replace(p, ENTITY_NAMED_SEMI, "")))
-            .when(bare != "", F.concat(F.element_at(emap, bare), F.regexp_replace(p, ENTITY_NAMED_BARE, "")))
+            F.when(dec != "", F.concat(_numeric_reference(dec_n), F.regexp_replace(p, ENTITY_DEC, "")))
+            .when(hx != "", F.concat(_numeric_reference(hex_n), F.regexp_replace(p, ENTITY_HEX, "")))
+            .when(full.isNotNull(), F.concat(full, p.substr(F.length(name) + 2, F.length(p))))
+            .when(short != "", F.concat(F.element_at(bare, F.when(short != "", short)), p.substr(F.length(short) + 1, F.length(p))))
             .otherwise(F.concat(F.lit("&"), p))
         )
 
@@ -101,7 +106,7 @@ def strip_html(c: Column) -> Column:
     out = F.regexp_replace(out, HTML_DECL, " ")
     out = F.regexp_replace(out, HTML_TAG, " ")
     out = F.regexp_replace(out, HTML_UNFINISHED_TAG, " ")
-    out = decode_entities(out)
+    out = F.when(out.contains("&"), decode_entities(out)).otherwise(out)
     return F.when(c.rlike("[<&]"), out).otherwise(c)
 
 
