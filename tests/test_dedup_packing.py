@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from textmill.config import TrainingConfig
+from textmill.config import DedupConfig, TrainingConfig
 from textmill.operators import dedup, ordering, training
 
 
@@ -37,6 +37,43 @@ def test_chain_keeps_both_ends(spark):
     assert {r[0] for r in dedup.greedy_dropped(e).collect()} == {1}
 
 
+def test_long_chain(spark):
+    n = 60
+    e = spark.createDataFrame([(i, i + 1) for i in range(n)], "i long, j long")
+    assert {r[0] for r in dedup.greedy_dropped(e).collect()} == set(range(1, n + 1, 2))
+
+
+def test_one_template_lists_no_pairs_of_members(spark):
+    """Members are compared with kept leaders only: n rows of one bucket."""
+    seen = []
+
+    def similar(pairs):
+        seen.append(pairs.count())
+        return pairs.where("original_index % 3 = lead % 3")
+    buckets = spark.range(20_000).select(F.lit(1).alias("key"), F.col("id").alias("original_index"))
+    gone = {r[0] for r in dedup.leader_rounds(buckets, similar).collect()}
+    assert gone == set(range(3, 20_000)) and sum(seen) <= 3 * 20_000 and len(seen) == 3
+
+
+def test_near_duplicates_follow_the_sequential_rule(spark):
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(12):
+        w = [rnd.choice(words) for _ in range(60)]
+        for _ in range(rnd.randint(1, 5)):
+            v = list(w)
+            for _ in range(rnd.randint(0, 2)):
+                v[rnd.randrange(60)] = rnd.choice(words)
+            texts.append(" ".join(v))
+    rnd.shuffle(texts)
+    sets = [{tuple(t.split()[i:i + 3]) for i in range(len(t.split()) - 2)} for t in texts]
+    edges = [(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) > 0.8 * len(sets[i] | sets[j])]
+    df = spark.createDataFrame(list(enumerate(texts)), "original_index long, text string")
+    out = dedup.annotate_near(df, DedupConfig(verify="exact", threshold=0.8))
+    assert {r["original_index"] for r in out.collect() if r["is_duplicate"]} == _sequential(len(texts), edges) and edges
+
+
 def _pack_py(docs, B, eos):
     stream = []
     for t in docs:

@@ -174,32 +174,41 @@ def _reps(fp: DataFrame, cfg: DedupConfig) -> DataFrame:
     return marked
 
 
+def _bands(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
+    r = cfg.rows_per_band
+    bands = F.transform(F.sequence(F.lit(0), F.lit(cfg.bands - 1)),
+                        lambda b: F.struct(b.alias("band"), F.xxhash64(F.slice("sig", b * r + 1, r)).alias("bh")))
+    return reps.select(IDX, F.explode(bands).alias("b")).select(IDX, "b.band", "b.bh")
+
+
 def minhash_candidates(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
     """(i, j), i < j, sharing at least one LSH band.  Bands are explode'd as
     (band, 64-bit hash of the band's slots); the self equi-join on
     (band, hash) only carries indices, never signatures."""
-    r = cfg.rows_per_band
-    bands = F.transform(F.sequence(F.lit(0), F.lit(cfg.bands - 1)),
-                        lambda b: F.struct(b.alias("band"), F.xxhash64(F.slice("sig", b * r + 1, r)).alias("bh")))
-    ex = reps.select(IDX, F.explode(bands).alias("b")).select(IDX, "b.band", "b.bh")
+    ex = _bands(reps, cfg)
     a, b = ex.alias("a"), ex.alias("b")
     return (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.bh") == F.col("b.bh"))
                    & (F.col(f"a.{IDX}") < F.col(f"b.{IDX}")))
             .select(F.col(f"a.{IDX}").alias("i"), F.col(f"b.{IDX}").alias("j")).distinct())
 
 
+def _prefixes(reps: DataFrame, threshold: float) -> DataFrame:
+    """(index, shingle, set size) of each set's prefix, rarest shingles first."""
+    ex = reps.select(IDX, F.explode("shingles").alias("sh"), F.size("shingles").alias("n"))
+    df_ = ex.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
+    ranked = ex.join(df_, "sh").withColumn(
+        "rk", F.row_number().over(Window.partitionBy(IDX).orderBy("df", "sh")))
+    plen = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
+    return ranked.filter(F.col("rk") <= plen).select(IDX, "sh", "n")
+
+
 def prefix_candidates(reps: DataFrame, threshold: float) -> DataFrame:
     """(i, j), i < j, that can reach Jaccard >= threshold: the exact prefix
     filter.  Shingles are ordered rarest first (global document frequency);
     two sets with Jaccard >= t share a shingle within their first
     ``|A| - ceil(t*|A|) + 1`` shingles, and their sizes differ by at most
     the factor t.  No candidate is lost, so no cap is needed."""
-    ex = reps.select(IDX, F.explode("shingles").alias("sh"), F.size("shingles").alias("n"))
-    df_ = ex.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
-    ranked = ex.join(df_, "sh").withColumn(
-        "rk", F.row_number().over(Window.partitionBy(IDX).orderBy("df", "sh")))
-    plen = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
-    pre = ranked.filter(F.col("rk") <= plen).select(IDX, "sh", "n")
+    pre = _prefixes(reps, threshold)
     a, b = pre.alias("a"), pre.alias("b")
     cond = ((F.col("a.sh") == F.col("b.sh")) & (F.col(f"a.{IDX}") < F.col(f"b.{IDX}"))
             & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * F.lit(threshold) - F.lit(1e-9)))
@@ -210,14 +219,15 @@ def verified_edges(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
     """Candidate pairs whose similarity is strictly above the threshold:
     share of equal signature slots (minhash) or exact Jaccard of the
     shingle sets (exact)."""
-    if cfg.verify == "exact":
-        cands = prefix_candidates(reps, cfg.threshold)
-        val = "shingles"
-    else:
-        cands = minhash_candidates(reps, cfg)
-        val = "sig"
+    cands = prefix_candidates(reps, cfg.threshold) if cfg.verify == "exact" else minhash_candidates(reps, cfg)
+    return _similar(cands, reps, cfg)
+
+
+def _similar(pairs: DataFrame, reps: DataFrame, cfg: DedupConfig) -> DataFrame:
+    """The pairs (i, j) whose similarity is strictly above the threshold."""
+    val = "shingles" if cfg.verify == "exact" else "sig"
     side = reps.select(F.col(IDX).alias("_id"), F.col(val).alias("_v"))
-    left = cands.join(side.withColumnRenamed("_v", "va"), F.col("i") == F.col("_id")).drop("_id")
+    left = pairs.join(side.withColumnRenamed("_v", "va"), F.col("i") == F.col("_id")).drop("_id")
     both = left.join(side.withColumnRenamed("_v", "vb"), F.col("j") == F.col("_id")).drop("_id")
     if cfg.verify == "exact":
         inter = F.size(F.array_intersect("va", "vb"))
@@ -233,34 +243,53 @@ def verified_edges(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
 # E9 greedy first-occurrence-wins
 # ---------------------------------------------------------------------------
 
-def greedy_dropped(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def greedy_dropped(edges: DataFrame) -> DataFrame:
     """Indices dropped by the sequential rule "in order, drop a row iff it
-    is similar to an earlier kept row", computed in rounds: an undecided row
-    with no undecided smaller neighbour is kept, and its larger neighbours
-    are dropped.  Each round's state is checkpointed (shared checkpoint
-    folder), so lineage stays short and lost executors recompute one round.
-    Rows without an edge are kept and never enter the loop."""
-    e = edges.select("i", "j")
-    spark = e.sparkSession
+    is similar to an earlier kept row", over listed similar pairs: rounds of
+    ``leader_rounds`` in which each pair is a bucket of its own."""
+    e = edges.select("i", "j").distinct()
+    buckets = e.select(F.xxhash64("i", "j").alias("key"), F.explode(F.array("i", "j")).alias(IDX))
+    # a bucket holds one pair, and all pairs are similar
+    return leader_rounds(buckets, lambda pairs: pairs.join(
+        e.select(F.col("i").alias("lead"), F.col("j").alias(IDX)), ["lead", IDX], "left_semi"))
+
+
+def leader_rounds(buckets: DataFrame, similar) -> DataFrame:
+    """Indices dropped by the sequential rule, without listing the pairs of a
+    bucket.  ``buckets`` (key, index) brings every similar pair together in
+    some bucket; ``similar`` keeps the similar ones of (lead, index) pairs.
+
+    A bucket's leader is its smallest undecided row.  A row that leads all its
+    buckets has no undecided earlier candidate and was not dropped by a kept
+    one: it is kept, compared with the undecided members of its buckets, and
+    leaves them with the rows that it drops.  So a bucket of n rows costs
+    (members x kept leaders) comparisons, the minimum combines map-side, and
+    the smallest undecided row is decided in every round: the loop ends when
+    none is left, whatever the length of a chain."""
     from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(buckets.sparkSession)
     dropped = None
-    for _ in range(max_rounds):
-        e = reliable_checkpoint(e)
-        if e.isEmpty():
-            return dropped if dropped is not None else spark.createDataFrame([], f"{IDX} long")
-        # rows with an undecided smaller neighbour must wait
-        waiting = e.select(F.col("j").alias("v")).distinct()
-        kept_now = e.select(F.col("i").alias("v")).distinct().join(waiting, "v", "left_anti")
-        newly = (e.join(kept_now.withColumnRenamed("v", "i"), "i", "left_semi")
-                 .select(F.col("j").alias(IDX)).distinct())
-        newly = reliable_checkpoint(newly)
-        dropped = newly if dropped is None else dropped.unionByName(newly)
-        # decided rows leave the graph: kept sources and dropped targets
-        gone = kept_now.withColumnRenamed("v", "x").unionByName(newly.withColumnRenamed(IDX, "x"))
-        e = (e.join(gone.withColumnRenamed("x", "i"), "i", "left_anti")
-              .join(gone.withColumnRenamed("x", "j"), "j", "left_anti"))
-    raise RuntimeError(f"greedy dedup did not converge in {max_rounds} rounds")
+    state = reliable_checkpoint(buckets.select("key", IDX).distinct())
+    while True:
+        lead = state.groupBy("key").agg(F.min(IDX).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        led = reliable_checkpoint(state.join(lead, "key").select("key", IDX, "lead"))
+        if led.isEmpty():
+            break
+        waiting = led.where(F.col(IDX) != F.col("lead")).select(IDX).distinct()
+        kept = led.select(F.col("lead").alias(IDX)).distinct().join(waiting, IDX, "left_anti")
+        pairs = (led.where(F.col(IDX) != F.col("lead")).select("lead", IDX).distinct()
+                 .join(kept.withColumnRenamed(IDX, "lead"), "lead", "left_semi"))
+        gone = reliable_checkpoint(similar(pairs).select(IDX).distinct())
+        dropped = gone if dropped is None else dropped.unionByName(gone)
+        state = (led.select("key", IDX).join(kept, IDX, "left_anti").join(gone, IDX, "left_anti"))
+    return dropped if dropped is not None else buckets.select(IDX).limit(0)
+
+
+def _buckets(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
+    """(key, index): LSH bands, or in exact mode the prefix shingles."""
+    if cfg.verify == "exact":
+        return _prefixes(reps, cfg.threshold).select(F.xxhash64("sh").alias("key"), IDX)
+    return _bands(reps, cfg).select(F.xxhash64("band", "bh").alias("key"), IDX)
 
 
 def annotate_near(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
@@ -268,7 +297,9 @@ def annotate_near(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
     near-duplicate rule (first occurrence wins)."""
     fp = fingerprint(df, cfg.squeeze_punct).filter(F.col("content_hash").isNotNull())
     reps = _reps(fp, cfg)
-    dropped = greedy_dropped(verified_edges(reps.filter(~F.col("_copy")), cfg), cfg.max_rounds)
+    firsts = reps.filter(~F.col("_copy"))
+    dropped = leader_rounds(_buckets(firsts, cfg), lambda pairs: _similar(
+        pairs.select(F.col("lead").alias("i"), F.col(IDX).alias("j")), firsts, cfg).select(F.col("j").alias(IDX)))
     decided = (reps.select(IDX, "_copy").join(dropped.withColumn("_dropped", F.lit(True)), IDX, "left")
                .select(IDX, (F.col("_copy") | F.coalesce("_dropped", F.lit(False))).alias("is_duplicate")))
     return fp.join(decided, IDX, "inner")
