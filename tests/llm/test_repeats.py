@@ -217,6 +217,24 @@ def test_sketches_merge_and_estimate():
     assert max(errors) < 4
 
 
+@pytest.mark.parametrize("related,close,block", [(0.4, 0.75, 256), (0.4, 0.75, 3), (0.9, 2.0, 4), (0.0, 0.0, 2)])
+def test_links_that_no_leader_shows(spark, monkeypatch, related, close, block):
+    """Many versions at mixed distances; families and residual members alone, in small blocks."""
+    monkeypatch.setattr(near_dup, "RELATED", related)
+    monkeypatch.setattr(near_dup, "CLOSE", close)
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        v = list(base)
+        for k in rng.sample(range(120), rng.randint(0, 9)):
+            v[k] = f"x{rng.randrange(10_000)}"
+        rows.append((i, " ".join(v)))
+    got = near_dup.near_duplicates(frame(spark, rows), shingle=2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, c) for i, _, c in groups_by_hand(rows, 2))
+
+
 def test_across_finds_links_that_the_stars_miss(spark, monkeypatch):
     """a - b - c where only the middle is alike to both, whatever leads a bucket."""
     base = [f"w{i}" for i in range(100)]
