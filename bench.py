@@ -19,7 +19,8 @@ def main() -> None:
 
     spark = local_session(cores=cpus, shuffle_partitions=max(8, int(cpus) * 2) if cpus.isdigit() else 16)
     t0 = time.time()
-    res = run(spark, sf_dir)
+    # the tables are single-row-group files: spread them, as a reader of many files would be
+    res = run(spark, sf_dir, input_partitions=int(cpus) * 2 if cpus.isdigit() else 16)
     for name in ("safety_metrics", "dedup_metrics", "token_metrics", "perplexity_stats", "shard_meta"):
         if name in res.tables:
             res.tables[name].collect()

@@ -96,19 +96,22 @@ def test_packing_cases(spark):
     for docs in cases:
         df = spark.createDataFrame([(i, d, "en", "web") for i, d in enumerate(docs)],
                                    "original_index long, tokens array<int>, language string, source string")
-        blocks, summary = training.pack_blocks(df, cfg, bucket_rows=2)
+        blocks, summary = training.pack_blocks(df, cfg)
         got = [list(r["tokens"]) for r in blocks.orderBy("block_index").collect()]
         assert got == _pack_py(docs, B, eos), docs
 
 
-def test_prefix_sum_bucket_independent(spark):
-    df = spark.range(200).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v")).repartition(5)
-    ref = None
-    for k in (1, 16, 1000):
-        out = ordering.exclusive_prefix_sum(df, ordering.dense_bucket(F.col("k"), k), ["k"], F.col("v"), "ps")
+def test_prefix_sum_of_any_keys(spark):
+    """Sparse keys, any partition count."""
+    df = spark.range(200).select((F.col("id") * F.col("id") * 1_000_003).alias("k"), (F.col("id") % 7).alias("v")).repartition(5)
+    before, ref = spark.conf.get("spark.sql.shuffle.partitions"), None
+    for parts in ("1", "3", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        out = ordering.exclusive_prefix_sum(df, ["k"], F.col("v"), "ps")
         vals = [r["ps"] for r in out.orderBy("k").collect()]
         ref = ref or vals
         assert vals == ref
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     expect, acc = [], 0
     for i in range(200):
         expect.append(acc)

@@ -29,3 +29,17 @@ def test_jsonl_edges(spark):
     assert rows == [(0, "first", "http://a.example.com/x"), (1, "second", None), (2, "third", None)]
     counts = {r["status"]: r["n"] for r in jsonl.load_counts(spark, path).collect()}
     assert counts == {"ok": 3, "corrupt": 2, "no_text": 3}
+
+
+def test_texts_that_are_no_strings(spark):
+    """Truthy values take an index but give no document; falsy ones do neither."""
+    lines = ['{"text": "a"}', '{"text": 5}', '{"text": ["a"]}', '{"text": {"k": 1}}', '{"text": true}', '{"text": 0}', '{"text": []}',
+             '{"text": false}', '{"text": {}}', '{"text": 0.0}', '{"text": "5"}', '{"text": "false"}', '{"text": "0"}']
+    path = scratch_path(spark, "jsonl-test")
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.jsonl"), "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    rows = sorted((r["original_index"], r["text"]) for r in jsonl.load_jsonl(spark, path).collect())
+    assert rows == [(0, "a"), (5, "5"), (6, "false"), (7, "0")]
+    counts = {r["status"]: r["n"] for r in jsonl.load_counts(spark, path).collect()}
+    assert counts == {"ok": 4, "not_string": 4, "no_text": 5}

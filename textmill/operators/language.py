@@ -1,31 +1,55 @@
 """Language identification and distribution tables.
 
-B1 is a multinomial naive Bayes over word features, trained and applied
-with joins and aggregations:
-
-* train: ``explode(words) -> groupBy(language, word).count`` -> log
-  probabilities with add-alpha smoothing; the model keeps the ``top_k``
-  most frequent words per language, so its size is bounded by
-  ``languages x top_k`` whatever the corpus size, which is what lets the
-  scorer broadcast it.
-* score: ``explode(words) -> groupBy(doc, word).count`` joined to the
-  broadcast model, then ``sum(count * (logp - logp_unseen))`` per
-  (doc, language) plus ``n_words * logp_unseen + log prior``;
-  ``max_by`` picks the label.  Texts without a word get ``'unknown'``.
+B1 is a multinomial naive Bayes over hashed byte trigrams of the lower-cased
+text.  The model is a table of fixed width (``BUCKETS`` weights a language),
+whatever the corpus; training counts it in one pass (each batch adds up its
+own table before the shuffle), and scoring is row-local: one Arrow batch
+function over a broadcast model of checked size, no shuffle, no word left
+out.  Learn from one part of the rows and judge on another
+(``learning_rows``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-WORD_SPLIT = r"[^\p{L}]+"
-
-
-def words(text: Column) -> Column:
-    """Lower-cased letter runs."""
-    return F.filter(F.split(F.lower(text), WORD_SPLIT), lambda w: w != "")
+BUCKETS = 4093
+MAX_LANGUAGES = 1000  # of a model: bounds what is broadcast
+STEP_BYTES = 1 << 21
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+
+def learning_rows(id_col: Column, folds: int = 5) -> Column:
+    """A fixed share of the ids, (folds - 1) of folds, to learn from."""
+    return F.conv(F.substring(F.md5(id_col.cast("string")), 1, 7), 16, 10).cast("long") % folds != 0
+
+
+def trigrams(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bucket of each trigram, its row) of pieces of a
+    batch; null is empty and trigrams stay inside their row."""
+    texts = texts.fill_null("") if texts.null_count else texts
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + STEP_BYTES, side="right")) - 1)
+        part = texts.slice(at, to - at)
+        width = np.int64 if pa.types.is_large_string(part.type) else np.int32
+        offs = np.frombuffer(part.buffers()[1], dtype=width)[part.offset: part.offset + to - at + 1]
+        data = _LOWER[np.frombuffer(part.buffers()[2] or b"", dtype=np.uint8)[offs[0]: offs[-1]]].astype(np.int64)
+        row = np.repeat(np.arange(to - at), np.diff(offs))
+        inside = row[2:] == row[:-2]
+        code = (data[:-2] * 65536 + data[1:-1] * 256 + data[2:]) % BUCKETS
+        yield at, to, code[inside], row[2:][inside]
+        at = to
 
 
 def distribution(df: DataFrame, lang_col: str = "language") -> DataFrame:
@@ -50,52 +74,63 @@ def target_share(df: DataFrame, target: str, lang_col: str = "language") -> Data
     return df.agg(F.avg((F.col(lang_col) == F.lit(target)).cast("double")).alias("target_share"))
 
 
-def train_profile(labelled: DataFrame, text_col: str = "text", label_col: str = "language",
-                  top_k_words: int = 2000, alpha: float = 1.0, buckets: int = 64) -> DataFrame:
-    """(language, word, logp, logp_unseen, log_prior) from labelled text."""
-    w = labelled.select(F.col(label_col).alias("language"), F.explode(words(F.col(text_col))).alias("word"))
-    counts = w.groupBy("language", "word").agg(F.count(F.lit(1)).alias("c"))
-    per_lang = counts.groupBy("language").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("vocab"))
-    docs = labelled.groupBy(F.col(label_col).alias("language")).agg(F.count(F.lit(1)).alias("docs"))
-    # Two-level top-k: a window per (language, word-hash bucket) keeps each
-    # task bounded, the final window sees at most buckets * top_k rows of a
-    # language, whatever the corpus size or language skew.
-    part = F.row_number().over(Window.partitionBy("language", "_b").orderBy(F.desc("c"), "word"))
-    partial = (counts.withColumn("_b", F.pmod(F.xxhash64("word"), F.lit(buckets)))
-               .withColumn("r", part).filter(F.col("r") <= top_k_words).drop("r", "_b"))
-    rank = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("c"), "word"))
-    top = partial.withColumn("r", rank).filter(F.col("r") <= top_k_words).drop("r")
-    n_docs = F.sum("docs").over(Window.partitionBy())
-    priors = docs.select("language", (F.log("docs") - F.log(n_docs)).alias("log_prior"))
-    stats = per_lang.join(priors, "language")
-    return (top.join(F.broadcast(stats), "language")
-            .select("language", "word",
-                    (F.log(F.col("c") + alpha) - F.log(F.col("total") + alpha * F.col("vocab"))).alias("logp"),
-                    (F.log(F.lit(alpha)) - F.log(F.col("total") + alpha * F.col("vocab"))).alias("logp_unseen"),
-                    "log_prior"))
-
-
-def detect(df: DataFrame, profile: DataFrame, text_col: str = "text", id_col: str = "original_index",
-           out_col: str = "language") -> DataFrame:
-    """Adds ``out_col`` = most likely language, ``'unknown'`` without words."""
-    # The model's language list is bounded by the model (a handful of rows),
-    # so it is attached to every document as a literal array, not joined.
-    langs = sorted(profile.select("language", "logp_unseen", "log_prior").distinct().collect())
-    feats = (df.select(id_col, F.explode(words(F.col(text_col))).alias("word"))
-             .groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("c")))
-    n_words = feats.groupBy(id_col).agg(F.sum("c").alias("n_words"))
-    gain = (feats.join(F.broadcast(profile.select("language", "word", (F.col("logp") - F.col("logp_unseen")).alias("g"))),
-                       "word")
-            .groupBy(id_col, "language").agg(F.sum(F.col("c") * F.col("g")).alias("gain")))
-    lang_array = F.array(*[F.struct(F.lit(r["language"]).alias("language"),
-                                    F.lit(float(r["logp_unseen"])).alias("logp_unseen"),
-                                    F.lit(float(r["log_prior"])).alias("log_prior")) for r in langs])
-    base = n_words.select(id_col, "n_words", F.explode(lang_array).alias("l")).select(
-        id_col, "n_words", "l.language", "l.logp_unseen", "l.log_prior")
-    scored = (base.join(gain, [id_col, "language"], "left")
-              .select(id_col, "language",
-                      (F.coalesce("gain", F.lit(0.0)) + F.col("n_words") * F.col("logp_unseen") + F.col("log_prior"))
-                      .alias("score")))
-    best = scored.groupBy(id_col).agg(F.max_by("language", F.struct("score", F.col("language"))).alias("_lang"))
-    return (df.join(best, id_col, "left")
-            .withColumn(out_col, F.coalesce(F.col("_lang"), F.lit("unknown"))).drop("_lang"))
+@dataclass
+class Profile:
+    """Languages with their log prior and log weights of all buckets."""
+
+    languages: list[str]
+    prior: np.ndarray
+    weights: np.ndarray  # languages x buckets
+
+
+def train_profile(labelled: DataFrame, text_col: str = "text", label_col: str = "language", alpha: float = 1.0) -> Profile:
+    """Count trigram buckets by label over all given rows with a label."""
+    rows = labelled.select(F.col(label_col).alias("l"), F.col(text_col).alias("t")).where("l IS NOT NULL")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = np.array(batch.column(0).to_pylist(), dtype=object)
+            names = sorted(set(labels))
+            own = np.array([names.index(x) for x in labels], dtype=np.int64)
+            table = np.zeros((len(names), BUCKETS), dtype=np.int64)
+            for lo, _, code, row in trigrams(batch.column(1)):
+                table += np.bincount(own[lo + row] * BUCKETS + code, minlength=table.size).reshape(table.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(np.bincount(own, minlength=len(names))),
+                                              pa.array(list(table), pa.list_(pa.int64()))], names=["l", "docs", "c"])
+
+    parts = rows.mapInArrow(count, "l string, docs long, c array<long>")
+    sums = parts.select("l", "docs", F.posexplode("c").alias("k", "c")).groupBy("l", "k").agg(F.sum("c").alias("c"))
+    docs = parts.groupBy("l").agg(F.sum("docs").alias("docs")).orderBy("l").limit(MAX_LANGUAGES + 1).collect()
+    if len(docs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages: not a language column")
+    names = [r.l for r in docs]
+    counts = np.zeros((len(names), BUCKETS))
+    if names:
+        got = sums.groupBy("l").agg(F.array_sort(F.collect_list(F.struct("k", "c"))).alias("c"))  # fixed width
+        for r in got.collect():
+            counts[names.index(r.l)] = [x.c for x in r.c]
+    n = np.array([float(r.docs) for r in docs])
+    return Profile(names, np.log(n) - np.log(n.sum()) if names else n,
+                   np.log(counts + alpha) - np.log(counts.sum(axis=1, keepdims=True) + alpha * BUCKETS))
+
+
+def detect(df: DataFrame, profile: Profile, text_col: str = "text", out_col: str = "language") -> DataFrame:
+    """Adds ``out_col`` = most likely language (the first by name if equal),
+    ``'unknown'`` without a letter or without a model."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(profile)
+
+    @F.arrow_udf("string")
+    def label(texts: pa.Array) -> pa.Array:
+        p, out = shared.value, []
+        for lo, hi, code, row in trigrams(texts):
+            score = np.stack([np.bincount(row, weights=w[code], minlength=hi - lo) + b
+                              for w, b in zip(p.weights, p.prior)], axis=1)
+            out += [p.languages[i] for i in score.argmax(axis=1)]
+        return pa.array(out, pa.string())
+
+    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    if not profile.languages:
+        return df.withColumn(out_col, F.lit("unknown"))
+    return df.withColumn(out_col, F.when(letters, label(F.col(text_col))).otherwise(F.lit("unknown")))

@@ -1,11 +1,12 @@
 """Global order without a single partition.
 
-A running sum (or rank) in the order of a key is computed per bucket of
-consecutive keys, then shifted by the bucket's offset.  The bucket is
-computed from the row itself (``key div K`` for a dense index, the leading
-bits of a hash for a hash order), so it is stable on recomputation and each
-bucket holds a bounded number of rows.  Offsets come from the per-bucket
-totals, a table with one row per bucket, joined back by bucket."""
+A running sum (or rank) in the order of a key: the rows, narrowed to what the
+order and the sum need, are range-partitioned by the key and written once with
+the number of their range; a window sums inside each range, and per-range
+totals (a row per partition) give each range its offset.  Nothing is assumed
+of the keys (dense or sparse, numbers or hashes), and the size of a range
+follows from the session's partition count.  Callers join the result back by
+key; texts and tokens never pass through the windows."""
 
 from __future__ import annotations
 
@@ -13,33 +14,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-DEFAULT_BUCKET_ROWS = 1 << 18
-
-
-def dense_bucket(key: Column, rows_per_bucket: int = DEFAULT_BUCKET_ROWS) -> Column:
-    return F.floor(key / F.lit(rows_per_bucket)).cast("long")
-
-
-def hash_bucket(h: Column, bits: int = 12) -> Column:
-    """Leading ``bits`` of a signed 64-bit hash: monotone in ``h``."""
-    return F.shiftright(h, 64 - bits)
-
-
-def exclusive_prefix_sum(df: DataFrame, bucket: Column, order: list, value: Column, out: str) -> DataFrame:
-    """Adds ``out`` = sum of ``value`` over all rows before this one in
-    (bucket, *order) order."""
-    b = df.withColumn("_bucket", bucket).withColumn("_val", value.cast("long"))
-    w = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    within = b.withColumn("_within", F.coalesce(F.sum("_val").over(w), F.lit(0)))
-    totals = b.groupBy("_bucket").agg(F.sum("_val").alias("_t"))
-    # one row per bucket: a window without partition is over that small table
-    offs = totals.select("_bucket", F.coalesce(F.sum("_t").over(
-        Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (within.join(offs, "_bucket")
+from ..session import reliable_checkpoint
+
+
+def exclusive_prefix_sum(df: DataFrame, order: list, value: Column, out: str) -> DataFrame:
+    """``df`` (a narrow frame) with ``out`` = sum of ``value`` over all rows
+    before this one in ``order``."""
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.withColumn("_val", value.cast("long")).repartitionByRange(parts, *order)
+    rows = reliable_checkpoint(ranged.withColumn("_range", F.spark_partition_id()))
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    totals = rows.groupBy("_range").agg(F.sum("_val").alias("_t"))
+    offsets = totals.select("_range", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    return (rows.withColumn("_within", F.coalesce(F.sum("_val").over(within), F.lit(0)))
+            .join(F.broadcast(offsets), "_range")
             .withColumn(out, (F.col("_off") + F.col("_within")).cast("long"))
-            .drop("_bucket", "_val", "_within", "_off"))
+            .drop("_range", "_val", "_within", "_off"))
 
 
-def rank(df: DataFrame, bucket: Column, order: list, out: str = "rank") -> DataFrame:
-    """0-based dense position in (bucket, *order) order."""
-    return exclusive_prefix_sum(df, bucket, order, F.lit(1), out)
+def rank(df: DataFrame, order: list, out: str = "rank") -> DataFrame:
+    """0-based dense position in ``order``."""
+    return exclusive_prefix_sum(df, order, F.lit(1), out)

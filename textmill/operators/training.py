@@ -145,21 +145,21 @@ def corpus_mode(df: DataFrame, col: str, default: str) -> str:
     return row[0][col] if row else default
 
 
-def pack_blocks(docs: DataFrame, cfg: TrainingConfig = TrainingConfig(),
-                bucket_rows: int = ordering.DEFAULT_BUCKET_ROWS) -> tuple[DataFrame, dict]:
+def pack_blocks(docs: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> tuple[DataFrame, dict]:
     """Concatenate token lists in ``original_index`` order with EOS between
     documents (none after the last), cut into blocks of ``block_size``; a
     short last block is kept iff it has at least ``block_size // 2`` tokens.
 
     Returns (blocks, summary)."""
     B, eos = int(cfg.block_size), int(cfg.eos_token)
-    d = docs.filter(F.col("tokens").isNotNull() & (F.size("tokens") > 0)).select(
-        IDX, "tokens", F.size("tokens").alias("n"), "language", "source")
-    d = ordering.exclusive_prefix_sum(d, ordering.dense_bucket(F.col(IDX), bucket_rows), [IDX],
-                                      F.col("n") + 1, "start")
-    d = reliable_checkpoint(d)
-    stats = d.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.col("n") + 1), F.lit(0)).alias("len")).first()
+    # the input is read by several jobs below: evaluated once, released at the end of the run
+    docs = docs.select(IDX, "tokens", "language", "source").persist()
+    d = docs.filter(F.col("tokens").isNotNull() & (F.size("tokens") > 0)).select(IDX, "tokens")
+    placed = ordering.exclusive_prefix_sum(d.select(IDX, F.size("tokens").alias("n")), [IDX], F.col("n") + 1, "start")
+    placed = reliable_checkpoint(placed)
+    stats = placed.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.col("n") + 1), F.lit(0)).alias("len")).first()
     total = max(int(stats["len"]) - 1, 0)
+    d = d.join(placed, IDX)
     full, tail = divmod(total, B)
     n_blocks = full + (1 if tail > 0 and tail >= B // 2 else 0)
     language = corpus_mode(docs, "language", "en")
@@ -201,21 +201,19 @@ def pack_blocks(docs: DataFrame, cfg: TrainingConfig = TrainingConfig(),
 
 # --------------------------------------------------------------------------- J5-J8
 
-def shuffle_and_shard(blocks: DataFrame, cfg: TrainingConfig = TrainingConfig(), hash_bits: int = 12) -> DataFrame:
+def shuffle_and_shard(blocks: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
     """Seeded permutation (order by xxhash64(seed, block_index), then
-    block_index) and shard = rank // shard_size.  The rank is bucketed on
-    the hash's leading bits, which keeps the hash order."""
+    block_index) and shard = rank // shard_size.  Ranks are computed on
+    (hash, index) rows and joined back to the blocks."""
     if cfg.shuffle_key == "md5":
         # the same permutation is expressible in SQL engines without xxhash64
         h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{int(cfg.shuffle_seed)}:"), F.col("block_index").cast("string"))),
                                1, 15), 16, 10).cast("long")
     else:
         h = F.xxhash64(F.lit(int(cfg.shuffle_seed)), F.col("block_index"))
-    keyed = blocks.withColumn("_h", h)
-    bucket = (ordering.hash_bucket(F.col("_h"), hash_bits) if cfg.shuffle_key != "md5"
-              else F.shiftright(F.col("_h"), 60 - hash_bits))
-    ranked = ordering.rank(keyed, bucket, ["_h", "block_index"], "rank")
-    return ranked.withColumn("shard_id", F.floor(F.col("rank") / int(cfg.shard_size)).cast("int")).drop("_h")
+    ranked = ordering.rank(blocks.select("block_index", h.alias("_h")), ["_h", "block_index"], "rank").drop("_h")
+    return blocks.join(ranked, "block_index").withColumn(
+        "shard_id", F.floor(F.col("rank") / int(cfg.shard_size)).cast("int"))
 
 
 def shard_meta(sharded: DataFrame) -> DataFrame:

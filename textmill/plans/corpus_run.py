@@ -65,7 +65,7 @@ def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_la
         clean_cfg: CleanConfig = CleanConfig(), safety_cfg: SafetyConfig = SafetyConfig(),
         dedup_cfg: DedupConfig = DedupConfig(), token_cfg: TokenConfig = TokenConfig(),
         ppl_cfg: PerplexityConfig = PerplexityConfig(), train_cfg: TrainingConfig = TrainingConfig(),
-        export: bool = True, min_partitions: int | None = None) -> RunResult:
+        export: bool = True, input_partitions: int | None = None) -> RunResult:
     res = RunResult()
     prev: DataFrame | None = None
     from ..session import ensure_checkpoint_dir
@@ -79,13 +79,17 @@ def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_la
         res.throughput.append((name, int(rows_in), int(n), sec, (n / sec) if sec > 0 else 0.0))
         return df, n
 
-    docs = tables.spread_small_input(tables.documents(spark, sf_dir),
-                                     min_partitions or spark.sparkContext.defaultParallelism)
+    docs = tables.documents(spark, sf_dir)
+    if input_partitions:  # the caller's choice, for inputs of fewer row groups than cores
+        docs = docs.repartition(input_partitions, "original_index")
 
     # load + language identification (model trained from the labelled table)
     if detect_language:
         # the model is trained once from the labelled table (its own stage)
-        profile, _ = stage("language_model", lambda: language.train_profile(docs, label_col="language"), 0)
+        t0 = time.time()
+        profile = language.train_profile(docs.where(language.learning_rows(F.col("original_index"))))
+        sec = time.time() - t0
+        res.throughput.append(("language_model", 0, len(profile.languages), sec, 0.0))
         loaded, n_all = stage("load_language", lambda: language.detect(
             docs.withColumnRenamed("language", "label"), profile), 0)
     else:

@@ -655,31 +655,32 @@ def q_validate_shards(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- B1
 
 @register("lang_detect", r"""
-WITH w AS (SELECT doc_id, lang, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda x: x <> '')) AS word
-           FROM documents),
-c AS (SELECT lang, word, count(*) AS c FROM w GROUP BY lang, word),
-pl AS (SELECT lang, sum(c) AS total, count(*) AS vocab FROM c GROUP BY lang),
-dl AS (SELECT lang, count(*) AS docs FROM documents GROUP BY lang),
-pr AS (SELECT lang, ln(docs) - ln(sum(docs) OVER ()) AS log_prior FROM dl),
-top AS (SELECT lang, word, c FROM (SELECT lang, word, c, row_number() OVER (PARTITION BY lang ORDER BY c DESC, word) AS r FROM c)
-        WHERE r <= 2000),
-prof AS (SELECT top.lang, word, ln(c + 1.0) - ln(total + 1.0 * vocab) AS logp, ln(1.0) - ln(total + 1.0 * vocab) AS unseen,
-                log_prior FROM top JOIN pl ON pl.lang = top.lang JOIN pr ON pr.lang = top.lang),
-f AS (SELECT doc_id, word, count(*) AS c FROM w GROUP BY doc_id, word),
-nw AS (SELECT doc_id, sum(c) AS n FROM f GROUP BY doc_id),
-gain AS (SELECT doc_id, prof.lang, sum(c * (logp - unseen)) AS g FROM f JOIN prof ON prof.word = f.word GROUP BY doc_id, prof.lang),
-langs AS (SELECT DISTINCT lang, unseen, log_prior FROM prof),
-sc AS (SELECT nw.doc_id, langs.lang, coalesce(g, 0) + n * unseen + log_prior AS score
-       FROM nw CROSS JOIN langs LEFT JOIN gain ON gain.doc_id = nw.doc_id AND gain.lang = langs.lang),
-best AS (SELECT doc_id, arg_max(lang, score) AS lang FROM sc GROUP BY doc_id)
-SELECT d.doc_id AS original_index, coalesce(best.lang, 'unknown') AS language
-FROM documents d LEFT JOIN best ON best.doc_id = d.doc_id
+WITH d AS (SELECT doc_id, lang, text, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 7) AS BIGINT) % 5 <> 0 AS learns,
+  list_transform(regexp_extract_all(hex(encode(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))), '..'),
+                 lambda x: CAST('0x' || x AS BIGINT)) AS b FROM documents),
+g AS (SELECT doc_id, lang, learns, unnest(list_transform(range(1, len(b) - 1), lambda i: (b[i] * 65536 + b[i + 1] * 256 + b[i + 2]) % 4093)) AS k
+      FROM d WHERE len(b) >= 3),
+c AS (SELECT lang, k, count(*) AS c FROM g WHERE learns AND lang IS NOT NULL GROUP BY lang, k),
+t AS (SELECT lang, sum(c) AS total FROM c GROUP BY lang),
+p AS (SELECT lang, ln(count(*)) - ln(sum(count(*)) OVER ()) AS prior FROM d WHERE learns AND lang IS NOT NULL GROUP BY lang),
+m AS (SELECT t.lang, r.k, ln(coalesce(c.c, 0) + 1.0) - ln(total + 4093.0) AS w
+      FROM t CROSS JOIN (SELECT unnest(range(0, 4093)) AS k) r LEFT JOIN c ON c.lang = t.lang AND c.k = r.k),
+f AS (SELECT doc_id, k, count(*) AS n FROM g GROUP BY doc_id, k),
+s AS (SELECT doc_id, m.lang, sum(n * w) AS score FROM f JOIN m ON m.k = f.k GROUP BY doc_id, m.lang),
+e AS (SELECT d.doc_id, p.lang, coalesce(s.score, 0) + prior AS score FROM d CROSS JOIN p LEFT JOIN s ON s.doc_id = d.doc_id AND s.lang = p.lang),
+best AS (SELECT doc_id, arg_max(lang, score) AS lang FROM e GROUP BY doc_id)
+SELECT d.doc_id AS original_index, CASE WHEN regexp_matches(coalesce(text, ''), '\p{L}') THEN best.lang ELSE 'unknown' END AS language,
+       NOT learns AS held_out
+FROM d LEFT JOIN best ON best.doc_id = d.doc_id
 """)
 def q_lang_detect(spark: SparkSession, sf: str) -> DataFrame:
+    """Learned from four fifths of the ids, predicted for all rows."""
     from ..operators import language
     docs = tables.documents(spark, sf)
-    profile = language.train_profile(docs, label_col="language")
-    return language.detect(docs.withColumnRenamed("language", "label"), profile).select("original_index", "language")
+    learns = language.learning_rows(F.col("original_index"))
+    profile = language.train_profile(docs.where(learns))
+    return language.detect(docs.withColumnRenamed("language", "label"), profile).select(
+        "original_index", "language", (~learns).alias("held_out"))
 
 
 # --------------------------------------------------------------------------- B6, E11, I4, J8

@@ -43,13 +43,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared checkpoint folder: the session's setting, else the folder
+    the launcher gave the context.  Only a local master gets a default; on a
+    cluster a machine-local folder would lose data, so that is an error."""
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = _LOCAL_CHECKPOINT_ROOT
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 

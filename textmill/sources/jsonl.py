@@ -1,8 +1,10 @@
 """JSONL scan with the dense row index of the input order.
 
 One object per line; lines are stripped, blank lines skipped; a line that
-is not a JSON object is counted as corrupt; rows with missing or empty
-``text`` are skipped.  ``original_index`` counts the valid rows in file
+is not a JSON object is counted as corrupt.  A missing, null or empty text, and
+the falsy values 0, false, [] and {}, are no document and take no index; any
+other value that is not a string takes its index but has no language
+(``unknown``), so no document comes of it.  ``original_index`` counts in file
 order (files by path, then by position).
 
 The index is built per file split: ``(file_path, file_block_start)`` is a
@@ -38,16 +40,21 @@ def load_jsonl(spark: SparkSession, path: str, with_status: bool = False) -> Dat
               .withColumn("_obj", F.when(F.col("_line").startswith("{"), F.from_json("_line", SCHEMA))))
     # from_json yields a struct of nulls for a malformed object; the key
     # list is null for anything that is not a valid JSON object
+    raw = F.variant_get(F.try_parse_json("_line"), "$.text", "variant")
+    kind = F.schema_of_variant(raw)
+    shown = F.col("_obj.text")
+    falsy = shown.isNull() | shown.isin("", "[]", "{}", "false") | (shown.try_cast("double") == 0)
     status = (F.when(F.col("_obj").isNull() | F.json_object_keys("_line").isNull(), F.lit("corrupt"))
-              .when(F.col("_obj.text").isNull() | (F.col("_obj.text") == ""), F.lit("no_text"))
+              .when(F.when(kind == "STRING", shown == "").otherwise(falsy), F.lit("no_text"))
+              .when(kind != "STRING", F.lit("not_string"))
               .otherwise(F.lit("ok")))
     rows = parsed.withColumn("status", status)
-    valid = rows.filter(F.col("status") == "ok")
+    valid = rows.filter(F.col("status").isin("ok", "not_string")).select("_file", "_block", "_pos", "status", "_obj")
     within = valid.withColumn("_r", F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_pos")) - 1)
     per_split = valid.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
     offsets = per_split.select("_file", "_block", F.coalesce(F.sum("_n").over(
         Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    indexed = (within.join(offsets, ["_file", "_block"])
+    indexed = (within.join(offsets, ["_file", "_block"]).filter(F.col("status") == "ok")
                .select((F.col("_off") + F.col("_r")).cast("long").alias("original_index"),
                        F.col("_obj.text").alias("text"), F.col("_obj.url").alias("url")))
     if with_status:

@@ -1,7 +1,7 @@
 """Sinks and shard QA: clean / tokenised / training shards, metrics,
 re-read validation and the checksummed dataset index.
 
-Shards are ``rank // shard_size`` of a global order (bucketed rank, see
+Shards are ``rank // shard_size`` of a global order (see
 ``operators.ordering``); each shard is one partition written in rank order
 under ``shard_id=<n>/``."""
 
@@ -15,10 +15,9 @@ from ..operators import ordering
 IDX = "original_index"
 
 
-def _write_sharded(df: DataFrame, order: list, bucket, shard_size: int, path: str, fmt: str,
-                   cols: list, **options) -> None:
-    ranked = ordering.rank(df, bucket, order, "_rank")
-    sharded = ranked.withColumn("shard_id", F.floor(F.col("_rank") / int(shard_size)).cast("int"))
+def _write_sharded(df: DataFrame, shard_size: int, path: str, fmt: str, cols: list, **options) -> None:
+    ranked = ordering.rank(df.select(IDX), [IDX], "_rank")  # ids only; texts are joined back
+    sharded = df.join(ranked, IDX).withColumn("shard_id", F.floor(F.col("_rank") / int(shard_size)).cast("int"))
     (sharded.repartition("shard_id").sortWithinPartitions("shard_id", "_rank")
      .select("shard_id", *cols).write.mode("overwrite").partitionBy("shard_id")
      .options(**options).format(fmt).save(path))
@@ -29,7 +28,7 @@ def write_clean_shards(df: DataFrame, path: str, shard_size: int = 10_000, compr
     opts = {"ignoreNullFields": "false"}
     if compression:
         opts["compression"] = compression
-    _write_sharded(df, [IDX], ordering.dense_bucket(F.col(IDX)), shard_size, path, "json",
+    _write_sharded(df, shard_size, path, "json",
                    ["text", "url", "char_length", "language"], **opts)
 
 
@@ -37,7 +36,7 @@ def write_tokenized_shards(df: DataFrame, path: str, shard_size: int = 10_000) -
     """tokens, token_count and a JSON metadata string, as Parquet."""
     meta = F.to_json(F.struct("url", "char_length", "language", IDX), {"ignoreNullFields": "false"})
     t = df.filter(F.col("tokens").isNotNull()).withColumn("metadata", meta)
-    _write_sharded(t, [IDX], ordering.dense_bucket(F.col(IDX)), shard_size, path, "parquet",
+    _write_sharded(t, shard_size, path, "parquet",
                    ["tokens", "token_count", "metadata"])
 
 

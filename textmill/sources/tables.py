@@ -33,20 +33,3 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("html").alias("text"),
         F.col("url"),
     )
-
-
-def spread_small_input(df: DataFrame, min_partitions: int | None) -> DataFrame:
-    """Hash-partition a small input by ``original_index`` over at least
-    ``min_partitions`` tasks.  A single-row-group file is read by one task
-    however it is split, so the row-level stages would run on one core.
-    A large input (at least ``min_partitions`` files) is left as scanned:
-    no extra shuffle at scale."""
-    if not min_partitions:
-        return df
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # noqa: BLE001 - not a file-based plan
-        n_files = min_partitions
-    if n_files >= min_partitions:
-        return df
-    return df.repartition(int(min_partitions), "original_index")
