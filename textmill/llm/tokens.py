@@ -9,6 +9,10 @@ are put together with numpy.  The cut rule follows from the tokenizer file:
   a visible character into white space, so a piece is white space plus what
   follows it;
 * otherwise whole texts are encoded.
+
+Both patterns also end a match between an ASCII letter and ASCII punctuation
+other than the apostrophe, so pieces are cut there too; where the normaliser
+folds case, ASCII letters are folded beforehand.
 """
 
 from __future__ import annotations
@@ -19,11 +23,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from textmill.llm.words import NOT_SPACE, Words, ragged, slices, split_words
+from textmill.llm.words import LOWER, NOT_SPACE, Words, ragged, slices
 
 END_ID = 1
-#: pieces kept per worker before the store starts anew with those in use
+#: pieces kept per worker; beyond, those met in one slice only are forgotten
 KEPT_PIECES = 1 << 20
+LEARN_AT_ONCE = 4096
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_MARK = np.zeros(256, dtype=bool)  # ASCII punctuation without the apostrophe
+_MARK[0x21:0x7F] = True
+_MARK[0x30:0x3A] = _MARK[0x27] = False
+_MARK &= ~_LETTER
 
 
 def cut_rule(spec: dict) -> str | None:
@@ -45,48 +57,66 @@ class Encoder:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            self.rule = cut_rule(json.load(f))
+            spec = json.load(f)
+        self.rule = cut_rule(spec)
+        self.folds = any(x.get("type") == "Lowercase" for x in (spec.get("normalizer") or {}).get("normalizers", []))
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self._forget()
 
     def _forget(self) -> None:
-        self.names = np.empty(0, dtype=np.uint64)
-        self.at = self.n = np.empty(0, dtype=np.int64)
+        self.names = np.empty(0, dtype=np.uint64)  # sorted
+        self.at = self.n = self.met = np.empty(0, dtype=np.int32)  # place and number of ids, slices met in
         self.pool = np.empty(0, dtype=np.uint32)
 
     def _pieces(self, data: np.ndarray, offs: np.ndarray) -> Words:
-        if self.rule == "drop":
-            return split_words(data, offs, NOT_SPACE)
         cut = np.zeros(len(data) + 1, dtype=bool)
-        if self.rule == "keep" and len(data) > 1:
-            space = ~NOT_SPACE[data]
+        cut[offs] = True
+        space = ~NOT_SPACE[data]
+        if self.rule and len(data) > 1:
+            letter, mark = _LETTER[data], _MARK[data]
+            cut[1:-1] |= letter[:-1] & mark[1:]
+        if self.rule == "drop":
+            if self.folds:
+                data = LOWER[data]
+            cut[:-1] |= space
+            cut[1:] |= space
+        elif self.rule == "keep" and len(data) > 1:
             visible = (data > 0x20) & (data < 0x7F)  # Unicode white space begins beyond ASCII ...
             two = np.zeros(len(data), dtype=bool)    # ... and not in two-byte characters from U+00C0
             two[1:] = (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
-            cut[1:-1] = space[1:] & (visible | two)[:-1]
-        cut[offs] = True
+            cut[1:-1] |= space[1:] & (visible | two)[:-1]
         edges = np.flatnonzero(cut)
-        start = edges[:-1]
-        return Words(data, start, edges[1:], np.searchsorted(start, offs))
+        start, end = edges[:-1], edges[1:]
+        if self.rule == "drop":
+            text = ~space[start]
+            start, end = start[text], end[text]
+        return Words(data, start, end, np.searchsorted(start, offs))
 
     def _learn(self, w: Words, names: np.ndarray, first: np.ndarray, used: np.ndarray) -> None:
-        raw = w.data.tobytes()
-        texts = [raw[s:e].decode("utf-8") for s, e in zip(w.start[first].tolist(), w.end[first].tolist())]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        n = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(n.sum()))
+        raw, ids, n = w.data.tobytes(), [], []
+        spans = list(zip(w.start[first].tolist(), w.end[first].tolist()))
+        for at in range(0, len(spans), LEARN_AT_ONCE):
+            texts = [raw[s:e].decode("utf-8") for s, e in spans[at: at + LEARN_AT_ONCE]]
+            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                got = e.ids
+                n.append(len(got))
+                ids += got
+        flat, n = np.array(ids, dtype=np.uint32), np.array(n, dtype=np.int32)
         if len(self.names) + len(names) > KEPT_PIECES:
-            keep = np.isin(self.names, used)
+            keep = (self.met > 1) | np.isin(self.names, used)
+            if keep.sum() + len(names) > KEPT_PIECES:
+                keep = np.isin(self.names, used)
             size, at = self.n[keep], self.at[keep]
             self.pool = self.pool[np.repeat(at, size) + ragged(size)]
-            self.names, self.n, self.at = self.names[keep], size, np.cumsum(size) - size
-        at = np.cumsum(n) - n + len(self.pool)
-        every = np.concatenate([self.names, names])
-        order = np.argsort(every, kind="stable")
-        self.names, self.pool = every[order], np.concatenate([self.pool, flat])
-        self.n, self.at = np.concatenate([self.n, n])[order], np.concatenate([self.at, at])[order]
+            self.names, self.n, self.met = self.names[keep], size, np.ones(len(size), dtype=np.int32)
+            self.at = (np.cumsum(size) - size).astype(np.int32)
+        at = (np.cumsum(n) - n + len(self.pool)).astype(np.int32)
+        where = np.searchsorted(self.names, names)  # both are sorted
+        self.names = np.insert(self.names, where, names)
+        self.n, self.at = np.insert(self.n, where, n), np.insert(self.at, where, at)
+        self.met, self.pool = np.insert(self.met, where, 0), np.concatenate([self.pool, flat])
 
     def encode(self, data: np.ndarray, offs: np.ndarray, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, row offsets into them)."""
@@ -100,6 +130,7 @@ class Encoder:
         if new.any():
             self._learn(w, unique[new], first[new], unique)
             at = np.searchsorted(self.names, unique)
+        self.met[at] += 1
         n = self.n[at][where]
         tokens = self.pool[np.repeat(self.at[at][where], n) + ragged(n)]
         ends = np.concatenate([[0], np.cumsum(n)])[w.row_first]
