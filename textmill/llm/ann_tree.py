@@ -199,8 +199,9 @@ def _block(dim: int, k: int):
             ids, x = rows["vec_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.float64)
             for own, q in zip(queries["query_id"], queries["qv"]):
                 top, d = _nearest(ids, x, own, np.asarray(q, dtype=np.float64), k)
-                out.append(pd.DataFrame({"query_id": own, "qv": [q] * len(top), "vec_id": ids[top], "score": d}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "qv": [], "vec_id": [], "score": []})
+                if len(top):
+                    out.append(pd.DataFrame({"query_id": own, "qv": [q] * len(top), "vec_id": ids[top], "score": d}))
+        return pd.concat(out) if out else pd.DataFrame({c: pd.Series([], dtype=object) for c in ("query_id", "qv", "vec_id", "score")})
     return run
 
 
