@@ -77,4 +77,11 @@ def stats(scores: DataFrame, model_name: str = "bigram") -> DataFrame:
         F.stddev_pop(p).alias("std_perplexity"), F.min(p).alias("min_perplexity"),
         F.max(p).alias("max_perplexity"), F.percentile(p, 0.25).alias("p25_perplexity"),
         F.percentile(p, 0.75).alias("p75_perplexity"),
-    ).withColumn("error", F.when(F.col("samples_evaluated") == 0, F.lit("no valid scores computed")))
+        F.count(F.lit(1)).alias("_rows"),
+    ).withColumn("error", F.when(F.col("_rows") == 0, F.lit("no samples"))
+                 .when(F.col("samples_evaluated") == 0, F.lit("no valid scores computed"))).drop("_rows")
+
+
+def disabled(spark) -> DataFrame:
+    """The status row of a run without this stage."""
+    return spark.createDataFrame([(False, 0, "disabled")], "enabled boolean, samples_evaluated long, error string")

@@ -78,6 +78,28 @@ def drop_summary(clean_drops: DataFrame | None = None, safety_metrics: DataFrame
     return out.filter(~(F.col("reason").startswith("safety_") | F.col("reason").startswith("dedup")) | (F.col("n") > 0))
 
 
+def rates(safety_metrics: DataFrame) -> DataFrame:
+    """Share of the rows entering the safety stage that it drops, by reason."""
+    n = F.col("total_samples")
+    return safety_metrics.select(*[F.when(n > 0, F.col(c) / n).otherwise(F.lit(0.0)).alias(a) for c, a in (
+        ("pii_dropped", "pii_detection_rate"), ("toxic_dropped", "toxicity_rate"))])
+
+
+def final_reasons(kept: DataFrame) -> DataFrame:
+    """Drop reasons left on kept rows (none, unless a stage kept a dropped row)."""
+    return kept.where("drop_reason IS NOT NULL").groupBy(F.col("drop_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def summary_table(tables: dict[str, DataFrame], rows_with_text: int, rows_final: int) -> DataFrame:
+    """(metric, value) of one-row tables by prefix, and the retention."""
+    any_table = next(iter(tables.values()))
+    keep = any_table.sparkSession.createDataFrame(
+        [("retention", str(rows_final / rows_with_text if rows_with_text else 0.0))], "metric string, value string")
+    for prefix, table in tables.items():
+        keep = keep.unionByName(long_table(table, f"{prefix}_"))
+    return keep
+
+
 def long_table(one_row: DataFrame, prefix: str = "") -> DataFrame:
     """One-row metrics DataFrame -> (metric, value) rows (values as text)."""
     cols = one_row.columns

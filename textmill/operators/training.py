@@ -222,7 +222,32 @@ def shard_meta(sharded: DataFrame) -> DataFrame:
         total.alias("num_samples"), F.sum("token_count").alias("num_tokens"),
         F.avg("token_count").alias("avg_tokens"), F.min("token_count").alias("min_tokens"),
         F.max("token_count").alias("max_tokens"))
-        .withColumn("filename", F.format_string("training_shard_%05d.jsonl", F.col("shard_id"))))
+        .withColumn("filename", shard_name(F.col("shard_id"))))
+
+
+def shard_name(shard_id: Column) -> Column:
+    """The folder that holds a written shard, below the sink's path."""
+    return F.format_string("shard_id=%d", shard_id)
+
+
+def describe_shards(meta: DataFrame, cfg: TrainingConfig, dedup_metrics: DataFrame | None = None,
+                    pii_counts: DataFrame | None = None, drops: DataFrame | None = None) -> DataFrame:
+    """Shard meta with what holds for all shards: tokenizer, seed, version,
+    duplicate rate, PII types and drop reasons as maps.  The three tables are a
+    row, a row per PII type and a row per drop reason."""
+    rate = dedup_metrics.select("duplicate_rate").first()[0] if dedup_metrics is not None else 0.0
+
+    def as_map(df: DataFrame | None, key: str) -> Column:
+        rows = [] if df is None else df.select(key, F.col("n").cast("long")).orderBy(key).collect()
+        if not rows:
+            return F.create_map().cast("map<string,long>")
+        return F.create_map(*[F.lit(x) for r in rows for x in (r[0], int(r[1]))])
+
+    return meta.select(
+        "*", F.lit(cfg.tokenizer_name).alias("tokenizer"), F.lit(int(cfg.shuffle_seed)).alias("shuffle_seed"),
+        F.lit(cfg.pipeline_version).alias("pipeline_version"), F.lit(float(rate or 0.0)).alias("duplicate_rate"),
+        as_map(pii_counts, "pii_type").alias("pii_summary"), as_map(drops, "reason").alias("drop_reasons"),
+        F.current_timestamp().alias("created_at"))
 
 
 def sharding_summary(meta: DataFrame) -> DataFrame:
@@ -234,7 +259,7 @@ def sharding_summary(meta: DataFrame) -> DataFrame:
 
 
 def mixture(meta: DataFrame) -> DataFrame:
-    """One domain 'web' with every shard, weight 1.0, licence 'unknown'."""
-    return meta.agg(F.array_sort(F.collect_list("filename")).alias("shards")).select(
-        F.lit("web").alias("name"), "shards", F.lit(1.0).alias("weight"), F.lit("unknown").alias("license"),
-        F.size("shards").alias("total_shards"), F.lit(1.0).alias("total_weight"))
+    """The mixture manifest as a table, a row per shard: one domain 'web',
+    weight 1.0, licence 'unknown'."""
+    return meta.select(F.lit("web").alias("name"), F.col("filename").alias("shard"), F.lit(1.0).alias("weight"),
+                       F.lit("unknown").alias("license"))

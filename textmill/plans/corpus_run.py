@@ -2,9 +2,14 @@
 -> perplexity -> report -> training export, as DataFrame transforms.
 
 Each stage is materialised once (persist + count), which both feeds the
-stage metrics (read several times) and gives its wall time; the previous
-stage is released afterwards.  Throughput is rows out of the stage per
-second, with rows in reported beside it."""
+stage metrics (read several times) and gives its wall time; ``release`` drops
+the caches at the end, when the metric tables have been read.  Throughput is
+rows out of the stage per second, with rows in reported beside it.
+
+Input is the driver's ``documents`` table, any DataFrame of
+(original_index, text, url[, language, source]) or a JSONL path; with ``out``
+the clean, tokenised and training shards, the metrics and the dataset index
+are written below it."""
 
 from __future__ import annotations
 
@@ -21,7 +26,7 @@ from pyspark.sql import functions as F
 from ..config import (CleanConfig, DedupConfig, PerplexityConfig, SafetyConfig, TokenConfig,
                       TrainingConfig)
 from ..operators import cleaning, dedup, language, perplexity, safety, tokens, training
-from ..sources import tables
+from ..sources import jsonl, sinks, tables
 
 
 @dataclass
@@ -29,6 +34,12 @@ class RunResult:
     tables: dict = field(default_factory=dict)
     throughput: list = field(default_factory=list)
     summaries: dict = field(default_factory=dict)
+    cached: list = field(default_factory=list)
+
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+        self.cached.clear()
 
     def throughput_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.throughput, "stage string, rows_in long, rows_out long, "
@@ -61,25 +72,44 @@ def _materialise(df: DataFrame, cut: bool = False) -> tuple[DataFrame, int]:
     return df, df.count()
 
 
-def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_language: bool = True,
+def _write(spark: SparkSession, out: str, clean: DataFrame, tokenised: DataFrame, sharded: DataFrame,
+           cfg: TrainingConfig, res: RunResult) -> dict:
+    """All sinks below ``out``, then what is read back from the training shards."""
+    sinks.write_clean_shards(clean, f"{out}/clean", cfg.shard_size)
+    sinks.write_tokenized_shards(tokenised, f"{out}/tokenized", cfg.shard_size)
+    sinks.write_training_shards(sharded, f"{out}/training")
+    for name in ("safety_metrics", "dedup_metrics"):
+        sinks.write_metrics(res.tables[name], f"{out}/metrics/{name}")
+    index = sinks.dataset_index(spark, f"{out}/training")
+    _, report = sinks.validate_shards(spark, f"{out}/training", cfg.min_tokens)
+    index.write.mode("overwrite").parquet(f"{out}/index")
+    training.mixture(res.tables["shard_meta"]).write.mode("overwrite").json(f"{out}/mixture")
+    return {"index": index, "validation": report, "index_totals": sinks.index_totals(index, report)}
+
+
+def run(spark: SparkSession, sf_dir: str | None = None, target_language: str = "en", detect_language: bool = True,
         clean_cfg: CleanConfig = CleanConfig(), safety_cfg: SafetyConfig = SafetyConfig(),
         dedup_cfg: DedupConfig = DedupConfig(), token_cfg: TokenConfig = TokenConfig(),
         ppl_cfg: PerplexityConfig = PerplexityConfig(), train_cfg: TrainingConfig = TrainingConfig(),
-        export: bool = True, input_partitions: int | None = None) -> RunResult:
+        export: bool = True, input_partitions: int | None = None,
+        docs: DataFrame | None = None, jsonl_path: str | None = None, out: str | None = None) -> RunResult:
     res = RunResult()
-    prev: DataFrame | None = None
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
 
     def stage(name: str, build, rows_in: int, cut: bool = False) -> tuple[DataFrame, int]:
-        nonlocal prev
         t0 = time.time()
         df, n = _materialise(build(), cut)
+        if not cut:
+            res.cached.append(df)
         sec = time.time() - t0
         res.throughput.append((name, int(rows_in), int(n), sec, (n / sec) if sec > 0 else 0.0))
         return df, n
 
-    docs = tables.documents(spark, sf_dir)
+    if jsonl_path:
+        docs = jsonl.load_jsonl(spark, jsonl_path)
+    docs = tables.documents(spark, sf_dir) if docs is None else docs
+    detect_language = detect_language and "language" in docs.columns  # the model learns from labels
     if input_partitions:  # the caller's choice, for inputs of fewer row groups than cores
         docs = docs.repartition(input_partitions, "original_index")
 
@@ -94,8 +124,11 @@ def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_la
             docs.withColumnRenamed("language", "label"), profile), 0)
     else:
         loaded, n_all = stage("load_language", lambda: docs, 0)
-    res.tables["language_distribution"] = language.distribution(loaded)
-    target, n_target = stage("language_filter", lambda: loaded.filter(F.col("language") == target_language), n_all)
+    if "language" in loaded.columns:
+        res.tables["language_distribution"] = language.distribution(loaded)
+        target, n_target = stage("language_filter", lambda: loaded.filter(F.col("language") == target_language), n_all)
+    else:  # unlabelled input: all of it is taken as the target language
+        target, n_target = loaded.withColumn("language", F.lit(target_language)), n_all
 
     cleaned_all, _ = stage("clean_annotate", lambda: cleaning.annotate(target, clean_cfg), n_target)
     res.tables["clean_drops"] = cleaning.drop_counts(cleaned_all)
@@ -133,6 +166,8 @@ def run(spark: SparkSession, sf_dir: str, target_language: str = "en", detect_la
         res.tables["blocks"] = sharded
         res.tables["shard_meta"] = training.shard_meta(sharded)
         res.summaries["chunking"] = summary
+        if out:
+            res.tables |= _write(spark, out, kept_clean, kept_tok, sharded, train_cfg, res)
         sec = time.time() - t0
         res.throughput.append(("export_blocks", int(n_tok), int(n_blocks), sec, n_blocks / sec if sec else 0.0))
     return res

@@ -468,7 +468,7 @@ ranked AS (SELECT block_index, len(tokens) AS token_count,
 SELECT CAST(rk // 50 AS INTEGER) AS shard_id, CAST(count(*) AS BIGINT) AS num_samples,
        CAST(sum(token_count) AS BIGINT) AS num_tokens, avg(token_count) AS avg_tokens,
        CAST(min(token_count) AS INTEGER) AS min_tokens, CAST(max(token_count) AS INTEGER) AS max_tokens,
-       printf('training_shard_%05d.jsonl', CAST(rk // 50 AS INTEGER)) AS filename
+       printf('shard_id=%d', CAST(rk // 50 AS INTEGER)) AS filename
 FROM ranked GROUP BY rk // 50
 """)
 def q_shard_meta(spark: SparkSession, sf: str) -> DataFrame:
@@ -481,8 +481,7 @@ def q_shard_meta(spark: SparkSession, sf: str) -> DataFrame:
 @register("mixture", f"""
 WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()},
 sh AS (SELECT DISTINCT CAST((row_number() OVER (ORDER BY block_index) - 1) // 50 AS INTEGER) AS shard_id FROM blocks)
-SELECT 'web' AS name, list_sort(list(printf('training_shard_%05d.jsonl', shard_id))) AS shards, 1.0 AS weight,
-       'unknown' AS license, CAST(count(*) AS INTEGER) AS total_shards, 1.0 AS total_weight FROM sh
+SELECT 'web' AS name, printf('shard_id=%d', shard_id) AS shard, 1.0 AS weight, 'unknown' AS license FROM sh
 """)
 def q_mixture(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import training
@@ -595,10 +594,20 @@ def q_boxplot(spark: SparkSession, sf: str) -> DataFrame:
     return report.boxplot(_kept_clean(spark, sf), "char_length")
 
 
-@register("token_histogram")
+@register("token_histogram", f"""
+WITH {_SQL_DOCS.strip()}
+, k AS (SELECT len(tokens) AS x FROM hd),
+mm AS (SELECT CAST(min(x) AS DOUBLE) AS lo, CAST(max(x) AS DOUBLE) AS hi FROM k),
+w AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM mm),
+c AS (SELECT CAST(CASE WHEN CAST(x AS DOUBLE) >= hi THEN 49 ELSE floor((CAST(x AS DOUBLE) - lo) / width) END AS INTEGER) AS bin,
+             count(*) AS n FROM k, w GROUP BY 1),
+b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50))
+SELECT b.bin, lo + b.bin * width AS lower, lo + (b.bin + 1) * width AS upper, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM b CROSS JOIN w LEFT JOIN c ON c.bin = b.bin
+""")
 def q_token_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    from ..operators import report, tokens
-    return report.histogram(tokens.annotate(_kept_clean(spark, sf)), "encoded_count", 50)
+    from ..operators import report
+    return report.histogram(_hashed_docs(spark, sf), "token_count", 50)
 
 
 @register("drop_summary")
@@ -639,8 +648,15 @@ def q_load_jsonl(spark: SparkSession, sf: str) -> DataFrame:
     return jsonl.load_jsonl(spark, _docs_as_jsonl(spark, sf))
 
 
-@register("validate_shards")
-def q_validate_shards(spark: SparkSession, sf: str) -> DataFrame:
+_SHARDED_SQL = f"""
+WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()},
+r AS (SELECT len(tokens) AS tc, CAST((row_number() OVER (ORDER BY CAST(('0x' || substr(md5('42:' || CAST(block_index AS VARCHAR)), 1, 15)) AS BIGINT),
+        block_index) - 1) // 50 AS INTEGER) AS shard_id FROM blocks)
+"""
+
+
+def _training_shards(spark: SparkSession, sf: str) -> str:
+    """Training shards of the documents, written below the shared folder."""
     from ..operators import training
     from ..session import scratch_path
     from ..sources import sinks
@@ -648,8 +664,65 @@ def q_validate_shards(spark: SparkSession, sf: str) -> DataFrame:
     blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), cfg)
     path = scratch_path(spark, "training")
     sinks.write_training_shards(training.shuffle_and_shard(blocks, cfg), path)
-    _, report = sinks.validate_shards(spark, path, cfg.min_tokens)
-    return report.join(sinks.dataset_index(spark, path), "file", "left")
+    return path
+
+
+@register("validate_shards", _SHARDED_SQL + """
+SELECT shard_id, CAST(count(*) AS BIGINT) AS lines, CAST(0 AS BIGINT) AS errors, CAST(count_if(tc < 20) AS BIGINT) AS token_range_warnings,
+       true AS valid FROM r GROUP BY shard_id
+""")
+def q_validate_shards(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources import sinks
+    return sinks.validate_shards(spark, _training_shards(spark, sf), _training_cfg().min_tokens)[1]
+
+
+@register("dataset_index", _SHARDED_SQL + """
+SELECT shard_id, CAST(count(*) AS BIGINT) AS num_rows, CAST(sum(tc) AS BIGINT) AS num_tokens FROM r GROUP BY shard_id
+""")
+def q_dataset_index(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources import sinks
+    return sinks.dataset_index(spark, _training_shards(spark, sf)).select("shard_id", "num_rows", "num_tokens")
+
+
+@register("index_totals", _SHARDED_SQL + """
+SELECT CAST(count(DISTINCT shard_id) AS BIGINT) AS total_shards, CAST(count(*) AS BIGINT) AS total_rows,
+       CAST(sum(tc) AS BIGINT) AS total_tokens, 'passed' AS status FROM r
+""")
+def q_index_totals(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources import sinks
+    path = _training_shards(spark, sf)
+    return sinks.index_totals(sinks.dataset_index(spark, path), sinks.validate_shards(spark, path, 20)[1])
+
+
+@register("audit_sample", _SHARDED_SQL + """
+, n AS (SELECT count(DISTINCT shard_id) AS shards FROM r)
+SELECT shard_id, CAST(least(count(*), 200 // any_value(shards)) AS BIGINT) AS audited, CAST(0 AS BIGINT) AS with_pii
+FROM r, n GROUP BY shard_id
+""")
+def q_audit_sample(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources import sinks
+    path = _training_shards(spark, sf)
+    n = sinks.dataset_index(spark, path).count()
+    return sinks.audit_sample(spark, path, n).groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("audited"), F.count_if("pii_found").alias("with_pii"))
+
+
+@register("shard_meta_full", _SHARDED_SQL + f"""
+, h AS (SELECT sha256({S.canonical('text')}) AS k, doc_id FROM documents WHERE text IS NOT NULL AND text <> ''),
+f AS (SELECT doc_id <> min(doc_id) OVER (PARTITION BY k) AS dup FROM h),
+dr AS (SELECT count_if(dup) / count(*) AS rate FROM f)
+SELECT shard_id, CAST(count(*) AS BIGINT) AS num_samples, CAST(sum(tc) AS BIGINT) AS num_tokens, avg(tc) AS avg_tokens,
+       printf('shard_id=%d', shard_id) AS filename, 'byte_bpe_50k' AS tokenizer, 42 AS shuffle_seed, '1.0' AS pipeline_version,
+       any_value(rate) AS duplicate_rate FROM r, dr GROUP BY shard_id
+""")
+def q_shard_meta_full(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    cfg = _training_cfg()
+    blocks, _ = training.pack_blocks(_hashed_docs(spark, sf), cfg)
+    meta = training.shard_meta(training.shuffle_and_shard(blocks, cfg))
+    return training.describe_shards(meta, cfg, dedup.metrics(dedup.annotate_exact(tables.documents(spark, sf)))).select(
+        "shard_id", "num_samples", "num_tokens", "avg_tokens", "filename", "tokenizer", "shuffle_seed", "pipeline_version",
+        "duplicate_rate")
 
 
 # --------------------------------------------------------------------------- B1
@@ -947,3 +1020,42 @@ ORACLE["flagged_tokens"] = _toxicity_sql("SELECT 1 AS dummy").replace("\nSELECT
 SELECT token, CAST(count(*) AS BIGINT) AS n FROM ft GROUP BY token
 ORDER BY n DESC, min(doc_id * 1000000 + pos) LIMIT 20
 """)
+
+
+@register("safety_rates", f"""
+SELECT pii_dropped / total_samples AS pii_detection_rate, toxic_dropped / total_samples AS toxicity_rate
+FROM ({ORACLE["safety_metrics"]})
+""")
+def q_safety_rates(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report, safety
+    return report.rates(safety.metrics(_safety_annotated(spark, sf)))
+
+
+@register("perplexity_histogram", f"""
+WITH {_PPL_SQL.strip()}
+, k AS (SELECT perplexity AS x FROM scores WHERE perplexity IS NOT NULL),
+mm AS (SELECT min(x) AS lo, max(x) AS hi FROM k),
+w AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM mm),
+c AS (SELECT CAST(CASE WHEN x >= hi THEN 49 ELSE floor((x - lo) / width) END AS INTEGER) AS bin, count(*) AS n FROM k, w GROUP BY 1),
+b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50))
+SELECT b.bin, round(lo + b.bin * width, 4) AS lower, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM b CROSS JOIN w LEFT JOIN c ON c.bin = b.bin
+""")
+def q_perplexity_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report
+    scores = QUERIES["perplexity_sample"](spark, sf).persist()
+    return report.histogram(scores, "perplexity", 50).select("bin", F.round("lower", 4).alias("lower"), "n")
+
+
+@register("summary_table", f"""
+WITH m AS ({ORACLE["dedup_metrics"]})
+SELECT 'retention' AS metric, CAST(kept_samples / total_samples AS VARCHAR) AS value FROM m
+UNION ALL SELECT 'dedup_total_samples', CAST(total_samples AS VARCHAR) FROM m
+UNION ALL SELECT 'dedup_kept_samples', CAST(kept_samples AS VARCHAR) FROM m
+UNION ALL SELECT 'dedup_duplicates_removed', CAST(duplicates_removed AS VARCHAR) FROM m
+UNION ALL SELECT 'dedup_duplicate_rate', CAST(duplicate_rate AS VARCHAR) FROM m
+""")
+def q_summary_table(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import report
+    m = dedup.metrics(dedup.annotate_exact(tables.documents(spark, sf))).persist()
+    r = m.first()
+    return report.summary_table({"dedup": m}, r["total_samples"], r["kept_samples"])

@@ -7,9 +7,10 @@ under ``shard_id=<n>/``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.pii import has_unredacted_pii
 from ..operators import ordering
 
 IDX = "original_index"
@@ -68,15 +69,22 @@ def write_metrics(one_row: DataFrame, path: str) -> None:
 REQUIRED_KEYS = ["tokens", "token_count", "language", "source"]
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of written shards with their file and shard number."""
+    file = F.col("_metadata.file_path")
+    return spark.read.option("recursiveFileLookup", "true").text(path).select(
+        "value", file.alias("file"), F.regexp_extract(file, r"/shard_id=(\d+)/", 1).try_cast("int").alias("shard_id"),
+        F.col("_metadata.file_size").alias("file_size"))
+
+
 def validate_shards(spark: SparkSession, path: str, min_tokens: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Re-read written shards.  Returns (per-line errors, per-file report).
+    """Re-read written shards.  Returns (per-line errors, per-shard report).
     Errors: invalid JSON, a missing required key, ``size(tokens) !=
     token_count``; ``token_count < min_tokens`` is a range warning that does
     not fail the shard."""
-    lines = spark.read.text(path).select(F.col("value"), F.col("_metadata.file_path").alias("file"))
     keys = F.json_object_keys("value")
     obj = F.from_json("value", "tokens array<int>, token_count int")
-    checks = lines.select("file", keys.alias("keys"), obj.alias("o"))
+    checks = _lines(spark, path).select("file", "shard_id", keys.alias("keys"), obj.alias("o"))
     errors = F.array_compact(F.array(
         F.when(F.col("keys").isNull(), F.lit("json_decode_error")),
         *[F.when(F.col("keys").isNotNull() & ~F.array_contains("keys", k), F.lit(f"missing_field:{k}"))
@@ -85,9 +93,9 @@ def validate_shards(spark: SparkSession, path: str, min_tokens: int = 20) -> tup
                                             != F.coalesce(F.col("o.token_count"), F.lit(0))),
                F.lit("token_count_mismatch")),
     ))
-    per_line = checks.select("file", errors.alias("errors"),
+    per_line = checks.select("file", "shard_id", errors.alias("errors"),
                              (F.coalesce(F.col("o.token_count"), F.lit(0)) < min_tokens).alias("range_warning"))
-    report = per_line.groupBy("file").agg(
+    report = per_line.groupBy("shard_id").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.size("errors")).alias("errors"),
         F.count_if("range_warning").alias("token_range_warnings"),
@@ -95,9 +103,40 @@ def validate_shards(spark: SparkSession, path: str, min_tokens: int = 20) -> tup
     return per_line, report
 
 
+def validation_status(report: DataFrame) -> DataFrame:
+    """One row: shards, valid ones, and ``passed`` or ``failed``."""
+    n, ok = F.count(F.lit(1)), F.count_if("valid")
+    return report.agg(n.alias("total_shards"), ok.alias("valid_shards"),
+                      F.when(n == ok, "passed").otherwise("failed").alias("status"))
+
+
+def audit_sample(spark: SparkSession, path: str, n_shards: int, total: int = 200, seed: int = 42) -> DataFrame:
+    """A seeded sample of ``total // n_shards`` lines of each shard (a shard's
+    size is bounded by the sink) with a PII re-check of ``text``: blocks carry
+    none, shards of documents do."""
+    per_shard = max(0, total // max(1, n_shards))
+    order = Window.partitionBy("shard_id").orderBy(F.md5(F.concat(F.lit(f"{int(seed)}:"), "value")), "value")
+    text = F.col("text")
+    return (_lines(spark, path).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_shard)
+            .withColumn("text", F.get_json_object("value", "$.text"))
+            .select("shard_id", F.col("r").alias("sample"), F.get_json_object("value", "$.sample_id").alias("sample_id"),
+                    F.coalesce((text != "") & has_unredacted_pii(text), F.lit(False)).alias("pii_found")))
+
+
 def dataset_index(spark: SparkSession, path: str) -> DataFrame:
-    """(file, bytes, sha256) for every written shard file."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.json").load(path))
-    return files.select(F.col("path").alias("file"), F.col("length").alias("bytes"),
-                        F.sha2(F.col("content"), 256).alias("sha256"))
+    """A row per shard: rows, tokens, bytes and a digest of its lines that does
+    not depend on their order, so large files are read in splits."""
+    lines = _lines(spark, path).withColumn("tokens", F.coalesce(F.from_json("value", "token_count long")["token_count"], F.lit(0)))
+    files = lines.groupBy("shard_id", "file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.max("file_size").alias("b"),
+        F.bit_xor(F.xxhash64("value")).alias("x"), F.sum(F.crc32(F.col("value").cast("binary"))).alias("c"))
+    return files.groupBy("shard_id").agg(
+        F.sum("n").alias("num_rows"), F.sum("t").alias("num_tokens"), F.sum("b").alias("bytes"),
+        F.concat(F.lower(F.hex(F.bit_xor("x"))), F.lit("-"), F.lower(F.hex(F.sum("c")))).alias("digest"))
+
+
+def index_totals(index: DataFrame, report: DataFrame) -> DataFrame:
+    """One row over the index and the validation report."""
+    totals = index.agg(F.count(F.lit(1)).alias("total_shards"), F.coalesce(F.sum("num_rows"), F.lit(0)).alias("total_rows"),
+                       F.coalesce(F.sum("num_tokens"), F.lit(0)).alias("total_tokens"))
+    return totals.withColumn("status", F.lit(validation_status(report).first()["status"]))
