@@ -5,6 +5,8 @@ inventory; each Spark callable takes ``(spark, sf_dir)``."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -420,17 +422,20 @@ def _unredacted_sql(x: str) -> str:
                        for n in ("EMAIL_ADDRESS", "PHONE_NUMBER", "CREDIT_CARD"))
 
 
+_SMALL_VOCAB = (1 << 28) - (1 << 16)  # some word ids lie beyond
+
+
 @register("consistency", f"""
 WITH {_SQL_DOCS.strip()}
 SELECT original_index,
        CASE WHEN len(tokens) = 0 THEN 'empty_sequence'
-            WHEN len(list_filter(tokens, lambda t: t < 0 OR t > {(1 << 28) - 1})) > 0 THEN 'out_of_vocab'
+            WHEN len(list_filter(tokens, lambda t: t < 0 OR t > {_SMALL_VOCAB - 1})) > 0 THEN 'out_of_vocab'
             WHEN ({_unredacted_sql('text')}) THEN 'unredacted_pii' END AS consistency_reason
 FROM hd WHERE NOT (len(tokens) = 0 OR char_length < 80 OR len(tokens) < 20)
 """)
 def q_consistency(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import training
-    cfg = _training_cfg()
+    cfg = replace(_training_cfg(), vocab_size=_SMALL_VOCAB)
     v = training.validate_preconditions(_hashed_docs(spark, sf), cfg)
     return training.consistency_pass(v, cfg).select("original_index", "consistency_reason")
 
@@ -495,7 +500,7 @@ def q_mixture(spark: SparkSession, sf: str) -> DataFrame:
 _PPL_WORDS = r"[^\p{L}\p{N}']+"
 _PPL_SQL = f"""
 nb AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND trim(text) <> ''),
-s AS (SELECT doc_id, text FROM nb ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 1000),
+s AS (SELECT doc_id, text FROM nb ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 300),
 ws AS (SELECT doc_id, list_filter(string_split_regex(lower(text), {S.lit(_PPL_WORDS)}), lambda w: w <> '') AS w FROM s),
 pairs AS (SELECT doc_id, unnest(w[1:len(w) - 1]) AS prev, unnest(w[2:len(w)]) AS cur FROM ws WHERE len(w) >= 2),
 cw AS (SELECT list_filter(string_split_regex(lower(text), {S.lit(_PPL_WORDS)}), lambda w: w <> '') AS w
@@ -516,7 +521,7 @@ scores AS (
 def _ppl_scores(spark: SparkSession, sf: str) -> DataFrame:
     from ..config import PerplexityConfig
     from ..operators import perplexity
-    cfg = PerplexityConfig()
+    cfg = PerplexityConfig(sample_size=300)  # a real sample also of small tables
     docs = tables.documents(spark, sf)
     return perplexity.score_sample(docs, perplexity.sample(docs, cfg, key="md5"), cfg)
 
@@ -780,15 +785,19 @@ def q_dedup_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("precondition_report", f"""
 WITH {_SQL_DOCS.strip()},
-v AS (SELECT NOT (len(tokens) = 0 OR char_length < 80 OR len(tokens) < 20) AS valid FROM hd),
-t AS (SELECT CAST(count(*) AS BIGINT) AS total_samples, CAST(count_if(valid) AS BIGINT) AS valid_samples FROM v),
+v AS (SELECT source = 'src7' AS no_source, NOT (len(tokens) = 0 OR hd.char_length < 80 OR len(tokens) < 20) AND source <> 'src7' AS valid
+      FROM hd JOIN documents ON doc_id = original_index),
+t AS (SELECT CAST(count(*) AS BIGINT) AS total_samples, CAST(count_if(valid) AS BIGINT) AS valid_samples,
+             CAST(count_if(no_source) AS BIGINT) AS no_source FROM v),
 f AS (SELECT unnest(['text', 'tokens', 'token_count', 'language', 'source', 'license', 'char_length',
                      'dedupe_hash', 'pii_types', 'pii_redacted']) AS field)
-SELECT total_samples, valid_samples, field, CAST(0 AS BIGINT) AS missing, total_samples AS present FROM t, f
+SELECT total_samples, valid_samples, field, CASE WHEN field = 'source' THEN no_source ELSE 0 END AS missing,
+       total_samples - CASE WHEN field = 'source' THEN no_source ELSE 0 END AS present FROM t, f
 """)
 def q_precondition_report(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import training
-    return training.precondition_report(training.validate_preconditions(_hashed_docs(spark, sf), _training_cfg()))
+    docs = _hashed_docs(spark, sf).withColumn("source", F.nullif("source", F.lit("src7")))  # one source counts as missing
+    return training.precondition_report(training.validate_preconditions(docs, _training_cfg()))
 
 
 @register("sharding_summary", f"""
@@ -812,8 +821,8 @@ def q_sharding_summary(spark: SparkSession, sf: str) -> DataFrame:
 @register("clean_shards", f"""
 WITH cl AS ({_clean_sql('documents', 'doc_id', 'text')})
 SELECT CAST((row_number() OVER (ORDER BY original_index) - 1) // 100 AS INTEGER) AS shard_id,
-       text, CAST(NULL AS VARCHAR) AS url, CAST(char_length AS BIGINT) AS char_length, 'x' AS language_present
-FROM cl WHERE drop_reason IS NULL
+       cl.text, CAST(NULL AS VARCHAR) AS url, CAST(char_length AS BIGINT) AS char_length, lang AS language
+FROM cl JOIN documents ON doc_id = original_index WHERE drop_reason IS NULL
 """)
 def q_clean_shards(spark: SparkSession, sf: str) -> DataFrame:
     """Kept documents written as clean shards of 100 rows (text, url,
@@ -823,8 +832,7 @@ def q_clean_shards(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "clean")
     sinks.write_clean_shards(_kept_clean(spark, sf), path, shard_size=100)
     back = spark.read.schema("text string, url string, char_length long, language string, shard_id int").json(path)
-    return back.select("shard_id", "text", "url", "char_length",
-                       F.when(F.col("language").isNotNull(), F.lit("x")).alias("language_present"))
+    return back.select("shard_id", "text", "url", "char_length", "language")
 
 
 # --------------------------------------------------------------------------- D6-D15 oracle
@@ -1033,17 +1041,17 @@ def q_safety_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("perplexity_histogram", f"""
 WITH {_PPL_SQL.strip()}
-, k AS (SELECT perplexity AS x FROM scores WHERE perplexity IS NOT NULL),
+, k AS (SELECT round(perplexity, 6) AS x FROM scores WHERE perplexity IS NOT NULL),
 mm AS (SELECT min(x) AS lo, max(x) AS hi FROM k),
 w AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM mm),
 c AS (SELECT CAST(CASE WHEN x >= hi THEN 49 ELSE floor((x - lo) / width) END AS INTEGER) AS bin, count(*) AS n FROM k, w GROUP BY 1),
 b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50))
-SELECT b.bin, round(lo + b.bin * width, 4) AS lower, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM b CROSS JOIN w LEFT JOIN c ON c.bin = b.bin
+SELECT b.bin, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM b CROSS JOIN w LEFT JOIN c ON c.bin = b.bin
 """)
 def q_perplexity_histogram(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import report
     scores = QUERIES["perplexity_sample"](spark, sf).persist()
-    return report.histogram(scores, "perplexity", 50).select("bin", F.round("lower", 4).alias("lower"), "n")
+    return report.histogram(scores, "perplexity", 50).select("bin", "n")
 
 
 @register("summary_table", f"""
