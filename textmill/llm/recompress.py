@@ -15,16 +15,20 @@ symbol therefore shares that symbol with every equal window.  So:
 
 1. every distinct text is parsed; of the last round's symbols whose context it
    holds, each window elects the one of the smallest name (equal windows elect
-   equal symbols), and the elected ones are counted over all texts;
-2. a window whose symbol is counted once cannot be repeated; the others (also
-   windows that hold no symbol, as in long runs of one word, so no window is
-   lost) are candidates, named by 96 bits of all their words;
-3. candidates named more than once are repeated, and their words are removed.
+   equal symbols).  The windows that elect one symbol are consecutive; the words
+   they cover are the symbol's *block*;
+2. symbols, named by the words of their contexts, and blocks are counted over
+   all texts.  A window whose symbol occurs once is not repeated; if a block occurs again, all its windows are repeated;
+   only where one symbol has several different blocks are single windows
+   compared, once for each different block (also windows that hold no symbol,
+   as in long runs of one word, so no window is lost);
+3. windows named more than once, by 96 bits of all their words, are repeated.
+   Words that repeated windows cover are removed.
 
 Exact copies are collapsed to one row per distinct text first: all windows of
-a text that occurs twice are repeated.  Counts are combined map-side, and the
-joins are plain equi-joins that adaptive execution splits on a hot key; no
-group is gathered except the positions inside one text.
+a text that occurs twice are repeated.  Equal symbols, blocks and windows of one
+batch are combined before each shuffle, so that even a passage of every text
+arrives as one row a batch; no group is gathered but the places in one text.
 
 Defined results: null text has no words and stays null; a text without
 removed words stays as it was, byte for byte, otherwise it becomes its kept
@@ -39,11 +43,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.store import prepare
-from textmill.llm.words import NOT_SPACE, U64, Words, mix, slices, split_words, window_names
+from textmill.llm.words import NOT_SPACE, U64, Words, mix, slices, span_names, split_words
 
 WINDOW = 50
 ROUNDS = 4
@@ -114,9 +118,9 @@ def parse(words: Words, rounds: int = ROUNDS) -> Symbols:
     return s
 
 
-def elect(symbols: Symbols, words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first words of all windows, elected symbol or -1 of each; names of the
-    usable symbols, their ordinals inside their text)."""
+def elect(symbols: Symbols, words: Words, window: int) -> tuple[np.ndarray, np.ndarray, Symbols]:
+    """(first words of all windows, elected symbol or -1 of each, the usable
+    symbols that these number)."""
     usable = (symbols.hi - symbols.lo <= window).nonzero()[0]
     name, lo, hi = symbols.name[usable], symbols.lo[usable], symbols.hi[usable]
     last = np.repeat(words.row_first[1:], np.diff(words.row_first))
@@ -134,57 +138,135 @@ def elect(symbols: Symbols, words: Words, window: int) -> tuple[np.ndarray, np.n
             break
         best = np.where(name[best[width:]] < name[best[:-width]], best[width:], best[:-width])
         width *= 2
-    row = symbols.row[usable]
-    first = np.searchsorted(row, row)
-    return p, chosen, name, np.arange(len(name)) - first
+    return p, chosen, Symbols(name, symbols.row[usable], lo, hi)
+
+
+def blocks(p: np.ndarray, chosen: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(elected symbols in order, first word and end of each one's block)."""
+    if not len(chosen):
+        return chosen, p, p
+    first = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
+    last = np.append(first[1:], len(chosen)) - 1
+    ok = chosen[first] >= 0
+    return chosen[first[ok]], p[first[ok]], p[last[ok]] + window
+
+
+def _parsed(batch: pa.RecordBatch, window: int, rounds: int):
+    """Per slice: first row, end row, words, windows, elected symbols, usable
+    symbols, first usable symbol of each text."""
+    for lo, hi, data, offs in slices(batch.column(2)):
+        words = split_words(data, offs, NOT_SPACE)
+        p, chosen, s = elect(parse(words, rounds), words, window)
+        yield lo, hi, words, p, chosen, s, np.searchsorted(s.row, np.arange(hi - lo))
+
+
+def _upper(x: np.ndarray) -> np.ndarray:
+    return (x >> U64(32)).astype(np.uint32).view(np.int32)
 
 
 def _symbols(window: int, rounds: int):
-    """Elected symbols of each text."""
+    """A row per elected symbol: its name, its block's (128 bits together), the
+    text and its ordinal there.  Further equal blocks of the batch are marked as found."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for lo, _, data, offs in slices(batch.column(2)):
-                words = split_words(data, offs, NOT_SPACE)
-                s = parse(words, rounds)
-                _, chosen, name, ordinal = elect(s, words, window)
-                got = np.unique(chosen[chosen >= 0])
-                row = s.row[(s.hi - s.lo <= window)][got] + lo
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(name[got].view(np.int64)), pa.array(k1[row]), pa.array(k2[row]),
-                     pa.array(ordinal[got].astype(np.int32))], names=["name", "k1", "k2", "at"])
+            parts = []
+            for lo, _, words, p, chosen, s, begin in _parsed(batch, window, rounds):
+                got, first, end = blocks(p, chosen, window)
+                h, row = words.hashes(), s.row[got]
+                parts.append((span_names(h, s.lo[got], s.hi[got], 0), span_names(h, first, end, 1),
+                              k1[row + lo], k2[row + lo], (got - begin[row]).astype(np.int32)))
+            if not parts:
+                continue
+            name, block, t1, t2, at = (np.concatenate(c) for c in zip(*parts))
+            group, n = _groups(name, block)
+            found = np.ones(len(name), dtype=bool)
+            found[group] = False
+            copies = np.zeros(len(name), dtype=np.int32)
+            copies[group] = n
+            name = np.where(found, mix(t1.view(np.uint64) + at.astype(U64)), name)  # dealt anywhere
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(name.view(np.int64)), pa.array(block.view(np.int64)), pa.array(t1), pa.array(t2), pa.array(at),
+                 pa.array(copies)], names=["name", "block", "k1", "k2", "at", "n"])
     return run
 
 
-def _candidates(window: int, rounds: int):
-    """Windows whose symbol is repeated or that have none: 96-bit name, text, first word."""
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one row of each distinct key, number of its rows)."""
+    if not len(keys[0]):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[0] = True
+    for k in keys:
+        new[1:] |= k[order][1:] != k[order][:-1]
+    first = np.flatnonzero(new)
+    return order[first], np.diff(np.append(first, len(order)))
+
+
+#: of a symbol's block: repeated; repeated and compared window by window; only compared
+FOUND, SHOWN, ASKED = 1, 2, 3
+#: of a row of windows: asked about; only shown to others; known to be repeated
+ASK, SHOW, KNOWN = 0, 1, 2
+
+
+def _windows(window: int, rounds: int):
+    """Windows to compare (96-bit name, text, first word) and known ranges."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            repeated = batch.column(3)
-            for lo, hi, data, offs in slices(batch.column(2)):
-                words = split_words(data, offs, NOT_SPACE)
-                s = parse(words, rounds)
-                p, chosen, _, ordinal = elect(s, words, window)
-                srow = s.row[s.hi - s.lo <= window]
-                part = repeated.slice(lo, hi - lo)
-                listed = np.zeros(len(ordinal), dtype=bool)
+            marks, asked, known = batch.column(3), [], []
+            for lo, hi, words, p, chosen, s, begin in _parsed(batch, window, rounds):
+                part = marks.slice(lo, hi - lo)
+                status = np.zeros(len(s.name) + 1, dtype=np.int8)
+                status[-1] = ASKED  # windows without a symbol
                 sizes = part.value_lengths().fill_null(0).to_numpy()
                 if sizes.sum():
-                    first = np.searchsorted(srow, np.repeat(np.arange(hi - lo), sizes))
-                    listed[first + part.flatten().to_numpy()] = True
-                wanted = chosen < 0
-                wanted[~wanted] = listed[chosen[~wanted]]
-                at = p[wanted]
-                h, row = words.hashes(), words.row[at]
-                one, two = window_names(h, window, 0)[at], window_names(h, window, 1)[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array((two >> U64(32)).astype(np.uint32).view(np.int32)),
-                     pa.array(k1[row + lo]), pa.array(k2[row + lo]),
-                     pa.array((at - words.row_first[row]).astype(np.int32))], names=["w1", "w2", "k1", "k2", "at"])
+                    packed = part.flatten().to_numpy()
+                    status[np.repeat(begin, sizes) + packed // 4] = packed % 4
+                first_word, row = words.row_first, words.row
+                of = status[chosen]
+                h = words.hashes()
+                at = p[of >= SHOWN]
+                asked.append((span_names(h, at, at + window, 0), _upper(span_names(h, at, at + window, 1)), row[at] + lo,
+                              at - first_word[row[at]], np.where(of[of >= SHOWN] == SHOWN, SHOW, ASK)))
+                got, first, end = blocks(p, chosen, window)
+                ok = (status[got] == FOUND) | (status[got] == SHOWN)
+                first, end = first[ok], end[ok]
+                known.append((row[first] + lo, first - first_word[row[first]], end - first - window + 1))
+            if not asked:
+                continue
+            w1, w2, r, at, kind = (np.concatenate(c) for c in zip(*asked))
+            group, n = _groups(w1, w2)
+            twice = np.zeros(len(w1), dtype=np.int64)  # rows of the batch that share the name
+            order = np.lexsort((w2, w1))
+            twice[order] = np.repeat(n, n)
+            sure = (twice > 1) & (kind == ASK)
+            kr, ka, kn = (np.concatenate(c) for c in zip(*known))
+            sr, sa, sn = _ranges(r[sure], at[sure])
+            kr, ka, kn = np.concatenate([kr, sr]), np.concatenate([ka, sa]), np.concatenate([kn, sn])
+            kind = np.where(twice > 1, SHOW, kind)[group]
+            rows = np.concatenate([r[group], kr])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([w1[group], mix(k1[kr].view(np.uint64) + ka.astype(U64))]).view(np.int64)),
+                 pa.array(np.concatenate([w2[group], np.zeros(len(kr), dtype=np.int32)])), pa.array(k1[rows]),
+                 pa.array(k2[rows]), pa.array(np.concatenate([at[group], ka]).astype(np.int32)),
+                 pa.array(np.concatenate([np.ones(len(group)), kn]).astype(np.int32)),
+                 pa.array(np.concatenate([kind, np.full(len(kr), KNOWN)]).astype(np.int32))],
+                names=["w1", "w2", "k1", "k2", "at", "n", "kind"])
     return run
 
 
+def _ranges(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Consecutive places of a row as (row, first, number)."""
+    if not len(row):
+        return row, at, at
+    order = np.lexsort((at, row))
+    row, at = row[order], at[order]
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)))
+    return row[first], at[first], np.diff(np.append(first, len(row)))
+
+
 def _cut(window: int, keep_layout: bool):
     """Texts without the words that windows at the listed places cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,11 +278,12 @@ def _cut(window: int, keep_layout: bool):
                 per_row = np.diff(words.row_first)
                 part = repeated.slice(lo, rows)
                 sizes = part.value_lengths().fill_null(0).to_numpy()
-                edge = np.zeros(n + window + 1, dtype=np.int64)
+                edge = np.zeros(n + 1, dtype=np.int64)
                 if sizes.sum():
-                    at = np.repeat(words.row_first[:-1], sizes) + part.flatten().to_numpy()
-                    edge[at] += 1
-                    edge[at + window] -= 1
+                    packed = part.flatten().to_numpy()
+                    at = np.repeat(words.row_first[:-1], sizes) + (packed >> 32)
+                    np.add.at(edge, at, 1)
+                    np.add.at(edge, at + (packed & 0xFFFFFFFF) - 1 + window, -1)
                 gone = np.cumsum(edge)[:n] > 0
                 row = words.row
                 gone |= ((copies[lo:hi] > 1) & (per_row >= window))[row]
@@ -239,18 +322,29 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, ro
     rest = [c for c in docs.columns if c not in (text, "n_words", "n_removed")]
     texts = (docs.where(F.col(text).isNotNull()).select(*key, F.col(text).alias("t"))
              .groupBy("k1", "k2").agg(F.any_value("t").alias("t"), F.count("*").alias("copies")))
-    plain = texts.select("k1", "k2", "t", "copies")
-
-    symbols = plain.mapInArrow(_symbols(window, rounds), "name long, k1 long, k2 int, at int")
-    often = symbols.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    places = symbols.join(often, "name").groupBy("k1", "k2").agg(F.collect_list("at").alias("symbols"))
-
-    windows = plain.join(places, ["k1", "k2"], "left").select("k1", "k2", "t", "symbols").mapInArrow(
-        _candidates(window, rounds), "w1 long, w2 int, k1 long, k2 int, at int")
-    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    hits = windows.join(twice, ["w1", "w2"]).groupBy("k1", "k2").agg(F.collect_list("at").alias("windows"))
-
-    cut = plain.join(hits, ["k1", "k2"], "left").select("k1", "k2", "t", "windows", "copies").mapInArrow(
+    # every use takes all columns, so that one exchange of the texts serves them all
+    symbols = texts.mapInArrow(_symbols(window, rounds), "name long, block long, k1 long, k2 int, at int, n int")
+    dealt = symbols.repartition("name")
+    found = F.col("n") == 0  # an equal block of its batch stands for it
+    same = Window.partitionBy("name", found, "block")
+    ordered = same.orderBy("k1", "k2", "at")
+    counted = (dealt.withColumn("lead", F.row_number().over(ordered) == 1).withColumn("of_block", F.sum("n").over(same))
+               .withColumn("different", F.sum(F.col("lead").cast("long")).over(Window.partitionBy("name", found))))
+    status = (F.when(found, FOUND).when(F.col("different") == 1, F.when(F.col("of_block") > 1, FOUND))
+              .when(F.col("of_block") == 1, ASKED).when(F.col("lead"), SHOWN).otherwise(FOUND))
+    marks = (counted.select("k1", "k2", (F.col("at").cast("long") * 4 + status).alias("mark")).where("mark IS NOT NULL")
+             .groupBy("k1", "k2").agg(F.collect_list("mark").alias("marks")))
+
+    windows = texts.join(marks, ["k1", "k2"], "left").select("k1", "k2", "t", "marks", "copies").mapInArrow(
+        _windows(window, rounds), "w1 long, w2 int, k1 long, k2 int, at int, n int, kind int")
+    known = F.col("kind") == KNOWN
+    shared = F.count("*").over(Window.partitionBy("w1", "w2", known))
+    hits = (windows.repartition("w1").withColumn("shared", shared)
+            .where(known | ((F.col("kind") == ASK) & (F.col("shared") > 1)))
+            .select("k1", "k2", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("n").cast("long")).alias("hit"))
+            .groupBy("k1", "k2").agg(F.collect_list("hit").alias("hits")))
+
+    cut = texts.join(hits, ["k1", "k2"], "left").select("k1", "k2", "t", "hits", "copies").mapInArrow(
         _cut(window, keep_layout), "k1 long, k2 int, n_words long, n_removed long, kept string")
     ids = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], *key,
                       F.col(text).isNull().alias("none"))

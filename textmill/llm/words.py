@@ -117,16 +117,19 @@ class Words:
         return self.data[self.start[i]: self.end[i]].tobytes()
 
 
-def window_names(h: np.ndarray, width: int, which: int = 0) -> np.ndarray:
-    """Name of each run of ``width`` consecutive values (len - width + 1)."""
-    n = len(h) - width + 1
-    if n <= 0:
-        return np.empty(0, dtype=U64)
+def span_names(h: np.ndarray, first: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+    """Name of each run h[first:end]; ``which`` picks one of two hashes."""
     up, down = _WORD_POWERS[which].get(len(h) + 1)
     sums = np.empty(len(h) + 1, dtype=U64)
     sums[0] = 0
     np.cumsum(h * up[: len(h)], out=sums[1:])
-    return mix((sums[width:] - sums[:-width]) * down[:n] + U64(width))
+    return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(U64))
+
+
+def window_names(h: np.ndarray, width: int, which: int = 0) -> np.ndarray:
+    """Name of each run of ``width`` consecutive values (len - width + 1)."""
+    first = np.arange(max(0, len(h) - width + 1))
+    return span_names(h, first, first + width, which)
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
