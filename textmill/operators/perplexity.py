@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PerplexityConfig
+from ..session import reliable_checkpoint
 
 IDX = "original_index"
 WORD_SPLIT = r"[^\p{L}\p{N}']+"
@@ -42,6 +43,7 @@ def sample(df: DataFrame, cfg: PerplexityConfig = PerplexityConfig(), key: str =
 def score_sample(corpus: DataFrame, sampled: DataFrame, cfg: PerplexityConfig = PerplexityConfig()) -> DataFrame:
     """(original_index, perplexity) for every sampled row."""
     k = float(cfg.smoothing)
+    sampled = reliable_checkpoint(sampled.select(IDX, "text"))  # at most sample_size rows, read several times
     sw = sampled.select(IDX, words(F.col("text")).alias("w"))
     if cfg.max_length:
         sw = sw.withColumn("w", F.slice("w", 1, int(cfg.max_length)))
@@ -55,10 +57,10 @@ def score_sample(corpus: DataFrame, sampled: DataFrame, cfg: PerplexityConfig =
                                               F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0)))))
                        .alias("p")).select(F.col("p")["0"].alias("prev"), F.col("p")["1"].alias("cur"))
     big = cpairs.join(keys, ["prev", "cur"], "left_semi").groupBy("prev", "cur").agg(F.count(F.lit(1)).alias("c2"))
-    uni = (cw.select(F.explode("w").alias("prev")).join(prevs, "prev", "left_semi")
-           .groupBy("prev").agg(F.count(F.lit(1)).alias("c1")))
-    # vocabulary size: one scalar aggregate
-    v = int(cw.select(F.explode("w").alias("x")).agg(F.count_distinct("x")).first()[0])
+    # one count of all words gives both the vocabulary and the unigrams
+    words_all = reliable_checkpoint(cw.select(F.explode("w").alias("prev")).groupBy("prev").agg(F.count(F.lit(1)).alias("c1")))
+    v = words_all.count()
+    uni = words_all.join(prevs, "prev", "left_semi")
     scored = (pairs.join(big, ["prev", "cur"], "left").join(uni, "prev", "left")
               .select(IDX, (F.log(F.coalesce("c2", F.lit(0)) + k)
                             - F.log(F.coalesce("c1", F.lit(0)) + F.lit(k * v))).alias("lp")))
