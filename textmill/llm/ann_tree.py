@@ -71,7 +71,7 @@ class Tree:
 
     def visit(self, q: np.ndarray, most: int) -> list[int]:
         """The first ``most`` leaves of a query, best bin first."""
-        queue, out, order = [(0.0, 0)], [], 0
+        queue, out = [(0.0, 0)], []
         while queue and len(out) < most:
             _, node = heapq.heappop(queue)
             while self.leaf[node] < 0:
@@ -83,7 +83,6 @@ class Tree:
                         heapq.heappush(queue, (float(d[i]), int(first + i)))
                 node = first + best
             out.append(int(self.leaf[node]))
-            order += 1
         return out
 
 
