@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from textmill.llm import ann_tree, crf_lang, toxicity
+from textmill.llm import ann_tree, crf_lang, samples, toxicity
 from textmill.llm.words import ALNUM, split_words
 
 SF = "/root/testdata/sf0.01"
@@ -124,6 +124,27 @@ def test_toxicity_edge_rows(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_one_long_text_does_not_end_its_class(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, f"plain word{i} here " + ("vile" if i % 2 else "fine"), "en", "s", "own", i) for i in range(60)], DOCS)
+    (first,) = docs.where("doc_id % 2 = 1").orderBy(F.xxhash64("doc_id")).limit(1).collect()  # the first of its class
+    long = docs.withColumn("text", F.when(F.col("doc_id") == first.doc_id, F.repeat(F.lit("vile plain "), 2000)).otherwise(F.col("text")))
+    model = toxicity.train(long, labels, F.lit(True), sample_bytes=8000)
+    assert model is not None
+    by = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert all((by[i] >= 0.5) == (i % 2 == 1) for i in range(60))
+
+
+def test_long_texts_are_held_to_spread_windows(spark):
+    assert samples.fair_length([5, 100, 7, 300], 72) == 30 and samples.fair_length([5, 6], 11) == 6
+    assert samples.fair_length([9, 9], 1) == 1 and samples.fair_length([], 5) == samples.fair_length([0], 5) == 1
+    text = "".join(chr(0x100 + i) for i in range(1000))
+    rows = spark.createDataFrame([(text, 1000), (text, 80), (text, 1), ("", 1)], "t string, most int")
+    whole, some, least, none = [r.t for r in rows.select(samples.held_to(F.col("t"), F.col("most")).alias("t")).collect()]
+    assert whole == text and none == "" and some.startswith(text[:9] + "\n") and some.endswith("\n" + text[-9:])
+    assert len(some) == 79 and all(x in text for x in some.split("\n")) and len(least.split("\n")) == 8
+
+
 def test_toxicity_does_not_read_the_language_column(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(200)
     texts = [r.text for r in docs.collect()]
