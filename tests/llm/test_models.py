@@ -87,6 +87,30 @@ def test_language_without_anything_to_learn(spark):
     assert {r.lang_pred for r in crf_lang.predict(rows, model).collect()} == {"xx", "und"}
 
 
+def test_one_long_text_does_not_end_the_language_sample(spark):
+    words = {"en": "the house and water of", "fr": "maison avec des rivieres", "xx": "qwz jvk zzt"}
+    rows = [(i, f"{words[x]} " * 4, x, None, None, i) for i, x in enumerate(["en", "fr"] * 20 + ["xx"])]
+    docs = spark.createDataFrame(rows, DOCS)
+    (first,) = docs.orderBy(F.xxhash64("doc_id", F.lit(5))).limit(1).collect()
+    long = docs.withColumn("text", F.when(F.col("doc_id") == first.doc_id, F.repeat("text", 300)).otherwise(F.col("text")))
+    model = crf_lang.train(long, F.lit(True), sample_bytes=12_000)
+    assert model is not None and model.labels == ["en", "fr", "xx"]
+    assert all(r.lang_pred == r.lang for r in crf_lang.predict(docs, model).collect())
+
+
+def test_more_languages_than_256_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(crf_lang, "WEIGHTS", 1 << 19)  # fewer weights a language, not fewer languages
+    rng = np.random.default_rng(4)
+    own = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(270)]
+    rows = [(i * 2 + j, f"{w} {w}s {w}en", f"l{i:03}", None, None, None) for i, w in enumerate(own) for j in range(1 if i == 7 else 2)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = crf_lang.train(docs, F.lit(True))
+    assert len(model.labels) == 270 and crf_lang.buckets_for(270) == len(model.weights) - 1 == 1024
+    got = crf_lang.predict(docs, model).collect()
+    assert sum(r.lang_pred == r.lang for r in got) > 0.95 * len(got)
+    assert {r.lang_pred for r in got if r.lang == "l007"} == {"l007"}  # the rarest
+
+
 def test_toxicity_of_held_out_documents(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = E.queries()["op3_toxicity"](spark, SF).collect()
