@@ -46,6 +46,23 @@ def test_cut_pieces_encode_like_whole_texts(texts, path):
     assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == want
 
 
+PARTS = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "|>", " ", "\n", "  ", "see", "É", "x's", "<", "!"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=9).map("".join), min_size=1, max_size=4), st.sampled_from([WORD, BYTE]))
+def test_added_tokens_in_a_text_are_the_tokenizers_ids(texts, path):
+    untouched = Tokenizer.from_file(path)
+    texts = [*texts, "see <|endoftext|> here"]
+    raw = [t.encode() for t in texts]
+    data, offs = np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    plain(path)
+    ids, ends = OURS[path].encode(data, offs, None)
+    got = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+    assert got == [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[-1] == ([862, 49407, 763] if path == WORD else [3826, 220, 50256, 994])
+
+
 def test_forgetting_pieces_changes_nothing(monkeypatch):
     monkeypatch.setattr("textmill.llm.tokens.KEPT_PIECES", 5)
     e = Encoder(BYTE)

@@ -13,11 +13,16 @@ are put together with numpy.  The cut rule follows from the tokenizer file:
 Both patterns also end a match between an ASCII letter and ASCII punctuation
 other than the apostrophe, so pieces are cut there too; where the normaliser
 folds case, ASCII letters are folded beforehand.
+
+Strings of added tokens in a text yield their ids, as in the tokenizer itself:
+each is a piece of its own, neither cut nor folded.  Where added tokens match
+by other rules than their plain string, whole texts are encoded.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +44,9 @@ _MARK &= ~_LETTER
 
 
 def cut_rule(spec: dict) -> str | None:
+    for token in spec.get("added_tokens") or []:
+        if any(token.get(x) for x in ("single_word", "lstrip", "rstrip", "normalized")) or re.search(r"\s", token["content"]):
+            return None
     pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
     if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and norm is None:
         return "keep"
@@ -61,7 +69,8 @@ class Encoder:
         self.rule = cut_rule(spec)
         self.folds = any(x.get("type") == "Lowercase" for x in (spec.get("normalizer") or {}).get("normalizers", []))
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = sorted((x["content"].encode("utf-8") for x in spec.get("added_tokens") or []), key=len, reverse=True)
+        self.added = [x for x in added if x]  # the longest first
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self._forget()
 
@@ -70,16 +79,33 @@ class Encoder:
         self.at = self.n = self.met = np.empty(0, dtype=np.int32)  # place and number of ids, slices met in
         self.pool = np.empty(0, dtype=np.uint32)
 
+    def _added(self, data: np.ndarray, offs: np.ndarray) -> list[tuple[int, int]]:
+        """Byte spans of added tokens' strings inside rows, from left to right."""
+        raw, out, at = data.tobytes(), [], 0
+        if not any(x in raw for x in self.added):
+            return out
+        pattern = re.compile(b"|".join(re.escape(x) for x in self.added))
+        while m := pattern.search(raw, at):
+            end = int(offs[np.searchsorted(offs, m.start(), side="right")])  # of the row it begins in
+            token = next((x for x in self.added if raw.startswith(x, m.start(), end)), None)
+            at = m.start() + (len(token) if token else 1)
+            if token:
+                out.append((m.start(), at))
+        return out
+
     def _pieces(self, data: np.ndarray, offs: np.ndarray) -> Words:
         cut = np.zeros(len(data) + 1, dtype=bool)
         cut[offs] = True
         space = ~NOT_SPACE[data]
+        added = self._added(data, offs) if self.rule else []
         if self.rule and len(data) > 1:
             letter, mark = _LETTER[data], _MARK[data]
             cut[1:-1] |= letter[:-1] & mark[1:]
         if self.rule == "drop":
             if self.folds:
-                data = LOWER[data]
+                whole, data = data, LOWER[data]
+                for a, b in added:
+                    data[a:b] = whole[a:b]
             cut[:-1] |= space
             cut[1:] |= space
         elif self.rule == "keep" and len(data) > 1:
@@ -87,6 +113,9 @@ class Encoder:
             two = np.zeros(len(data), dtype=bool)    # ... and not in two-byte characters from U+00C0
             two[1:] = (data[1:] >= 0x80) & (data[1:] < 0xC0) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
             cut[1:-1] |= space[1:] & (visible | two)[:-1]
+        for a, b in added:
+            cut[a + 1: b] = False
+            cut[[a, b]] = True
         edges = np.flatnonzero(cut)
         start, end = edges[:-1], edges[1:]
         if self.rule == "drop":
