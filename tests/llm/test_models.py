@@ -229,3 +229,14 @@ def test_hot_vector_and_blocks_are_exact(spark, monkeypatch):
         if q % 3 == 0:
             assert [i for _, i in sorted(found)] == [i for i, _ in brute(ids, x, q, x[q], 5)]
     assert len(got) == 9
+
+
+def test_small_leaves_still_give_k_rows(spark):
+    rng = np.random.default_rng(6)
+    # most rows in large groups of copies, so that one visit is calibrated; a few far ones alone in their leaves
+    rows = [(i, [float(i % 4), 0.0, 0.0]) for i in range(1, 2000)] + [(3000 + i, (50 * rng.normal(size=3)).tolist()) for i in range(8)]
+    rows += [(3000, rows[-8][1]), (3000, [1.0, 2.0, 3.0])]  # rows of a query's own id do not count
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann_tree.nearest(v, F.col("vec_id") >= 3000, k=10).groupBy("query_id").agg(F.max("rank").alias("n")).collect()
+    assert sorted(r.query_id for r in got) == [3000 + i for i in range(8)]
+    assert all(r.n >= 10 for r in got)

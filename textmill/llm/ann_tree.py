@@ -6,10 +6,11 @@ into its leaf.  A query visits leaves best bin first: it descends to the
 nearest child, keeps the other children in a priority queue by distance to
 their centres, and goes on from the queue's nearest.
 
-How many leaves to visit is calibrated: for ``CALIBRATION`` sampled rows the
-true neighbours are found by brute force over the whole table (in one pass,
+How many leaves to visit is calibrated: for ``CALIBRATION`` rows outside the
+fitted sample (or, of a table no larger, inside it) the true neighbours are found by brute force over the whole table (in one pass,
 a bounded list per task), and the visits are widened until the share of true
-neighbours in visited leaves reaches ``recall``.  If the table has changed so
+neighbours in visited leaves reaches ``recall``.  A query goes on past that
+number until its leaves hold at least ``k`` rows other than its own id.  If the table has changed so
 much that this needs all leaves, the search is exact.
 
 Leaves and the queries that visit them are cut into blocks by counted size, so
@@ -69,10 +70,11 @@ class Tree:
                 first, k = self.child[node], self.n[node]
                 at[rows] = first + _squares(x[rows], self.centre[first: first + k]).argmin(axis=1)
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """The first ``most`` leaves of a query, best bin first."""
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < most:
+    def visit(self, q: np.ndarray, most: int, held: np.ndarray | None = None, enough: int = 0) -> list[int]:
+        """The first ``most`` leaves of a query, best bin first, and further
+        ones until they hold ``enough`` rows (``held`` by leaf)."""
+        queue, out, rows = [(0.0, 0)], [], 0
+        while queue and (len(out) < most or (held is not None and rows < enough)):
             _, node = heapq.heappop(queue)
             while self.leaf[node] < 0:
                 first, k = self.child[node], self.n[node]
@@ -83,6 +85,8 @@ class Tree:
                         heapq.heappush(queue, (float(d[i]), int(first + i)))
                 node = first + best
             out.append(int(self.leaf[node]))
+            if held is not None:
+                rows += int(held[out[-1]])
         return out
 
 
@@ -181,11 +185,12 @@ def _brute(queries, dim: int, k: int):
     return run
 
 
-def _visits(tree, dim: int, most: int):
+def _visits(tree, held, dim: int, most: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaves = [tree.value.visit(q, most) for q in _vectors(batch.column(1), dim)]
+                leaves = [tree.value.visit(q, most, held.value, k + own)  # rows of the query's id do not count
+                          for q, own in zip(_vectors(batch.column(1), dim), batch.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(leaves, pa.list_(pa.int64()))],
                                                  names=["query_id", "qv", "leaves"])
     return run
@@ -218,28 +223,38 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "ve
         return spark.createDataFrame([], empty)
     dim = sizes[0].dim
     rows = rows.where(F.size("v") == dim)
-    drawn = rows.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(max(1, min(sample, SAMPLE_NUMBERS // dim))).collect()
-    x = np.array([r.v for r in drawn], dtype=np.float64)
+    size = max(1, min(sample, SAMPLE_NUMBERS // dim))
+    drawn = rows.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id").limit(size + CALIBRATION).collect()
+    x = np.array([r.v for r in drawn[:size]], dtype=np.float64)
     fitted = fit_tree(x)
     tree = spark.sparkContext.broadcast(fitted)
     indexed = written(rows.select("vec_id", "v").mapInArrow(_index(tree, dim), "vec_id long, v array<double>, leaf long"), "ann-rows")
 
-    probe = spark.sparkContext.broadcast((np.array([r.vec_id for r in drawn[:CALIBRATION]]), x[:CALIBRATION]))
+    probes = [*drawn[size:], *drawn[:size]][:CALIBRATION]  # outside the fitted sample where there are such rows
+    px = np.array([r.v for r in probes], dtype=np.float64)
+    probe = spark.sparkContext.broadcast((np.array([r.vec_id for r in probes]), px))
     by = Window.partitionBy("q").orderBy("score", "vec_id")
     truth = (indexed.mapInArrow(_brute(probe, dim, k), "q long, score double, vec_id long, leaf long")
              .withColumn("r", F.row_number().over(by)).where(F.col("r") <= k).select("q", "leaf").collect())  # probes x k
     places = {}
     for q in {r.q for r in truth}:
-        places[q] = {leaf: i for i, leaf in enumerate(fitted.visit(x[q], fitted.leaves))}
+        places[q] = {leaf: i for i, leaf in enumerate(fitted.visit(px[q], fitted.leaves))}
     needed = np.sort([places[r.q][r.leaf] + 1 for r in truth])
     visits = int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))))]) if len(needed) else fitted.leaves
 
-    queries = rows.where("asks").select("vec_id", "v").dropDuplicates(["vec_id", "v"])
-    asked = (queries.mapInArrow(_visits(tree, dim, visits), "query_id long, qv array<double>, leaves array<long>")
+    in_leaf = written(indexed.groupBy("leaf").agg(F.count("*").alias("n")), "ann-leaves")  # a row per leaf, bounded by the tree
+    held = np.zeros(fitted.leaves, dtype=np.int64)
+    for r in in_leaf.collect():
+        held[r.leaf] = r.n
+    held = spark.sparkContext.broadcast(held)
+
+    own = rows.groupBy("vec_id").agg(F.count("*").alias("own"), F.max("asks").alias("asks")).where("asks").select("vec_id", "own")
+    queries = rows.where("asks").select("vec_id", "v").dropDuplicates(["vec_id", "v"]).join(own, "vec_id").select("vec_id", "v", "own")
+    asked = (queries.mapInArrow(_visits(tree, held, dim, visits, k), "query_id long, qv array<double>, leaves array<long>")
              .withColumn("leaf", F.explode("leaves")).drop("leaves"))
     asked = written(asked, "ann-queries")
-    # blocks by counted size: a row per leaf, bounded by the tree
-    in_leaf = indexed.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_BLOCK).alias("blocks"))
+    # blocks by counted size
+    in_leaf = in_leaf.select("leaf", F.ceil(F.col("n") / LEAF_BLOCK).alias("blocks"))
     of_leaf = asked.groupBy("leaf").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("q_blocks"))
     sizes = F.broadcast(in_leaf.join(F.broadcast(of_leaf), "leaf"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
