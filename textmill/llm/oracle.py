@@ -95,5 +95,39 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_words, CAST(coalesce(r, 0) AS
 FROM d LEFT JOIN k USING (doc_id)
 """
 
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(0, 256), lambda i: list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, b: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8, beside ``crc_table``."""
+    return f"""xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode({text})), '..'),
+             lambda x: CAST('0x' || x AS BIGINT))), lambda acc, b: xor(acc >> 8, t[CAST((xor(acc, b) & 255) + 1 AS BIGINT)])), 4294967295)"""
+
+
+OP12 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, {_words("coalesce(text, '')", _BLANK)} AS w, {_crc32('CAST(doc_id AS VARCHAR)')} AS h FROM documents, crc_table),
+l AS (SELECT doc_id, w, h, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, (h // 10) % 8 AS m FROM d),
+t AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i: w[CAST(CASE WHEN i < a THEN i
+             ELSE a + (i - a) % (1 + (n - a) // (3 + m)) END + 1 AS BIGINT)]) ELSE w END AS w FROM l),
+pos AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(0, n)) AS x FROM t),
+eq AS (SELECT a.doc_id, a.x, b.x - a.x AS q, a.n FROM pos a JOIN pos b ON a.doc_id = b.doc_id AND a.word = b.word AND b.x > a.x
+       AND 2 * (b.x - a.x) <= a.n),
+isl AS (SELECT doc_id, q, x - row_number() OVER (PARTITION BY doc_id, q ORDER BY x) AS g, x FROM eq),
+st AS (SELECT doc_id, q, min(x) AS start, count(*) + q AS length FROM isl GROUP BY doc_id, q, g HAVING count(*) >= greatest(q, 12 - q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM st GROUP BY ALL),
+agg AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+        FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS x FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY x) AS text FROM pos ANTI JOIN gone USING (doc_id, x) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start, CAST(length AS BIGINT) AS length,
+       CAST(period AS BIGINT) AS period, CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM t LEFT JOIN agg USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 SQL = {"op4_warc": OP4, "op5_sharding": OP5, "op7_near_dedup": OP7, "op9_decontamination": OP9,
-       "op10_substring_dedup": OP10}
+       "op10_substring_dedup": OP10, "op12_period_runs": OP12}

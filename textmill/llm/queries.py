@@ -3,10 +3,10 @@ production parameters to its whole table and derives the contract's columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import (ann_tree, crf_lang, decontaminate, near_dup, oracle, packing, recompress, shard_bytes,
+from textmill.llm import (ann_tree, crf_lang, decontaminate, near_dup, oracle, packing, period_runs, recompress, shard_bytes,
                           token_arrow, toxicity, warc)
 from textmill.sources.tables import table
 
@@ -83,6 +83,32 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def _looped() -> Column:
+    """Texts of the documents whose crc32(doc_id) is divisible by ten, their
+    words from one on repeating with a period; other texts as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    w = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n = F.size(w).cast("long")
+    a = g % n
+    made = F.transform(F.array(F.struct(w.alias("w"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p"))),
+                       lambda x: F.array_join(F.transform(x["w"], lambda word, i: F.when(i < x["a"], word).otherwise(
+                           F.get(x["w"], (x["a"] + (i - x["a"]) % x["p"]).cast("int")))), " "))
+    return F.when((h % 10 == 0) & (n > 0), F.get(made, 0)).otherwise(F.col("text"))
+
+
+def op12_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _looped().alias("text"))
+    marked = period_runs.mark_runs(docs).withColumn("best", period_runs.longest())
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    return marked.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_token_arrow": op1_token_arrow,
     "op2_nearest": op2_nearest,
@@ -94,6 +120,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_period_runs": op12_period_runs,
 }
 
 ORACLE: dict[str, str] = dict(oracle.SQL)
