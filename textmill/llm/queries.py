@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.llm import (ann_tree, crf_lang, decontaminate, near_dup, oracle, packing, period_runs, recompress, shard_bytes,
-                          token_arrow, toxicity, warc)
+                          spelling, token_arrow, toxicity, warc)
 from textmill.sources.tables import table
 
 SHARDS = 24
@@ -109,6 +109,11 @@ def op12_period_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_token_arrow": op1_token_arrow,
     "op2_nearest": op2_nearest,
@@ -121,6 +126,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_period_runs": op12_period_runs,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE: dict[str, str] = dict(oracle.SQL)
