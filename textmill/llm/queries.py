@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.llm import (ann_tree, crf_lang, decontaminate, near_dup, oracle, packing, period_runs, recompress, shard_bytes,
-                          spelling, token_arrow, toxicity, warc)
+                          spelling, token_arrow, toxicity, two_fit, warc)
 from textmill.sources.tables import table
 
 SHARDS = 24
@@ -83,6 +83,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = two_fit.pack(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def _looped() -> Column:
     """Texts of the documents whose crc32(doc_id) is divisible by ten, their
     words from one on repeating with a period; other texts as they are."""
@@ -125,6 +130,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_two_fit": op11_two_fit,
     "op12_period_runs": op12_period_runs,
     "op13_spelling": op13_spelling,
 }
