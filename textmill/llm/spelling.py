@@ -285,8 +285,11 @@ def near_pairs(words: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
         edits = edits.unionByName(more)
     left = named.select(F.col("name").alias("source"), F.col("word").alias("a"), F.col("n").alias("n_a"))
     right = named.select(F.col("name").alias("edit"), F.col("word").alias("b"), F.col("n").alias("n_b"))
-    return (edits.join(right, "edit").join(left, "source")
-            .where((F.col("a") != F.col("b")) & (F.levenshtein("a", "b", 1) == 1)).select("a", "n_a", "b", "n_b").distinct())
+    near = edits.join(right, "edit").join(left, "source").where((F.col("a") != F.col("b")) & (F.levenshtein("a", "b", 1) == 1))
+    # words of equal names may meet in both orders
+    one, other = F.struct(F.col("a").alias("w"), F.col("n_a").alias("n")), F.struct(F.col("b").alias("w"), F.col("n_b").alias("n"))
+    return near.select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y")).distinct().select(
+        F.col("x.w").alias("a"), F.col("x.n").alias("n_a"), F.col("y.w").alias("b"), F.col("y.n").alias("n_b"))
 
 
 def variants(words: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
