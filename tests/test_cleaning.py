@@ -1,6 +1,8 @@
 """Cleaning edge rows the fixtures never reach (FIXTURES §3)."""
 
-from pyspark.sql import functions as F
+import random
+import unicodedata
+from html.parser import HTMLParser
 
 from textmill.config import CleanConfig
 from textmill.operators import cleaning
@@ -54,3 +56,58 @@ def test_length_bounds_inclusive(spark):
     out = cleaning.annotate(df, CleanConfig(min_chars=5, max_chars=10))
     got = {r[0]: r[1] for r in out.select("original_index", "drop_reason").collect()}
     assert got == {0: None, 1: "too_short", 2: None, 3: "too_long", 4: "empty_text"}
+
+
+class _Nodes(HTMLParser):
+    """Text nodes of a page: what lies between tags, comments and declarations."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.nodes, self.text, self.raw = [], "", None
+
+    def flush(self):
+        if self.text:
+            self.nodes.append(self.text)
+        self.text = ""
+
+    def handle_starttag(self, tag, attrs):
+        self.flush()
+        if tag in ("script", "style", "template"):
+            self.raw = tag
+
+    def handle_endtag(self, tag):
+        self.flush()
+        if tag == self.raw:
+            self.raw = None
+
+    def handle_data(self, data):
+        if self.raw is None:
+            self.text += data
+
+    def handle_comment(self, data):
+        self.flush()
+
+    handle_decl = handle_pi = unknown_decl = handle_comment
+
+
+PARTS = ["<p>", "</p>", "<br/>", "<!-- c <b> -->", "<!DOCTYPE html>", "<a href='x>y'>", "</a>", "<script>var a = '<p>';</script>",
+         "<style>p {}</style>", "<template>t</template>", " ", "\n", "\t  ", "word", "two words", "&amp;", "&lt;b&gt;", "é", "1 < 2", "a > b",
+         '<img alt="a > b" src=x>', "<B CLASS=big>"]
+
+
+def test_text_nodes_without_whitespace_normalisation(spark):
+    """The text is its nodes joined by one space, as a parser splits them."""
+    rng = random.Random(11)
+    pages = ["".join(rng.choice(PARTS) for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    pages += ["<p></p>x<p></p>", "<br>" * 50_000 + "x" + "<!-- a -->" * 20_000, "a<b>c</b>d", "  a  <i> </i>b "]
+    want = []
+    for page in pages:
+        parser = _Nodes()
+        parser.feed(page)
+        parser.close()
+        parser.flush()
+        want.append("".join(c for c in " ".join(parser.nodes) if unicodedata.category(c)[0] != "C" or c in "\n\t"))
+    df = spark.createDataFrame(list(enumerate(pages)), "original_index long, text string")
+    cfg = CleanConfig(min_chars=0, normalize_whitespace=False)
+    got = {r[0]: r[1] for r in cleaning.annotate(df, cfg).select("original_index", "text").collect()}
+    assert [got[i] for i in range(len(pages))] == want

@@ -5,6 +5,8 @@ whole-stage codegen); nothing here runs Python per row.
 
 from __future__ import annotations
 
+import functools
+import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -13,32 +15,30 @@ from pyspark.sql import functions as F
 from . import patterns as P
 
 # ---------------------------------------------------------------------------
-# HTML to text (the cleaner's markup removal).  Whitespace is collapsed
-# afterwards, so replacing every tag, comment or declaration by one space is
-# the same as joining text nodes with a space.
+# HTML to text (the cleaner's markup removal).  One expression reads the page
+# from left to right: each match is a run of adjacent tags, comments,
+# declarations and raw bodies, so what lies between two matches is one text node,
+# and replacing each match by a space joins the text nodes with a space.
 # ---------------------------------------------------------------------------
 
 # A tag runs to the first '>' outside a quoted value, and a value is quoted only
 # right after '='.  All loops are possessive: Java runs them without recursion,
-# so a tag of any length is safe.
+# so a tag, or a run of them, of any length is safe.
 _ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
-HTML_COMMENT = r"<!--[\s\S]*?(?:-->|\z)"
-HTML_DECL = r"<[!?][^>]*+(?:>|\z)"
+_COMMENT = r"!--[\s\S]*?(?:-->|\z)"
+_DECL = r"[!?][^>]*+(?:>|\z)"
 # Bodies of script, style and template contribute no text; an unclosed one
 # runs to the end of the page.
-HTML_RAW_BODY = (
-    r"(?i)<script(?:[\s/]" + _ATTRS + r")?+>[\s\S]*?(?:</script\s*+>|\z)"
-    r"|<style(?:[\s/]" + _ATTRS + r")?+>[\s\S]*?(?:</style\s*+>|\z)"
-    r"|<template(?:[\s/]" + _ATTRS + r")?+>[\s\S]*?(?:</template\s*+>|\z)"
-)
-HTML_TAG = r"</?[A-Za-z]" + _ATTRS + ">"
+_RAW_BODY = "|".join(rf"{name}(?:[\s/]{_ATTRS})?+>[\s\S]*?(?:</{name}\s*+>|\z)" for name in ("script", "style", "template"))
+_TAG = r"/?[a-z]" + _ATTRS + ">"
 # A tag cut off by the end of the page is a name, attributes with values and at
 # most one more name; any other remaining '<letter' is text.
-HTML_UNFINISHED_TAG = (
-    r"""</?[A-Za-z][^\s<>"'=/]*+"""
+_UNFINISHED_TAG = (
+    r"""/?[a-z][^\s<>"'=/]*+"""
     r"""(?:[\s/]++[^\s<>"'=/]++\s*+=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s"'<>]++|\z))*+"""
     r"""(?:[\s/]++[^\s<>"'=/]++)?+[\s/]*+\z"""
 )
+MARKUP = f"(?i)(?:<(?:{_COMMENT}|{_RAW_BODY}|{_DECL}|{_TAG}|{_UNFINISHED_TAG}))++"
 
 # Character references: names of up to 32 characters, numbers of any length.
 ENTITY_NAME = r"^([A-Za-z][A-Za-z0-9]{0,31})(;?)"
@@ -48,7 +48,7 @@ _NAMES_SEMI = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
 _NAMES_BARE = {n: c for n, c in html5.items() if not n.endswith(";")}
 _BARE_PREFIX = "^(" + "|".join(sorted(_NAMES_BARE, key=lambda n: (-len(n), n))) + ")"
 # 128-159 are read as Windows-1252 where it has a character
-_C1 = {n: bytes([n]).decode("cp1252", "ignore") for n in range(128, 160)}
+_C1 = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
 
 
 def _code_point_to_string(n: Column) -> Column:
@@ -56,16 +56,29 @@ def _code_point_to_string(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
-def _literal_map(items: dict) -> Column:
-    return F.create_map(*[F.lit(x) for pair in items.items() for x in pair])
+@functools.cache
+def _by_first_letter(names: tuple[tuple[str, str], ...]) -> str:
+    """JSON of names by their first letter: {letter: {name: characters}}."""
+    out: dict[str, dict[str, str]] = {}
+    for name, chars in names:
+        out.setdefault(name[0], {})[name] = chars
+    return json.dumps(out)
+
+
+def _looked_up(names: dict[str, str], name: Column) -> Column:
+    """The characters of a name, null for others.  The table is one literal,
+    parsed once when the plan is optimised; a look-up reads the names of one
+    letter."""
+    table = F.from_json(F.lit(_by_first_letter(tuple(names.items()))), "map<string,map<string,string>>")
+    return F.try_element_at(F.try_element_at(table, F.substring(name, 1, 1)), name)
 
 
 def _numeric_reference(n: Column) -> Column:
     """The character of a number: 0, surrogates and numbers beyond Unicode are
     U+FFFD, 128-159 are Windows-1252."""
     bad = n.isNull() | (n == 0) | (n > 0x10FFFF) | ((n >= 0xD800) & (n <= 0xDFFF))
-    c1 = F.element_at(_literal_map({n: c for n, c in _C1.items() if c}), F.when(n.between(128, 159), n))
-    return F.when(bad, F.lit("\ufffd")).otherwise(F.coalesce(c1, _code_point_to_string(n)))
+    return (F.when(bad, F.lit("\ufffd")).when(n.between(128, 159), F.substr(F.lit(_C1), n - 127, F.lit(1)))
+            .otherwise(_code_point_to_string(n)))
 
 
 def decode_entities(c: Column) -> Column:
@@ -73,12 +86,10 @@ def decode_entities(c: Column) -> Column:
     (those of the old set also without ';', longest first), decimal and
     hexadecimal numbers.  The text is split on '&' and each piece after the
     first is decoded at its head, so a decoded '&' is never re-read."""
-    semi, bare = _literal_map(_NAMES_SEMI), _literal_map(_NAMES_BARE)
-
     def piece(p: Column) -> Column:
         dec, hx = F.regexp_extract(p, ENTITY_DEC, 1), F.regexp_extract(p, ENTITY_HEX, 1)
         name, end = F.regexp_extract(p, ENTITY_NAME, 1), F.regexp_extract(p, ENTITY_NAME, 2)
-        full = F.when(end == ";", F.element_at(semi, F.when(name != "", name)))
+        full = F.when(end == ";", _looked_up(_NAMES_SEMI, F.when(name != "", name)))
         short = F.regexp_extract(p, _BARE_PREFIX, 1)
         # more than 7 significant digits are beyond Unicode in any case
         dec_n = F.ltrim(dec, F.lit("0"))
@@ -89,7 +100,7 @@ def decode_entities(c: Column) -> Column:
             F.when(dec != "", F.concat(_numeric_reference(dec_n), F.regexp_replace(p, ENTITY_DEC, "")))
             .when(hx != "", F.concat(_numeric_reference(hex_n), F.regexp_replace(p, ENTITY_HEX, "")))
             .when(full.isNotNull(), F.concat(full, p.substr(F.length(name) + 2, F.length(p))))
-            .when(short != "", F.concat(F.element_at(bare, F.when(short != "", short)), p.substr(F.length(short) + 1, F.length(p))))
+            .when(short != "", F.concat(_looked_up(_NAMES_BARE, F.when(short != "", short)), p.substr(F.length(short) + 1, F.length(p))))
             .otherwise(F.concat(F.lit("&"), p))
         )
 
@@ -99,13 +110,14 @@ def decode_entities(c: Column) -> Column:
     )
 
 
-def strip_html(c: Column) -> Column:
-    """Markup to text; rows without '<' or '&' bypass the regex chain."""
-    out = F.regexp_replace(c, HTML_COMMENT, " ")
-    out = F.regexp_replace(out, HTML_RAW_BODY, " ")
-    out = F.regexp_replace(out, HTML_DECL, " ")
-    out = F.regexp_replace(out, HTML_TAG, " ")
-    out = F.regexp_replace(out, HTML_UNFINISHED_TAG, " ")
+def strip_html(c: Column, at_ends: bool = True) -> Column:
+    """Markup to text: text nodes joined by one space.  Markup at the ends of the
+    page gives a space too, unless ``at_ends`` is False (then the text is exactly
+    its joined nodes).  Rows without '<' or '&' bypass the expressions."""
+    out = c
+    if not at_ends:
+        out = F.regexp_replace(F.regexp_replace(out, r"\A" + MARKUP, ""), MARKUP + r"\z", "")
+    out = F.regexp_replace(out, MARKUP, " ")
     out = F.when(out.contains("&"), decode_entities(out)).otherwise(out)
     return F.when(c.rlike("[<&]"), out).otherwise(c)
 
@@ -131,7 +143,7 @@ def strip_ws(c: Column) -> Column:
 
 def clean_text(c: Column, remove_html: bool = True, normalize_whitespace: bool = True,
                lowercase: bool = False) -> Column:
-    out = strip_html(c) if remove_html else c
+    out = strip_html(c, at_ends=normalize_whitespace) if remove_html else c
     out = remove_control_chars(out)
     if normalize_whitespace:
         out = collapse_whitespace(out)
