@@ -3,6 +3,8 @@ concatenation and slicing; prefix sums are partition-count independent."""
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from textmill.config import DedupConfig, TrainingConfig
@@ -43,6 +45,79 @@ def test_long_chain(spark):
     assert {r[0] for r in dedup.greedy_dropped(e).collect()} == set(range(1, n + 1, 2))
 
 
+@pytest.mark.parametrize("shape", ["line", "ladder"])
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch, shape):
+    n, rounds = 10_000, []
+    edges = [(i, i + 1) for i in range(n - 1)]
+    if shape == "ladder":  # each row is like the two before it
+        edges += [(i, i + 2) for i in range(0, n - 2, 7)]
+    real = dedup.reliable_checkpoint
+    monkeypatch.setattr(dedup, "reliable_checkpoint", lambda df: rounds.append(1) or real(df))
+    e = spark.createDataFrame(edges, "i long, j long")
+    got = {r[0] for r in dedup.greedy_dropped(e).collect()}
+    assert got == _sequential(n, edges)
+    if shape == "line":
+        assert len(rounds) - 1 <= 20
+
+
+def test_a_long_chain_among_copies_and_stars(spark, monkeypatch):
+    """Leaders first, then the chain that they would follow row by row."""
+    n = 600
+    edges = [(i, i + 1) for i in range(n)] + [(0, 1000 + i) for i in range(300)] + [(1000 + i, 2000 + i) for i in range(300)]
+    pairs = spark.createDataFrame(edges, "lead long, original_index long")
+    buckets = pairs.select(F.xxhash64("lead", "original_index").alias("key"), F.explode(F.array("lead", "original_index")).alias("original_index"))
+    calls = []
+
+    def similar(found):
+        calls.append(1)
+        return found.join(pairs, ["lead", "original_index"], "left_semi")
+    got = {r[0] for r in dedup.leader_rounds(buckets, similar).collect()}
+    assert got == _sequential(2300, edges) and len(calls) == dedup.LEADER_ROUNDS + 1
+    monkeypatch.setattr(dedup, "PAIRS_PER_ROW", -1)  # leaders alone give the same
+    short = [e for e in edges if max(e) <= 30 or min(e) >= 1000]
+    few = spark.createDataFrame(short, "lead long, original_index long")
+    buckets = few.select(F.xxhash64("lead", "original_index").alias("key"), F.explode(F.array("lead", "original_index")).alias("original_index"))
+    assert {r[0] for r in dedup.leader_rounds(buckets, similar).collect()} == _sequential(2300, short)
+
+
+def test_lsh_parameters():
+    assert dedup.lsh_parameters(0.9, 128) == (5, 25)
+    assert dedup.lsh_parameters(0.5, 128) == (25, 5)
+    bands, rows = dedup.lsh_parameters(0.8, 128, recall=0.95)
+    s = np.linspace(0.8, 1, 2001)
+    assert bands * rows <= 128 and (1 - (1 - s ** rows) ** bands).mean() >= 0.95
+    assert dedup.lsh_parameters(0.1, 4, recall=0.99) == (4, 1)  # the best there is
+    for bad in ((0, 128, None), (1.0, 128, None), (0.5, 0, None), (0.5, 128, 1.0)):
+        with pytest.raises(ValueError):
+            dedup.lsh_parameters(*bad)
+
+
+def test_searched_bands_find_what_exact_mode_finds(spark):
+    """Recall against exact mode, for the shipped pair and a searched one."""
+    rnd = random.Random(5)
+    texts = []
+    for g in range(120):
+        w = [f"w{rnd.randrange(4000)}" for _ in range(120)]
+        texts.append(" ".join(w))
+        for _ in range(2):
+            v = list(w)
+            for _ in range(rnd.randint(1, 3)):
+                v[rnd.randrange(120)] = f"x{rnd.randrange(4000)}"
+            texts.append(" ".join(v))
+    df = spark.createDataFrame(list(enumerate(texts)), "original_index long, text string")
+
+    def pairs(cfg):
+        fp = dedup.fingerprint(df)
+        reps = dedup._reps(fp, cfg)
+        cands = dedup.prefix_candidates(reps, 0.8) if cfg.verify == "exact" else dedup.minhash_candidates(reps, cfg)
+        return {(r.i, r.j) for r in cands.collect()}, {(r.i, r.j) for r in dedup._similar(cands, reps, cfg).collect()}
+
+    true = pairs(DedupConfig(verify="exact", threshold=0.8))[1]
+    found = pairs(DedupConfig(threshold=0.8, bands=None, recall=0.95))[0]
+    shipped = pairs(DedupConfig(threshold=0.8))[0]
+    assert len(true) > 200 and len(true & found) >= 0.9 * len(true) > len(true & shipped)
+
+
 def test_one_template_lists_no_pairs_of_members(spark):
     """Members are compared with kept leaders only: n rows of one bucket."""
     seen = []

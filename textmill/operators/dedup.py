@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from ..session import reliable_checkpoint
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -148,9 +150,40 @@ def signature(shingle_col: Column, cfg: DedupConfig) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# E7-E8 candidate pairs and verification
+# E7-E8 banding, candidate pairs and verification
 # ---------------------------------------------------------------------------
 
+_GRID = 1000  # points of the integrals over the similarity
+
+
+@functools.cache
+def lsh_parameters(threshold: float, num_perm: int = 128, recall: float | None = None) -> tuple[int, int]:
+    """(bands, rows a band) with bands * rows <= num_perm for pairs of at least
+    ``threshold``.
+
+    A pair of similarity s shares a band with probability 1 - (1 - s^r)^b.  Its
+    integral below the threshold measures useless candidates, that of the rest
+    above it lost pairs.  Without ``recall`` both weigh the same; with it, the
+    setting of fewest useless candidates is taken among those that keep that
+    share of the pairs above the threshold (similarities spread evenly)."""
+    if not 0 < threshold < 1 or num_perm < 1 or not (recall is None or 0 < recall < 1):
+        raise ValueError("0 < threshold, recall < 1 and at least one permutation are expected")
+    s = (np.arange(_GRID) + 0.5) / _GRID
+    below, above = s * threshold, threshold + s * (1 - threshold)
+    best, most = None, None
+    for r in range(1, num_perm + 1):
+        b = np.arange(1, num_perm // r + 1)[:, None]
+        useless = threshold * (1 - (1 - below ** r) ** b).mean(axis=1)
+        lost = ((1 - above ** r) ** b).mean(axis=1)
+        for bands, u, x in zip(b[:, 0].tolist(), useless.tolist(), lost.tolist()):
+            cost = u + (1 - threshold) * x if recall is None else u
+            if (recall is None or 1 - x >= recall) and (best is None or cost < best[0]):
+                best = (cost, bands, r)
+            if most is None or x < most[0]:
+                most = (x, bands, r)
+    return (best or most)[1:]  # no setting keeps that share: the one that keeps most
+
+
 def _reps(fp: DataFrame, cfg: DedupConfig) -> DataFrame:
     """Compact table (index, shingles or signature, ``_copy``) for the
     near-duplicate joins.  ``_rep_key`` identifies equal representations
@@ -175,8 +208,11 @@ def _reps(fp: DataFrame, cfg: DedupConfig) -> DataFrame:
 
 
 def _bands(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
-    r = cfg.rows_per_band
-    bands = F.transform(F.sequence(F.lit(0), F.lit(cfg.bands - 1)),
+    if cfg.recall is None and cfg.bands and cfg.rows_per_band:
+        b, r = cfg.bands, cfg.rows_per_band
+    else:
+        b, r = lsh_parameters(cfg.threshold, cfg.num_perm, cfg.recall)
+    bands = F.transform(F.sequence(F.lit(0), F.lit(b - 1)),
                         lambda b: F.struct(b.alias("band"), F.xxhash64(F.slice("sig", b * r + 1, r)).alias("bh")))
     return reps.select(IDX, F.explode(bands).alias("b")).select(IDX, "b.band", "b.bh")
 
@@ -243,15 +279,44 @@ def _similar(pairs: DataFrame, reps: DataFrame, cfg: DedupConfig) -> DataFrame:
 # E9 greedy first-occurrence-wins
 # ---------------------------------------------------------------------------
 
+#: rounds of leaders between two looks at what is left, and the pairs a
+#: remaining (row, bucket) may cost when they are listed
+LEADER_ROUNDS = 4
+PAIRS_PER_ROW = 64
+
+
 def greedy_dropped(edges: DataFrame) -> DataFrame:
     """Indices dropped by the sequential rule "in order, drop a row iff it
-    is similar to an earlier kept row", over listed similar pairs: rounds of
-    ``leader_rounds`` in which each pair is a bucket of its own."""
-    e = edges.select("i", "j").distinct()
-    buckets = e.select(F.xxhash64("i", "j").alias("key"), F.explode(F.array("i", "j")).alias(IDX))
-    # a bucket holds one pair, and all pairs are similar
-    return leader_rounds(buckets, lambda pairs: pairs.join(
-        e.select(F.col("i").alias("lead"), F.col("j").alias(IDX)), ["lead", IDX], "left_semi"))
+    is similar to an earlier kept row", over listed similar pairs (i, j), i < j.
+
+    A row is kept iff each of its conditions holds, at first "i is dropped" for
+    every earlier neighbour i.  Each round settles the conditions on rows decided
+    in the last one, decides the rows of which one fails or all hold, and
+    contracts: a row with a single condition is kept iff that holds, so a
+    condition on it becomes one on that row's own, possibly reversed.  So chains
+    halve every round, and the rounds grow with the logarithm of a chain."""
+    edges = reliable_checkpoint(edges.select("i", "j").distinct())
+    deps = edges.select(F.col("j").alias("node"), F.col("i").alias("on"), F.lit(False).alias("kept"))
+    decided = edges.select(F.col("i").alias("node")).distinct().join(
+        edges.select(F.col("j").alias("node")), "node", "left_anti").withColumn("is_kept", F.lit(True))
+    dropped = edges.select(F.col("j").alias(IDX)).limit(0)
+    while True:
+        known = decided.select(F.col("node").alias("on"), "is_kept")
+        met = deps.join(known, "on", "left").groupBy("node", "on").agg(
+            F.min("kept").alias("kept"), (F.min("kept") != F.max("kept")).alias("contrary"), F.max("is_kept").alias("is_kept"))
+        met = met.select("node", "on", "kept", (F.col("contrary") | F.coalesce(F.col("is_kept") != F.col("kept"), F.lit(False))).alias("fails"),
+                         F.col("is_kept").isNull().alias("open"))
+        verdict = met.groupBy("node").agg(F.bool_or("fails").alias("falls"), F.count_if("open").alias("left"))
+        state = reliable_checkpoint(met.join(verdict, "node"))
+        dropped = dropped.union(state.where("falls").select("node").distinct())
+        more = state.where("open AND NOT falls").select("node", "on", "kept", "left")
+        if more.isEmpty():
+            return dropped
+        decided = state.where("falls OR left = 0").select("node", (~F.col("falls")).alias("is_kept")).distinct()
+        single = more.where("left = 1").select(F.col("node").alias("on"), F.col("on").alias("next"), F.col("kept").alias("if_kept"))
+        deps = more.join(single, "on", "left").select(
+            "node", F.coalesce("next", "on").alias("on"),
+            F.when(F.col("next").isNull(), F.col("kept")).otherwise(F.col("kept") == F.col("if_kept")).alias("kept"))
 
 
 def leader_rounds(buckets: DataFrame, similar) -> DataFrame:
@@ -263,26 +328,35 @@ def leader_rounds(buckets: DataFrame, similar) -> DataFrame:
     buckets has no undecided earlier candidate and was not dropped by a kept
     one: it is kept, compared with the undecided members of its buckets, and
     leaves them with the rows that it drops.  So a bucket of n rows costs
-    (members x kept leaders) comparisons, the minimum combines map-side, and
-    the smallest undecided row is decided in every round: the loop ends when
-    none is left, whatever the length of a chain."""
+    (members x kept leaders) comparisons, and the minimum combines map-side.
+
+    Copies and stars go in a few rounds; a chain would take a round for every
+    two of its rows.  So after each ``LEADER_ROUNDS``, the pairs of the rows that
+    are left are listed if they are at most ``PAIRS_PER_ROW`` a row and bucket,
+    and decided by ``greedy_dropped``; otherwise leaders go on."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(buckets.sparkSession)
-    dropped = None
-    state = reliable_checkpoint(buckets.select("key", IDX).distinct())
+    dropped = buckets.select(IDX).limit(0)
+    state, rounds = reliable_checkpoint(buckets.select("key", IDX).distinct()), 0
     while True:
         lead = state.groupBy("key").agg(F.min(IDX).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        led = reliable_checkpoint(state.join(lead, "key").select("key", IDX, "lead"))
-        if led.isEmpty():
-            break
+        led = reliable_checkpoint(state.join(lead, "key").select("key", IDX, "lead", "n"))
+        size = led.agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("n") - 1) / 2).alias("pairs")).first()
+        if not size["rows"]:
+            return dropped
+        if rounds and rounds % LEADER_ROUNDS == 0 and size["pairs"] <= PAIRS_PER_ROW * size["rows"]:
+            first, second = led.select("key", F.col(IDX).alias("lead")), led.select("key", IDX)
+            pairs = first.join(second, "key").where(F.col("lead") < F.col(IDX)).select("lead", IDX).distinct()
+            edges = reliable_checkpoint(similar(pairs).select(F.col("lead").alias("i"), F.col(IDX).alias("j")))
+            return dropped.union(greedy_dropped(edges))
         waiting = led.where(F.col(IDX) != F.col("lead")).select(IDX).distinct()
         kept = led.select(F.col("lead").alias(IDX)).distinct().join(waiting, IDX, "left_anti")
         pairs = (led.where(F.col(IDX) != F.col("lead")).select("lead", IDX).distinct()
                  .join(kept.withColumnRenamed(IDX, "lead"), "lead", "left_semi"))
         gone = reliable_checkpoint(similar(pairs).select(IDX).distinct())
-        dropped = gone if dropped is None else dropped.unionByName(gone)
-        state = (led.select("key", IDX).join(kept, IDX, "left_anti").join(gone, IDX, "left_anti"))
-    return dropped if dropped is not None else buckets.select(IDX).limit(0)
+        dropped = dropped.union(gone)
+        state = led.select("key", IDX).join(kept, IDX, "left_anti").join(gone, IDX, "left_anti")
+        rounds += 1
 
 
 def _buckets(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
@@ -299,7 +373,8 @@ def annotate_near(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
     reps = _reps(fp, cfg)
     firsts = reps.filter(~F.col("_copy"))
     dropped = leader_rounds(_buckets(firsts, cfg), lambda pairs: _similar(
-        pairs.select(F.col("lead").alias("i"), F.col(IDX).alias("j")), firsts, cfg).select(F.col("j").alias(IDX)))
+        pairs.select(F.col("lead").alias("i"), F.col(IDX).alias("j")), firsts, cfg).select(
+            F.col("i").alias("lead"), F.col("j").alias(IDX)))
     decided = (reps.select(IDX, "_copy").join(dropped.withColumn("_dropped", F.lit(True)), IDX, "left")
                .select(IDX, (F.col("_copy") | F.coalesce("_dropped", F.lit(False))).alias("is_duplicate")))
     return fp.join(decided, IDX, "inner")
@@ -317,9 +392,12 @@ def deduplicate(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
     raise ValueError(f"Unknown deduplication method: {cfg.method}")
 
 
+def metric_columns() -> dict[str, Column]:
+    """Aggregates over annotated rows."""
+    total, dups = F.count(F.lit(1)), F.count_if(F.col("is_duplicate"))
+    return {"total_samples": total, "kept_samples": total - dups, "duplicates_removed": dups,
+            "duplicate_rate": F.when(total > 0, dups / total).otherwise(F.lit(0.0))}
+
+
 def metrics(annotated: DataFrame) -> DataFrame:
-    total = F.count(F.lit(1))
-    dups = F.count_if(F.col("is_duplicate"))
-    return annotated.agg(total.alias("total_samples"), (total - dups).alias("kept_samples"),
-                         dups.alias("duplicates_removed"),
-                         F.when(total > 0, dups / total).otherwise(F.lit(0.0)).alias("duplicate_rate"))
+    return annotated.agg(*[v.alias(k) for k, v in metric_columns().items()])
