@@ -21,11 +21,13 @@ def main() -> None:
     t0 = time.time()
     # the tables are single-row-group files: spread them, as a reader of many files would be
     res = run(spark, sf_dir, input_partitions=int(cpus) * 2 if cpus.isdigit() else 16)
-    for name in ("safety_metrics", "dedup_metrics", "token_metrics", "perplexity_stats", "shard_meta"):
-        if name in res.tables:
-            res.tables[name].collect()
+    t1 = time.time()
+    for name in ("safety_metrics", "dedup_metrics", "token_metrics", "perplexity_stats", "shard_meta", "report_summary",
+                 "report_token_histogram", "report_char_histogram", "report_token_boxplot"):
+        res.tables[name].collect()
     total = time.time() - t0
-    stages = {s: round(sec, 3) for s, _, _, sec, _ in res.throughput}
+    stages = {s: round(sec, 3) for s, _, _, sec, _ in res.throughput} | {"report": round(time.time() - t1, 3)}
+    res.release(spark)
     rates = {s: round(r, 1) for s, _, _, _, r in res.throughput}
     rows = {s: [i, o] for s, i, o, _, _ in res.throughput}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

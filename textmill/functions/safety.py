@@ -279,10 +279,13 @@ def empty_toxicity(prefilter_tag: Column | None = None, skip_reason: str | None
 
 
 def add_toxicity(df: DataFrame, text_col: str, pf_col: str, cfg: SafetyConfig = SafetyConfig(),
-                 out: str = "toxicity", active: Column | None = None) -> DataFrame:
+                 out: str = "toxicity", active: Column | None = None, find=None) -> DataFrame:
     """Adds ``out`` = rule score of the stitched windows for rows where
     ``active`` holds (null elsewhere).  Stitched text, normalised text and
-    the counts are staged in separate projections (see add_prefilter)."""
+    the counts are staged in separate projections (see add_prefilter).
+
+    ``find(df, words, out)`` adds the listed ones of a word array with their
+    weights (a blocklist table); without it the configuration's map is used."""
     text = F.col(text_col)
     pf = F.col(pf_col)
     on = active if active is not None else F.lit(True)
@@ -294,9 +297,12 @@ def add_toxicity(df: DataFrame, text_col: str, pf_col: str, cfg: SafetyConfig =
     normalized = normalize_for_scoring(t)
     s3 = s2.withColumn("_tx_low", F.lower(normalized))
     lowered = F.col("_tx_low")
-    bmap = _blocklist_map(cfg)
-    if bmap is not None:
-        tokens = F.regexp_extract_all(lowered, F.lit(P.WORD_J), 0)
+    bmap = _blocklist_map(cfg) if find is None else None
+    tokens = F.regexp_extract_all(lowered, F.lit(P.WORD_J), 0)
+    if find is not None:
+        s3 = find(s3.withColumn("_tx_words", F.when(on, tokens)), "_tx_words", "_tx_found")
+        hits = F.transform("_tx_found", lambda x: x["word"])
+    elif bmap is not None:
         hits = F.filter(tokens, lambda x: F.map_contains_key(bmap, x))
     else:
         hits = F.array().cast("array<string>")
@@ -317,8 +323,11 @@ def add_toxicity(df: DataFrame, text_col: str, pf_col: str, cfg: SafetyConfig =
         n.alias("_tx_n"),
     )
     hits = F.col("_tx_hits")
-    score = (F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + F.element_at(bmap, x))
-             if bmap is not None else F.lit(0.0))
+    if find is not None:
+        score = F.aggregate("_tx_found", F.lit(0.0), lambda acc, x: acc + x["weight"])
+    else:
+        score = (F.aggregate(hits, F.lit(0.0), lambda acc, x: acc + F.element_at(bmap, x))
+                 if bmap is not None else F.lit(0.0))
     up_on = (F.col("_tx_n") >= cfg.min_chars_for_uppercase_check) & (F.col("_tx_ur") > cfg.uppercase_ratio_limit)
     sym_on = F.col("_tx_sr") > cfg.symbol_ratio_limit
     punct_on = F.col("_tx_punct") > 0

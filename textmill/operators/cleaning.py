@@ -42,10 +42,17 @@ def drop_counts(annotated: DataFrame) -> DataFrame:
             .groupBy("drop_reason").agg(F.count(F.lit(1)).alias("n")))
 
 
+REASONS = ("empty_text", "too_short", "too_long")
+
+
+def metric_columns() -> dict[str, Column]:
+    """Aggregates over annotated rows: totals and each reason."""
+    reason = F.col("drop_reason")
+    return {"total_samples": F.count(F.lit(1)), "kept_samples": F.count_if(reason.isNull()),
+            "dropped_samples": F.count_if(reason.isNotNull()), **{f"reason__{r}": F.count_if(reason == r) for r in REASONS}}
+
+
 def metrics(annotated: DataFrame) -> DataFrame:
     """One row: total, kept, dropped."""
-    return annotated.agg(
-        F.count(F.lit(1)).alias("total_samples"),
-        F.count_if(F.col("drop_reason").isNull()).alias("kept_samples"),
-        F.count_if(F.col("drop_reason").isNotNull()).alias("dropped_samples"),
-    )
+    columns = metric_columns()
+    return annotated.agg(*[columns[c].alias(c) for c in ("total_samples", "kept_samples", "dropped_samples")])

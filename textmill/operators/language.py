@@ -81,6 +81,7 @@ class Profile:
     languages: list[str]
     prior: np.ndarray
     weights: np.ndarray  # languages x buckets
+    documents: int = 0   # learned from
 
 
 def train_profile(labelled: DataFrame, text_col: str = "text", label_col: str = "language", alpha: float = 1.0) -> Profile:
@@ -111,7 +112,7 @@ def train_profile(labelled: DataFrame, text_col: str = "text", label_col: str =
             counts[names.index(r.l)] = [x.c for x in r.c]
     n = np.array([float(r.docs) for r in docs])
     return Profile(names, np.log(n) - np.log(n.sum()) if names else n,
-                   np.log(counts + alpha) - np.log(counts.sum(axis=1, keepdims=True) + alpha * BUCKETS))
+                   np.log(counts + alpha) - np.log(counts.sum(axis=1, keepdims=True) + alpha * BUCKETS), int(n.sum()))
 
 
 def detect(df: DataFrame, profile: Profile, text_col: str = "text", out_col: str = "language") -> DataFrame:

@@ -11,17 +11,26 @@
   null.  Whole texts are scored unless ``max_length`` is set.
 * G3/G4 statistics and status in one row.
 
-An external model plugs in as a ``mapInPandas`` function over the sample
-(one model load per worker), replacing ``score_sample``.
+A scorer is a function (corpus, sampled, cfg) -> (original_index, perplexity).
+``bigram_scores`` is one; ``batch_scorer`` makes one of any model that scores
+lists of texts: it runs over the sample's Arrow batches, loads the model once a
+Python worker, and gives null where the model fails.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PerplexityConfig
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, ship_package
+
+Scorer = Callable[[DataFrame, DataFrame, PerplexityConfig], DataFrame]
+Model = Callable[[list[str], int | None], list[float | None]]
 
 IDX = "original_index"
 WORD_SPLIT = r"[^\p{L}\p{N}']+"
@@ -40,10 +49,57 @@ def sample(df: DataFrame, cfg: PerplexityConfig = PerplexityConfig(), key: str =
     return nonblank.orderBy(h, F.col(IDX)).limit(int(cfg.sample_size))
 
 
-def score_sample(corpus: DataFrame, sampled: DataFrame, cfg: PerplexityConfig = PerplexityConfig()) -> DataFrame:
+def score_sample(corpus: DataFrame, sampled: DataFrame, cfg: PerplexityConfig = PerplexityConfig(),
+                 scorer: Scorer | None = None) -> DataFrame:
     """(original_index, perplexity) for every sampled row."""
-    k = float(cfg.smoothing)
     sampled = reliable_checkpoint(sampled.select(IDX, "text"))  # at most sample_size rows, read several times
+    return (scorer or bigram_scores)(corpus, sampled, cfg)
+
+
+#: models of this Python worker by name
+_MODELS: dict[str, Model] = {}
+
+
+def batch_scorer(name: str, load: Callable[[], Model]) -> Scorer:
+    """A scorer of a model that ``load`` returns: a function of a list of texts
+    and the number of tokens to score at most (None: all), which gives a
+    perplexity or None for each.
+
+    Blank texts are not given to the model.  If it raises, the batch's texts are
+    given one by one, and those for which it raises again get null, like None, NaN and
+    infinity."""
+    def scores(corpus: DataFrame, sampled: DataFrame, cfg: PerplexityConfig) -> DataFrame:
+        ship_package(sampled.sparkSession)
+        most = cfg.max_length
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from textmill.operators.perplexity import _MODELS
+
+            if name not in _MODELS:
+                _MODELS[name] = load()
+            model = _MODELS[name]
+
+            def tried(texts: list[str]) -> list[float | None]:
+                try:
+                    return list(model(texts, most))
+                except Exception:  # noqa: BLE001 - any fault of the model is a null score
+                    return [None] if len(texts) == 1 else [x for t in texts for x in tried([t])]
+
+            for batch in batches:
+                texts = batch.column(1).to_pylist()
+                live = [i for i, t in enumerate(texts) if t and t.strip()]
+                out: list[float | None] = [None] * len(texts)
+                for i, x in zip(live, tried([texts[i] for i in live]) if live else [], strict=True):
+                    out[i] = float(x) if x is not None and math.isfinite(x) else None
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=[IDX, "perplexity"])
+
+        return sampled.select(F.col(IDX).cast("long").alias(IDX), "text").mapInArrow(run, f"{IDX} long, perplexity double")
+    return scores
+
+
+def bigram_scores(corpus: DataFrame, sampled: DataFrame, cfg: PerplexityConfig) -> DataFrame:
+    """Add-k bigrams, counted over the corpus for the keys of the sample."""
+    k = float(cfg.smoothing)
     sw = sampled.select(IDX, words(F.col("text")).alias("w"))
     if cfg.max_length:
         sw = sw.withColumn("w", F.slice("w", 1, int(cfg.max_length)))

@@ -15,15 +15,17 @@ def length_stats(df: DataFrame, col: str, prefix: str) -> DataFrame:
                   F.count(c).alias(f"n_{prefix}"))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 50, upper_limit: float | None = None) -> DataFrame:
-    """``bins`` equal-width bins between min and max, the last closed; empty
-    bins are present with n = 0.  ``upper_limit`` keeps the bins whose lower
-    edge is below it (the chart's visible range)."""
+def histogram(df: DataFrame, col: str, bins: int = 50, upper_limit: float | None = None,
+              bounds: tuple[float, float] | None = None) -> DataFrame:
+    """``bins`` equal-width bins between min and max (``bounds``, if already
+    known), the last closed; empty bins are present with n = 0.  ``upper_limit``
+    keeps the bins whose lower edge is below it (the chart's visible range)."""
     spark: SparkSession = df.sparkSession
-    mm = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()  # two scalars
-    if mm["lo"] is None:
+    if bounds is None:
+        bounds = tuple(df.agg(F.min(col), F.max(col)).first())  # two scalars
+    if bounds[0] is None:
         return spark.createDataFrame([], "bin int, lower double, upper double, n long")
-    lo, hi = float(mm["lo"]), float(mm["hi"])
+    lo, hi = float(bounds[0]), float(bounds[1])
     width = (hi - lo) / bins if hi > lo else 1.0
     x = F.col(col).cast("double")
     b = F.when(x >= F.lit(hi), F.lit(bins - 1)).otherwise(F.floor((x - F.lit(lo)) / F.lit(width))).cast("int")
@@ -38,11 +40,12 @@ def histogram(df: DataFrame, col: str, bins: int = 50, upper_limit: float | None
     return out
 
 
-def boxplot(df: DataFrame, col: str) -> DataFrame:
-    """Quartiles (linear), whiskers = extreme values within 1.5 IQR."""
+def boxplot(df: DataFrame, col: str, quartiles: list[float] | None = None) -> DataFrame:
+    """Quartiles (linear; ``quartiles``, if already known), whiskers = extreme
+    values within 1.5 IQR."""
     c = F.col(col)
-    q = df.agg(F.percentile(c, [0.25, 0.5, 0.75]).alias("q")).first()["q"]
-    if q is None:
+    q = quartiles if quartiles is not None else df.agg(F.percentile(c, [0.25, 0.5, 0.75]).alias("q")).first()["q"]
+    if q is None or q[0] is None:
         return df.sparkSession.createDataFrame([], "q1 double, median double, q3 double, whisker_low double, "
                                                    "whisker_high double, avg double, min double, max double")
     q1, med, q3 = (float(v) for v in q)

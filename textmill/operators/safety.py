@@ -8,23 +8,27 @@ it first (``plans.corpus_run`` does)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..config import SafetyConfig
 from ..functions import pii as PII
 from ..functions import patterns as P
 from ..functions import safety as S
+from .blocklist import add_found
 
 
-def annotate(df: DataFrame, cfg: SafetyConfig = SafetyConfig(), text_col: str = "text") -> DataFrame:
+def annotate(df: DataFrame, cfg: SafetyConfig = SafetyConfig(), text_col: str = "text",
+             blocklist: DataFrame | None = None) -> DataFrame:
+    """Adds prefilter, toxicity, pii and drop_reason.  ``blocklist`` (word, weight)
+    takes the place of the configuration's words; it may be of any size."""
+    find = None if blocklist is None else lambda rows, words, out: add_found(rows, words, blocklist, out)
     text = F.col(text_col)
     empty = text.isNull() | (text == "")
     out = S.add_prefilter(df, text_col, cfg, "prefilter")
     pf = F.col("prefilter")
     skip = (pf["tag"] == "safe") & F.lit(bool(cfg.prefilter_safe_skip_toxicity) and bool(cfg.enabled))
-    out = S.add_toxicity(out, text_col, "prefilter", cfg, "_scored", active=~empty & ~skip)
+    out = S.add_toxicity(out, text_col, "prefilter", cfg, "_scored", active=~empty & ~skip, find=find)
     tox = (F.when(empty, S.empty_toxicity(pf["tag"]))
            .when(skip, S.empty_toxicity(F.lit("safe"), "prefilter_safe", pf["metadata"]["safe_reasons"]))
            .otherwise(F.col("_scored")))
@@ -57,10 +61,19 @@ def _scored(text_col: str = "text"):
     return ~(t.isNull() | (t == "")) & F.col("toxicity.signals.skip_reason").isNull()
 
 
-def metrics(annotated: DataFrame, text_col: str = "text") -> DataFrame:
-    """One row: totals, drops and averages.  Averages of scanned characters
-    and scores divide by all non-empty rows (skipped ones included); the
-    window average divides by scored rows only."""
+def _times(entity: str) -> Column:
+    """Occurrences of a PII type in a row."""
+    return F.size(F.filter("pii.pii_types", lambda y: y == entity))
+
+
+TAGS = ("safe", "unknown", "suspect")
+
+
+def metric_columns(text_col: str = "text", entities: tuple[str, ...] = tuple(P.PII_ENTITIES)) -> dict[str, Column]:
+    """Aggregates over annotated rows: totals, drops and averages, rows of each
+    prefilter tag, PII hits of each type in rows dropped for PII.  Averages of
+    scanned characters and scores divide by all non-empty rows (skipped ones
+    included); the window average divides by scored rows only."""
     t = F.col(text_col)
     empty = t.isNull() | (t == "")
     scored = _scored(text_col)
@@ -68,20 +81,29 @@ def metrics(annotated: DataFrame, text_col: str = "text") -> DataFrame:
     empties = F.count_if(empty)
     n_scored = F.count_if(scored)
     nonempty = F.greatest(F.lit(1), total - empties)
-    return annotated.agg(
-        total.alias("total_samples"),
-        F.count_if(F.col("drop_reason").isNull()).alias("kept_samples"),
-        F.count_if(F.col("drop_reason") == "toxic").alias("toxic_dropped"),
-        F.count_if(F.col("drop_reason") == "contains_pii").alias("pii_dropped"),
-        empties.alias("empty_texts"),
-        (F.coalesce(F.sum(F.when(scored, F.col("toxicity.char_span"))), F.lit(0)) / nonempty).alias("avg_chars_scanned"),
-        (F.coalesce(F.sum(F.when(scored, F.col("toxicity.score"))), F.lit(0.0)) / nonempty).alias("avg_toxicity_score"),
-        F.when(n_scored > 0, F.sum(F.when(scored, F.col("toxicity.signals.window_count"))) / n_scored)
-        .otherwise(F.lit(0.0)).alias("avg_windows_scored"),
-    )
+    pii = F.col("drop_reason") == "contains_pii"
+    return {
+        "total_samples": total,
+        "kept_samples": F.count_if(F.col("drop_reason").isNull()),
+        "toxic_dropped": F.count_if(F.col("drop_reason") == "toxic"),
+        "pii_dropped": F.count_if(pii),
+        "empty_texts": empties,
+        "avg_chars_scanned": F.coalesce(F.sum(F.when(scored, F.col("toxicity.char_span"))), F.lit(0)) / nonempty,
+        "avg_toxicity_score": F.coalesce(F.sum(F.when(scored, F.col("toxicity.score"))), F.lit(0.0)) / nonempty,
+        "avg_windows_scored": F.when(n_scored > 0, F.sum(F.when(scored, F.col("toxicity.signals.window_count"))) / n_scored)
+        .otherwise(F.lit(0.0)),
+        **{f"tag__{x}": F.count_if(F.col("prefilter.tag") == x) for x in TAGS},
+        **{f"pii__{x}": F.coalesce(F.sum(F.when(pii, _times(x))), F.lit(0)) for x in entities},
+    }
+
+
+def metrics(annotated: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row: totals, drops and averages."""
+    return annotated.agg(*[v.alias(k) for k, v in metric_columns(text_col).items() if "__" not in k])
 
 
 def prefilter_counts(annotated: DataFrame) -> DataFrame:
+    """(tag, n) of the prefilter over all rows."""
     return annotated.groupBy(F.col("prefilter.tag").alias("tag")).agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -12,12 +12,15 @@ import functools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import TokenConfig
 
+#: the encoding of ``word_hash_tokens``
+WORD_HASH = "word_hash"
+
 # FIXED VALUES: the encoder's special token and the id it maps to.
 SPECIAL_TOKENS = {"<|endoftext|>": 50256}
 
@@ -64,7 +67,8 @@ def annotate(df: DataFrame, cfg: TokenConfig = TokenConfig(), text_col: str = "t
     for s in SPECIAL_TOKENS:
         special = special | text.contains(s)
     feed = F.when(~empty & ~special, text)
-    out = df.withColumn("_enc", encode_udf(cfg.encoding)(feed))
+    encoded = word_hash_tokens(feed) if cfg.encoding == WORD_HASH else encode_udf(cfg.encoding)(feed)
+    out = df.withColumn("_enc", encoded)
     n = F.size("_enc")
     reason = (F.when(empty, F.lit("empty_text")).when(special, F.lit("tokenization_error"))
               .when(n < cfg.min_tokens, F.lit("too_few_tokens"))
@@ -80,19 +84,27 @@ def kept(annotated: DataFrame) -> DataFrame:
     return annotated.filter(F.col("drop_reason").isNull())
 
 
+REASONS = ("empty_text", "tokenization_error", "too_few_tokens", "too_many_tokens")
+
+
+def metric_columns() -> dict[str, Column]:
+    """Aggregates over annotated rows: counts, each reason, and avg / median
+    (truncated) / min / max over every encoded row, including rows then dropped
+    for their length."""
+    c, reason = F.col("encoded_count"), F.col("drop_reason")
+    return {
+        "total_samples": F.count(F.lit(1)), "kept_samples": F.count_if(reason.isNull()),
+        "dropped_samples": F.count_if(reason.isNotNull()),
+        "avg_token_length": F.coalesce(F.avg(c), F.lit(0.0)),
+        "median_token_length": F.coalesce(F.floor(F.percentile(c, 0.5)), F.lit(0)).cast("int"),
+        "min_token_length": F.coalesce(F.min(c), F.lit(0)), "max_token_length": F.coalesce(F.max(c), F.lit(0)),
+        **{f"reason__{r}": F.count_if(reason == r) for r in REASONS},
+    }
+
+
 def metrics(annotated: DataFrame) -> DataFrame:
-    """Counts, and avg / median (truncated) / min / max over every encoded
-    row, including rows then dropped for their length."""
-    c = F.col("encoded_count")
-    return annotated.agg(
-        F.count(F.lit(1)).alias("total_samples"),
-        F.count_if(F.col("drop_reason").isNull()).alias("kept_samples"),
-        F.count_if(F.col("drop_reason").isNotNull()).alias("dropped_samples"),
-        F.coalesce(F.avg(c), F.lit(0.0)).alias("avg_token_length"),
-        F.coalesce(F.floor(F.percentile(c, 0.5)), F.lit(0)).cast("int").alias("median_token_length"),
-        F.coalesce(F.min(c), F.lit(0)).alias("min_token_length"),
-        F.coalesce(F.max(c), F.lit(0)).alias("max_token_length"),
-    )
+    """One row: the counts and lengths of ``metric_columns``."""
+    return annotated.agg(*[v.alias(k) for k, v in metric_columns().items() if not k.startswith("reason__")])
 
 
 def drop_counts(annotated: DataFrame) -> DataFrame:
@@ -103,7 +115,7 @@ def drop_counts(annotated: DataFrame) -> DataFrame:
 WORD_SPLIT = r"[\s\p{Z}\x0b\x1c-\x1f\x85]+"
 
 
-def word_hash_tokens(text) -> "Column":
+def word_hash_tokens(text: Column) -> Column:
     """A deterministic tokenizer expressible in SQL: one id per whitespace
     separated word, the integer of the first 7 hex digits of md5(word).
     Used to check packing and sharding against SQL engines."""

@@ -152,12 +152,12 @@ def pack_blocks(docs: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> tupl
 
     Returns (blocks, summary)."""
     B, eos = int(cfg.block_size), int(cfg.eos_token)
-    # the input is read by several jobs below: evaluated once, released at the end of the run
-    docs = docs.select(IDX, "tokens", "language", "source").persist()
+    # the input is read by several jobs below: evaluated once, in the shared folder
+    docs = reliable_checkpoint(docs.select(IDX, "tokens", "language", "source"))
     d = docs.filter(F.col("tokens").isNotNull() & (F.size("tokens") > 0)).select(IDX, "tokens")
-    placed = ordering.exclusive_prefix_sum(d.select(IDX, F.size("tokens").alias("n")), [IDX], F.col("n") + 1, "start")
-    placed = reliable_checkpoint(placed)
-    stats = placed.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum(F.col("n") + 1), F.lit(0)).alias("len")).first()
+    sized = d.select(IDX, F.size("tokens").alias("n"))
+    placed = ordering.exclusive_prefix_sum(sized, [IDX], F.col("n") + 1, "start")
+    stats = sized.agg(F.coalesce(F.sum(F.col("n") + 1), F.lit(0)).alias("len")).first()
     total = max(int(stats["len"]) - 1, 0)
     d = d.join(placed, IDX)
     full, tail = divmod(total, B)
@@ -201,6 +201,15 @@ def pack_blocks(docs: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> tupl
 
 # --------------------------------------------------------------------------- J5-J8
 
+def summary_table(spark, summary: dict) -> DataFrame:
+    """The summary of ``pack_blocks`` as a one-row table."""
+    return spark.createDataFrame(
+        [(summary["strategy"], summary["block_size"], summary["eos_token"], summary["total_input_samples"], summary["total_blocks"],
+          summary["total_tokens"], float(summary["avg_tokens_per_block"]))],
+        "strategy string, block_size int, eos_token int, total_input_samples long, total_blocks long, total_tokens long, "
+        "avg_tokens_per_block double")
+
+
 def shuffle_and_shard(blocks: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
     """Seeded permutation (order by xxhash64(seed, block_index), then
     block_index) and shard = rank // shard_size.  Ranks are computed on

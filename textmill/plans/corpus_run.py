@@ -1,49 +1,55 @@
 """The corpus run: load -> language -> clean -> safety -> dedup -> tokenise
--> perplexity -> report -> training export, as DataFrame transforms.
+-> perplexity -> report -> export, as DataFrame transforms.
 
-Each stage is materialised once (persist + count), which both feeds the
-stage metrics (read several times) and gives its wall time; ``release`` drops
-the caches at the end, when the metric tables have been read.  Throughput is
-rows out of the stage per second, with rows in reported beside it.
+Each stage annotates the rows that the one before kept and is written once, as a
+Parquet table below the shared checkpoint folder: this cuts lineage and plan,
+survives lost executors, and later readers take only the columns they need.
+The stage's figures (rows, reasons, averages ...) are observed in the same write,
+above all its shuffles, where Spark counts every task once.  Kept rows are a
+filter on the stage's table, so dropped rows cost no second pass.  ``release``
+deletes the stage tables when the results have been read.
 
 Input is the driver's ``documents`` table, any DataFrame of
 (original_index, text, url[, language, source]) or a JSONL path; with ``out``
-the clean, tokenised and training shards, the metrics and the dataset index
-are written below it."""
+the sinks that ``ExportConfig`` names are written below it and made visible by one
+manifest (``sources.manifest``)."""
 
 from __future__ import annotations
 
-from ..session import reliable_checkpoint
-
 import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import (CleanConfig, DedupConfig, PerplexityConfig, SafetyConfig, TokenConfig,
+from ..config import (CleanConfig, DedupConfig, ExportConfig, PerplexityConfig, SafetyConfig, TokenConfig,
                       TrainingConfig)
 from ..operators import cleaning, dedup, language, perplexity, safety, tokens, training
+from ..session import ensure_checkpoint_dir, remove_scratch, scratch_path
 from ..sources import jsonl, sinks, tables
+from ..sources.manifest import Export
+from . import report_run
 
 
 @dataclass
 class RunResult:
-    tables: dict = field(default_factory=dict)
-    throughput: list = field(default_factory=list)
+    tables: dict = field(default_factory=dict)      # DataFrames by name
+    throughput: list = field(default_factory=list)  # (stage, rows in, rows out, seconds, rows per second)
+    figures: dict = field(default_factory=dict)     # observed scalars by stage
     summaries: dict = field(default_factory=dict)
-    cached: list = field(default_factory=list)
+    exported: dict = field(default_factory=dict)    # folder by sink
+    scratch: list = field(default_factory=list)     # stage tables below the checkpoint folder
+    seconds: float = 0.0
 
-    def release(self) -> None:
-        for df in self.cached:
-            df.unpersist()
-        self.cached.clear()
+    def release(self, spark: SparkSession) -> None:
+        """Delete the stage tables; tables that read them can no longer be read."""
+        while self.scratch:
+            remove_scratch(spark, self.scratch.pop())
 
     def throughput_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.throughput, "stage string, rows_in long, rows_out long, "
-                                                      "seconds double, rows_per_sec double")
+        final = self.figures["tokenize"]["kept_samples"] if "tokenize" in self.figures else 0
+        return report_run.throughput(spark, self.throughput, final, self.seconds)
 
 
 @contextmanager
@@ -62,49 +68,50 @@ def whole_stage_codegen(spark: SparkSession, enabled: bool):
         spark.conf.set(key, old)
 
 
-def _materialise(df: DataFrame, cut: bool = False) -> tuple[DataFrame, int]:
-    """persist + count; ``cut`` = reliable checkpoint in the shared folder
-    instead, which also ends the lineage (and the nested plan) there."""
-    if cut:
-        df = reliable_checkpoint(df)
-        return df, df.count()
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return df, df.count()
-
-
-def _write(spark: SparkSession, out: str, clean: DataFrame, tokenised: DataFrame, sharded: DataFrame,
-           cfg: TrainingConfig, res: RunResult) -> dict:
-    """All sinks below ``out``, then what is read back from the training shards."""
-    sinks.write_clean_shards(clean, f"{out}/clean", cfg.shard_size)
-    sinks.write_tokenized_shards(tokenised, f"{out}/tokenized", cfg.shard_size)
-    sinks.write_training_shards(sharded, f"{out}/training")
-    for name in ("safety_metrics", "dedup_metrics"):
-        sinks.write_metrics(res.tables[name], f"{out}/metrics/{name}")
-    index = sinks.dataset_index(spark, f"{out}/training")
-    _, report = sinks.validate_shards(spark, f"{out}/training", cfg.min_tokens)
-    index.write.mode("overwrite").parquet(f"{out}/index")
-    training.mixture(res.tables["shard_meta"]).write.mode("overwrite").json(f"{out}/mixture")
-    return {"index": index, "validation": report, "index_totals": sinks.index_totals(index, report)}
+class _Stages:
+    """Writes the stages of one run and records what they observed."""
+
+    def __init__(self, spark: SparkSession, res: RunResult) -> None:
+        self.spark, self.res = spark, res
+
+    def write(self, name: str, build, rows_in: int | None, metrics: dict[str, Column], out: str = "kept_samples",
+              source: DataFrame | None = None, codegen: bool = True) -> tuple[DataFrame, dict]:
+        """The table of ``build()`` and its observed ``metrics``; rows out are the
+        metric ``out``.  With ``source``, ``build`` takes it and rows in are
+        counted as they are read."""
+        start = time.time()
+        seen, read = Observation(f"{name}: rows out"), None
+        if source is not None:
+            read = Observation(f"{name}: rows in")
+            df = build(source.observe(read, F.count(F.lit(1)).alias("rows")))
+        else:
+            df = build()
+        path = scratch_path(self.spark, f"stage-{name}")
+        self.res.scratch.append(path)
+        with whole_stage_codegen(self.spark, codegen):
+            df.observe(seen, *[c.alias(k) for k, c in metrics.items()]).write.parquet(path)
+        figures = dict(seen.get)
+        if read is not None:
+            rows_in = read.get["rows"]
+        self.res.figures[name] = figures
+        self.record(name, rows_in, figures[out], time.time() - start)
+        return self.spark.read.schema(df.schema).parquet(path), figures
+
+    def record(self, name: str, rows_in: int, rows_out: int, seconds: float) -> None:
+        self.res.throughput.append((name, int(rows_in), int(rows_out), seconds, rows_out / seconds if seconds > 0 else 0.0))
 
 
 def run(spark: SparkSession, sf_dir: str | None = None, target_language: str = "en", detect_language: bool = True,
         clean_cfg: CleanConfig = CleanConfig(), safety_cfg: SafetyConfig = SafetyConfig(),
         dedup_cfg: DedupConfig = DedupConfig(), token_cfg: TokenConfig = TokenConfig(),
         ppl_cfg: PerplexityConfig = PerplexityConfig(), train_cfg: TrainingConfig = TrainingConfig(),
-        export: bool = True, input_partitions: int | None = None,
-        docs: DataFrame | None = None, jsonl_path: str | None = None, out: str | None = None) -> RunResult:
+        export_cfg: ExportConfig = ExportConfig(), input_partitions: int | None = None,
+        docs: DataFrame | None = None, jsonl_path: str | None = None, out: str | None = None,
+        export_id: str | None = None, blocklist: DataFrame | None = None, scorer: perplexity.Scorer | None = None, scorer_name: str = "bigram",
+        with_report: bool = True) -> RunResult:
     res = RunResult()
-    from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-
-    def stage(name: str, build, rows_in: int, cut: bool = False) -> tuple[DataFrame, int]:
-        t0 = time.time()
-        df, n = _materialise(build(), cut)
-        if not cut:
-            res.cached.append(df)
-        sec = time.time() - t0
-        res.throughput.append((name, int(rows_in), int(n), sec, (n / sec) if sec > 0 else 0.0))
-        return df, n
+    stages, begun = _Stages(spark, res), time.time()
 
     if jsonl_path:
         docs = jsonl.load_jsonl(spark, jsonl_path)
@@ -113,61 +120,125 @@ def run(spark: SparkSession, sf_dir: str | None = None, target_language: str = "
     if input_partitions:  # the caller's choice, for inputs of fewer row groups than cores
         docs = docs.repartition(input_partitions, "original_index")
 
-    # load + language identification (model trained from the labelled table)
+    # load + language identification; rows out are those of the target language
+    profile = None
     if detect_language:
-        # the model is trained once from the labelled table (its own stage)
-        t0 = time.time()
-        profile = language.train_profile(docs.where(language.learning_rows(F.col("original_index"))))
-        sec = time.time() - t0
-        res.throughput.append(("language_model", 0, len(profile.languages), sec, 0.0))
-        loaded, n_all = stage("load_language", lambda: language.detect(
-            docs.withColumnRenamed("language", "label"), profile), 0)
-    else:
-        loaded, n_all = stage("load_language", lambda: docs, 0)
-    if "language" in loaded.columns:
+        start = time.time()
+        learns = docs.where(language.learning_rows(F.col("original_index")))
+        profile = language.train_profile(learns)
+        stages.record("language_model", profile.documents, len(profile.languages), time.time() - start)
+
+    def load(rows: DataFrame) -> DataFrame:
+        if profile is not None:
+            return language.detect(rows.withColumnRenamed("language", "label"), profile)
+        # unlabelled input: all of it is taken as the target language
+        return rows if "language" in rows.columns else rows.withColumn("language", F.lit(target_language))
+
+    wanted = F.col("language") == target_language
+    loaded, _ = stages.write("load_language", load, None, {
+        "total_samples": F.count(F.lit(1)), "kept_samples": F.count_if(wanted)}, source=docs)
+    if "language" in docs.columns:
         res.tables["language_distribution"] = language.distribution(loaded)
-        target, n_target = stage("language_filter", lambda: loaded.filter(F.col("language") == target_language), n_all)
-    else:  # unlabelled input: all of it is taken as the target language
-        target, n_target = loaded.withColumn("language", F.lit(target_language)), n_all
-
-    cleaned_all, _ = stage("clean_annotate", lambda: cleaning.annotate(target, clean_cfg), n_target)
-    res.tables["clean_drops"] = cleaning.drop_counts(cleaned_all)
-    kept_clean, n_clean = stage("clean", lambda: cleaning.kept(cleaned_all), n_target)
-
-    with whole_stage_codegen(spark, False):
-        safe_all, _ = stage("safety_annotate", lambda: safety.annotate(kept_clean, safety_cfg), n_clean)
-    res.tables["safety_metrics"] = safety.metrics(safe_all)
-    res.tables["flagged_tokens"] = safety.flagged_token_top(safe_all)
-    res.tables["pii_type_counts"] = safety.pii_type_counts(safe_all)
-    kept_safe, n_safe = stage("safety", lambda: safety.kept(safe_all), n_clean, cut=True)
-
-    dd_all, _ = stage("dedup_annotate", lambda: dedup.deduplicate(kept_safe, dedup_cfg), n_safe)
-    res.tables["dedup_metrics"] = dedup.metrics(dd_all)
-    kept_dd, n_dd = stage("dedup", lambda: dd_all.filter(~F.col("is_duplicate")), n_safe)
-
-    tok_all, _ = stage("tokenize_annotate", lambda: tokens.annotate(kept_dd, token_cfg), n_dd)
-    res.tables["token_metrics"] = tokens.metrics(tok_all)
-    kept_tok, n_tok = stage("tokenize", lambda: tokens.kept(tok_all), n_dd, cut=True)
-
+    n = res.figures["load_language"]["kept_samples"]
+
+    cleaned, seen = stages.write("clean", lambda: cleaning.annotate(loaded.where(wanted), clean_cfg), n, cleaning.metric_columns())
+    res.tables["clean_drops"] = report_run.counts_of(spark, seen, "reason", "drop_reason")
+
+    safe, seen = stages.write("safety", lambda: safety.annotate(cleaning.kept(cleaned), safety_cfg, blocklist=blocklist),
+                              seen["kept_samples"], safety.metric_columns(entities=safety_cfg.pii_entities), codegen=False)
+    res.tables["safety_metrics"] = report_run.one_row(spark, {k: v for k, v in seen.items() if "__" not in k})
+    res.tables["prefilter_tags"] = report_run.counts_of(spark, seen, "tag", "tag")
+    res.tables["flagged_tokens"] = safety.flagged_token_top(safe)
+    res.tables["pii_type_counts"] = report_run.counts_of(spark, seen, "pii", "pii_type")
+
+    unique, seen = stages.write("dedup", lambda: dedup.deduplicate(safety.kept(safe), dedup_cfg), seen["kept_samples"],
+                                dedup.metric_columns())
+    res.tables["dedup_metrics"] = report_run.one_row(spark, seen)
+
+    tokenised, seen = stages.write("tokenize", lambda: tokens.annotate(unique.where(~F.col("is_duplicate")), token_cfg),
+                                   seen["kept_samples"], tokens.metric_columns())
+    res.tables["token_metrics"] = report_run.one_row(spark, {k: v for k, v in seen.items() if "__" not in k})
+    final = tokens.kept(tokenised)
+    res.tables["final"] = final
+    n_final = seen["kept_samples"]
+
+    scores = None
     if ppl_cfg.enabled:
-        scores, n_ppl = stage("perplexity",
-                              lambda: perplexity.score_sample(kept_tok, perplexity.sample(kept_tok, ppl_cfg), ppl_cfg),
-                              n_tok)
-        res.tables["perplexity_stats"] = perplexity.stats(scores)
+        scores, _ = stages.write("perplexity", lambda: perplexity.score_sample(
+            final, perplexity.sample(final, ppl_cfg), ppl_cfg, scorer), n_final, {"kept_samples": F.count(F.lit(1))})
+        res.tables["perplexity_stats"] = perplexity.stats(scores, scorer_name)
+    else:
+        res.tables["perplexity_stats"] = perplexity.disabled(spark)
+
+    if export_cfg.clean or export_cfg.tokenized or export_cfg.training:
+        start = time.time()
+        rows = _export(spark, out, export_id, export_cfg, train_cfg, cleaning.kept(cleaned), final, n_final, res)
+        stages.record("export", n_final, rows, time.time() - start)
+    res.seconds = time.time() - begun
+    if with_report:
+        fig = res.figures
+        res.tables |= {f"report_{k}": v for k, v in report_run.build(
+            final, res.tables.get("language_distribution"), target_language, fig["clean"],
+            fig["safety"] if safety_cfg.enabled else None, res.tables["flagged_tokens"], fig["dedup"], fig["tokenize"], scores,
+            res.throughput, res.seconds).items()}
+    return res
+
 
-    res.tables["final"] = kept_tok
+def _export(spark: SparkSession, out: str | None, export_id: str | None, flags: ExportConfig, cfg: TrainingConfig,
+            clean: DataFrame, final: DataFrame, n_final: int, res: RunResult) -> int:
+    """The sinks that the flags name; rows of the training blocks, else rows in.
+    Tokenised and training sinks need a row with tokens.  Without ``out`` the
+    training blocks are placed but not written."""
+    export = Export(spark, out, export_id) if out else None
+    if export and flags.clean:
+        export.sink("clean", lambda p: sinks.write_clean_shards(clean, p, cfg.shard_size, "gzip" if flags.compress else None))
+    if export and flags.tokenized and n_final:
+        export.sink("tokenized", lambda p: sinks.write_tokenized_shards(final, p, cfg.shard_size))
+    n = n_final
+    if flags.training and n_final:
+        n = _training(spark, export, cfg, final, res)
     if export:
-        t0 = time.time()
-        validated = training.validate_preconditions(kept_tok.drop("drop_reason"), train_cfg)
-        checked, _ = _materialise(training.consistency_pass(validated, train_cfg))
-        res.tables["consistency_report"] = training.consistency_report(checked)
-        blocks, summary = training.pack_blocks(checked.filter(F.col("consistency_reason").isNull()), train_cfg)
-        sharded, n_blocks = _materialise(training.shuffle_and_shard(blocks, train_cfg))
-        res.tables["blocks"] = sharded
-        res.tables["shard_meta"] = training.shard_meta(sharded)
-        res.summaries["chunking"] = summary
-        if out:
-            res.tables |= _write(spark, out, kept_clean, kept_tok, sharded, train_cfg, res)
-        sec = time.time() - t0
-        res.throughput.append(("export_blocks", int(n_tok), int(n_blocks), sec, n_blocks / sec if sec else 0.0))
-    return res
+        for name in ("safety_metrics", "dedup_metrics"):
+            export.sink(f"metrics_{name}", lambda p, name=name: sinks.write_metrics(res.tables[name], p))
+        export.commit()
+        res.exported = {k: p for k, (p, _) in export.done.items()}
+    return n
+
+
+def _training(spark: SparkSession, export: Export | None, cfg: TrainingConfig, final: DataFrame, res: RunResult) -> int:
+    """The training chain: checks, blocks, shards; with an export also the shards'
+    validation, audit, index, full meta and mixture."""
+    validated = training.validate_preconditions(final.drop("drop_reason"), cfg)
+    checked = training.consistency_pass(validated, cfg)
+    res.tables["consistency_report"] = training.consistency_report(checked)
+    res.tables["consistency_drops"] = training.consistency_drop_counts(checked)
+    res.tables["consistency_pii"] = training.consistency_pii_counts(checked)
+    consistent = checked.where(F.col("consistency_reason").isNull())
+    blocks, res.summaries["chunking"] = training.pack_blocks(consistent, cfg)
+    sharded = training.shuffle_and_shard(blocks, cfg)
+    if export is None:
+        path = scratch_path(spark, "stage-blocks")
+        res.scratch.append(path)
+        sharded.write.parquet(path)
+        sharded = spark.read.schema(sharded.schema).parquet(path)
+        res.tables["blocks"], res.tables["shard_meta"] = sharded, training.shard_meta(sharded)
+        return sharded.count()
+    path = export.sink("training", lambda p: sinks.write_training_shards(sharded, p))
+    index = sinks.dataset_index(spark, path)
+    index_path = export.sink("index", lambda p: index.write.parquet(p))
+    index = spark.read.schema(index.schema).parquet(index_path)
+    _, report = sinks.validate_shards(spark, path, cfg.min_tokens)
+    report_path = export.sink("validation", lambda p: report.write.parquet(p))
+    report = spark.read.schema(report.schema).parquet(report_path)
+    n_shards = index.count()  # a row a shard
+    audit = sinks.audit_report(index, sinks.audit_sample(spark, path, n_shards, seed=cfg.shuffle_seed))
+    audit_path = export.sink("audit", lambda p: audit.write.parquet(p))
+    meta = training.describe_shards(training.shard_meta(sinks.read_training_shards(spark, path)), cfg, res.tables["dedup_metrics"],
+                                    res.tables["consistency_pii"], res.tables["consistency_drops"])
+    meta_path = export.sink("shard_meta", lambda p: meta.write.parquet(p))
+    meta = spark.read.schema(meta.schema).parquet(meta_path)
+    export.sink("mixture", lambda p: training.mixture(meta).write.json(p))
+    res.tables |= {"index": index, "validation": report, "index_totals": sinks.index_totals(index, report),
+                   "audit": spark.read.schema(audit.schema).parquet(audit_path), "shard_meta": meta,
+                   "sharding_summary": training.sharding_summary(meta)}
+    return index.agg(F.sum("num_rows")).first()[0] or 0

@@ -500,7 +500,7 @@ def q_mixture(spark: SparkSession, sf: str) -> DataFrame:
 _PPL_WORDS = r"[^\p{L}\p{N}']+"
 _PPL_SQL = f"""
 nb AS (SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND trim(text) <> ''),
-s AS (SELECT doc_id, text FROM nb ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 300),
+s AS (SELECT doc_id, text FROM nb ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 1000),
 ws AS (SELECT doc_id, list_filter(string_split_regex(lower(text), {S.lit(_PPL_WORDS)}), lambda w: w <> '') AS w FROM s),
 pairs AS (SELECT doc_id, unnest(w[1:len(w) - 1]) AS prev, unnest(w[2:len(w)]) AS cur FROM ws WHERE len(w) >= 2),
 cw AS (SELECT list_filter(string_split_regex(lower(text), {S.lit(_PPL_WORDS)}), lambda w: w <> '') AS w
@@ -521,7 +521,7 @@ scores AS (
 def _ppl_scores(spark: SparkSession, sf: str) -> DataFrame:
     from ..config import PerplexityConfig
     from ..operators import perplexity
-    cfg = PerplexityConfig(sample_size=300)  # a real sample also of small tables
+    cfg = PerplexityConfig()
     docs = tables.documents(spark, sf)
     return perplexity.score_sample(docs, perplexity.sample(docs, cfg, key="md5"), cfg)
 
@@ -681,12 +681,24 @@ def q_validate_shards(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.validate_shards(spark, _training_shards(spark, sf), _training_cfg().min_tokens)[1]
 
 
-@register("dataset_index", _SHARDED_SQL + """
-SELECT shard_id, CAST(count(*) AS BIGINT) AS num_rows, CAST(sum(tc) AS BIGINT) AS num_tokens FROM r GROUP BY shard_id
+@register("dataset_index", f"""
+WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()},
+kept AS (SELECT doc_id, lang, source FROM hd JOIN documents ON doc_id = original_index),
+mode AS (SELECT (SELECT lang FROM kept WHERE lang <> '' GROUP BY lang ORDER BY count(*) DESC, min(doc_id) LIMIT 1) AS lang,
+                (SELECT source FROM kept WHERE source <> '' GROUP BY source ORDER BY count(*) DESC, min(doc_id) LIMIT 1) AS source),
+r AS (SELECT block_index, len(tokens) AS tc, row_number() OVER (ORDER BY CAST(('0x' || substr(md5('42:' || CAST(block_index AS VARCHAR)), 1, 15)) AS BIGINT),
+             block_index) - 1 AS rk,
+        '{{"tokens":[' || array_to_string(tokens, ',') || '],"token_count":' || len(tokens) || ',"language":"' || lang || '","source":"' || source
+        || '","url":null,"char_length":' || 4 * len(tokens) || ',"sample_id":"' || printf('block_%08d', block_index) || '","is_continuation":'
+        || CASE WHEN block_index > 0 THEN 'true' ELSE 'false' END || ',"chunk_index":0}}' AS line FROM blocks, mode)
+SELECT CAST(rk // 50 AS INTEGER) AS shard_id, CAST(count(*) AS BIGINT) AS num_rows, CAST(sum(tc) AS BIGINT) AS num_tokens,
+       CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, sha256(string_agg(sha256(line), '' ORDER BY rk)) AS digest
+FROM r GROUP BY rk // 50
 """)
 def q_dataset_index(spark: SparkSession, sf: str) -> DataFrame:
+    """With the digest of each file's lines, language and source of the blocks included."""
     from ..sources import sinks
-    return sinks.dataset_index(spark, _training_shards(spark, sf)).select("shard_id", "num_rows", "num_tokens")
+    return sinks.dataset_index(spark, _training_shards(spark, sf))
 
 
 @register("index_totals", _SHARDED_SQL + """
@@ -699,17 +711,21 @@ def q_index_totals(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.index_totals(sinks.dataset_index(spark, path), sinks.validate_shards(spark, path, 20)[1])
 
 
-@register("audit_sample", _SHARDED_SQL + """
-, n AS (SELECT count(DISTINCT shard_id) AS shards FROM r)
-SELECT shard_id, CAST(least(count(*), 200 // any_value(shards)) AS BIGINT) AS audited, CAST(0 AS BIGINT) AS with_pii
-FROM r, n GROUP BY shard_id
+@register("audit_sample", f"""
+WITH cl AS ({_clean_sql('documents', 'doc_id', 'text')}),
+k AS (SELECT text, CAST((row_number() OVER (ORDER BY original_index) - 1) // 100 AS INTEGER) AS shard_id FROM cl WHERE drop_reason IS NULL),
+n AS (SELECT greatest(1, 200 // count(DISTINCT shard_id)) AS each FROM k),
+s AS (SELECT shard_id, text <> '' AND ({_unredacted_sql('text')}) AS pii, row_number() OVER (PARTITION BY shard_id ORDER BY md5('42:' || text)) AS r FROM k)
+SELECT shard_id, CAST(count(*) AS BIGINT) AS audited, CAST(count_if(pii) AS BIGINT) AS with_pii FROM s, n WHERE r <= each GROUP BY shard_id
 """)
 def q_audit_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of every clean shard, which carry text."""
+    from ..session import scratch_path
     from ..sources import sinks
-    path = _training_shards(spark, sf)
-    n = sinks.dataset_index(spark, path).count()
-    return sinks.audit_sample(spark, path, n).groupBy("shard_id").agg(
-        F.count(F.lit(1)).alias("audited"), F.count_if("pii_found").alias("with_pii"))
+    path = scratch_path(spark, "clean")
+    sinks.write_clean_shards(_kept_clean(spark, sf), path, shard_size=100)
+    shards = sinks.shard_list(spark, path)
+    return sinks.audit_report(shards, sinks.audit_sample(spark, path, shards.count()))
 
 
 @register("shard_meta_full", _SHARDED_SQL + f"""
@@ -835,6 +851,81 @@ def q_clean_shards(spark: SparkSession, sf: str) -> DataFrame:
     return back.select("shard_id", "text", "url", "char_length", "language")
 
 
+@register("clean_lowercase", _clean_sql("documents", "doc_id", "text").replace(f"{S.clean('text')} AS c", f"lower({S.clean('text')}) AS c"))
+def q_clean_lowercase(spark: SparkSession, sf: str) -> DataFrame:
+    return _clean_cols(cleaning.annotate(tables.documents(spark, sf), replace(CLEAN, lowercase=True)))
+
+
+@register("tokenized_shards", f"""
+WITH {_SQL_DOCS.strip()}
+SELECT CAST((row_number() OVER (ORDER BY original_index) - 1) // 100 AS INTEGER) AS shard_id, tokens, CAST(len(tokens) AS INTEGER) AS token_count,
+       '{{"url":null,"char_length":' || hd.char_length || ',"language":"' || lang || '","original_index":' || original_index || '}}' AS metadata
+FROM hd JOIN documents ON doc_id = original_index
+""")
+def q_tokenized_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokenised shards of 100 rows, written and read back."""
+    from ..session import scratch_path
+    from ..sources import sinks
+    path = scratch_path(spark, "tokenized")
+    sinks.write_tokenized_shards(_hashed_docs(spark, sf), path, shard_size=100)
+    return spark.read.schema("tokens array<int>, token_count int, metadata string, shard_id int").parquet(path)
+
+
+@register("chunking_summary", f"""
+WITH {_SQL_DOCS.strip()}, {_SQL_BLOCKS.strip()}
+SELECT 'concatenation_fixed_blocks' AS strategy, 2048 AS block_size, 50256 AS eos_token,
+       (SELECT CAST(count(*) AS BIGINT) FROM hd) AS total_input_samples, CAST(nblocks AS BIGINT) AS total_blocks,
+       CAST(total AS BIGINT) AS total_tokens, total / nblocks AS avg_tokens_per_block FROM tot, nb
+""")
+def q_chunking_summary(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    return training.summary_table(spark, training.pack_blocks(_hashed_docs(spark, sf), _training_cfg())[1])
+
+
+def _consistent(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    cfg = replace(_training_cfg(), vocab_size=_SMALL_VOCAB)
+    docs = _hashed_docs(spark, sf).join(dedup.annotate_exact(tables.documents(spark, sf)).select("original_index", "is_duplicate"),
+                                        "original_index")
+    docs = docs.withColumn("pii", PII.detect_pii(F.col("text")))  # of the cleaned text
+    return training.consistency_pass(training.validate_preconditions(docs.drop("drop_reason"), cfg), cfg)
+
+
+_CONSISTENT_SQL = f"""
+WITH {_SQL_DOCS.strip()},
+h AS (SELECT doc_id, sha256({S.canonical('text')}) AS k FROM documents WHERE text IS NOT NULL AND text <> ''),
+f AS (SELECT doc_id, doc_id <> min(doc_id) OVER (PARTITION BY k) AS dup FROM h),
+pc AS (SELECT original_index AS doc_id, pii_types FROM ({_pii_sql().replace("FROM documents", "FROM (SELECT original_index AS doc_id, text FROM hd)")})),
+v AS (SELECT CASE WHEN len(tokens) = 0 THEN 'empty_sequence'
+                  WHEN len(list_filter(tokens, lambda t: t < 0 OR t > {_SMALL_VOCAB - 1})) > 0 THEN 'out_of_vocab'
+                  WHEN ({_unredacted_sql('text')}) AND len(pii_types) = 0 THEN 'unredacted_pii' END AS reason, dup, pii_types
+      FROM hd JOIN f ON f.doc_id = original_index JOIN pc ON pc.doc_id = original_index
+      WHERE NOT (len(tokens) = 0 OR char_length < 80 OR len(tokens) < 20))
+"""
+
+
+@register("consistency_report", _CONSISTENT_SQL + """
+SELECT CAST(count(*) AS BIGINT) AS total_samples, CAST(count_if(reason IS NULL) AS BIGINT) AS consistent_samples,
+       CAST(count_if(reason IS NOT NULL) AS BIGINT) AS dropped_samples, CAST(count_if(reason = 'out_of_vocab') AS BIGINT) AS out_of_vocab_count,
+       CAST(count_if(reason = 'empty_sequence') AS BIGINT) AS empty_sequences,
+       CAST(count_if(reason IS NULL AND dup) AS BIGINT) AS total_duplicates, count_if(reason IS NULL AND dup) / count(*) AS duplicate_rate FROM v
+""")
+def q_consistency_report(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    return training.consistency_report(_consistent(spark, sf))
+
+
+@register("consistency_counts", _CONSISTENT_SQL + """
+SELECT 'reason' AS kind, reason AS name, CAST(count(*) AS BIGINT) AS n FROM v WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'pii_type', t, CAST(count(*) AS BIGINT) FROM (SELECT unnest(pii_types) AS t FROM v WHERE reason IS NULL) GROUP BY t
+""")
+def q_consistency_counts(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    checked = _consistent(spark, sf)
+    return training.consistency_drop_counts(checked).select(F.lit("reason").alias("kind"), F.col("reason").alias("name"), "n").union(
+        training.consistency_pii_counts(checked).select(F.lit("pii_type"), "pii_type", "n"))
+
+
 # --------------------------------------------------------------------------- D6-D15 oracle
 
 def _toxicity_sql(final: str | None = None) -> str:
@@ -1067,3 +1158,92 @@ def q_summary_table(spark: SparkSession, sf: str) -> DataFrame:
     m = dedup.metrics(dedup.annotate_exact(tables.documents(spark, sf))).persist()
     r = m.first()
     return report.summary_table({"dedup": m}, r["total_samples"], r["kept_samples"])
+
+
+# --------------------------------------------------------------------------- H15: the report of a run
+
+_REPORT_SQL = f"""
+WITH en AS (SELECT doc_id, text FROM documents WHERE lang = 'en'),
+cl AS ({_clean_sql("en", "doc_id", "text")}),
+sdocs AS (SELECT original_index AS doc_id, text, char_length FROM cl WHERE drop_reason IS NULL),
+{ORACLE["safety_metrics"].strip()[len("WITH "):].replace("FROM documents", "FROM sdocs").replace("SELECT CAST(count(*) AS BIGINT) AS total_samples", ", m AS (SELECT CAST(count(*) AS BIGINT) AS total_samples", 1)}),
+sk AS (SELECT r.doc_id, r.text, char_length, r.tag, r.score FROM r JOIN sdocs ON sdocs.doc_id = r.doc_id WHERE r.drop_reason IS NULL),
+dd AS (SELECT *, doc_id <> min(doc_id) OVER (PARTITION BY sha256({S.canonical('text')})) AS dup FROM sk),
+tk AS (SELECT doc_id, char_length, contains(text, '<|endoftext|>') AS special,
+              len(list_filter(string_split_regex(text, {S.lit(_SQL_WORDS)}), lambda w: w <> '')) AS n FROM dd WHERE NOT dup),
+tr AS (SELECT *, CASE WHEN special THEN 'tokenization_error' WHEN n < 20 THEN 'too_few_tokens' WHEN n > 8192 THEN 'too_many_tokens' END AS reason FROM tk),
+fin AS (SELECT CAST(n AS DOUBLE) AS n, CAST(char_length AS DOUBLE) AS c FROM tr WHERE reason IS NULL),
+c AS (SELECT (SELECT count(*) FROM documents) AS loaded, (SELECT count(*) FROM en) AS target,
+             (SELECT count(*) FROM sdocs) AS cleaned, (SELECT count(*) FROM sk) AS safe, (SELECT count(*) FROM dd) AS before,
+             (SELECT count_if(dup) FROM dd) AS dups, (SELECT count(*) FROM tk) AS uniq, (SELECT count(*) FROM fin) AS final),
+lang AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
+drops AS (
+  SELECT 'cleaning_' || drop_reason AS item, count(*) AS value FROM cl WHERE drop_reason IS NOT NULL GROUP BY 1
+  UNION ALL SELECT 'safety_toxic', toxic_dropped FROM m WHERE toxic_dropped > 0
+  UNION ALL SELECT 'safety_contains_pii', pii_dropped FROM m WHERE pii_dropped > 0
+  UNION ALL SELECT 'tokenization_' || reason, count(*) FROM tr WHERE reason IS NOT NULL GROUP BY 1
+  UNION ALL SELECT 'deduplication_duplicate', dups FROM c WHERE dups > 0),
+q AS (SELECT quantile_cont(n, 0.25) AS q1, quantile_cont(n, 0.5) AS med, quantile_cont(n, 0.75) AS q3, min(n) AS lo, max(n) AS hi FROM fin),
+w AS (SELECT lo, hi, CASE WHEN hi > lo THEN (hi - lo) / 50 ELSE 1.0 END AS width FROM q),
+u AS (
+  SELECT 'statistics' AS section, unnest(['total_samples', 'duplicate_rate', 'pii_detection_rate', 'toxicity_rate', 'avg_token_length',
+           'median_token_length', 'min_token_length', 'max_token_length', 'avg_char_length', 'median_char_length']) AS item,
+         unnest([final, dups / before, pii_dropped / total_samples, toxic_dropped / total_samples, (SELECT avg(n) FROM fin),
+           (SELECT quantile_cont(n, 0.5) FROM fin), (SELECT min(n) FROM fin), (SELECT max(n) FROM fin), (SELECT avg(c) FROM fin),
+           (SELECT quantile_cont(c, 0.5) FROM fin)]) AS value FROM c, m
+  UNION ALL SELECT 'summary', unnest(['samples_after_deduplication', 'duplicates_removed', 'duplicate_rate', 'samples_after_cleaning',
+           'samples_after_tokenization', 'avg_token_length', 'median_token_length', 'samples_after_safety', 'toxic_dropped', 'pii_dropped',
+           'pii_detection_rate', 'toxicity_rate', 'samples_loaded', 'samples_after_language_filter', 'final_samples', 'retention_rate']),
+         unnest([uniq, dups, dups / before, cleaned, final, (SELECT avg(n) FROM tr WHERE NOT special),
+           (SELECT floor(quantile_cont(n, 0.5)) FROM tr WHERE NOT special), safe, toxic_dropped, pii_dropped, pii_dropped / total_samples,
+           toxic_dropped / total_samples, loaded, target, final, final / loaded]) FROM c, m
+  UNION ALL SELECT 'throughput', unnest(['load_language.in', 'load_language.out', 'clean.in', 'clean.out', 'safety.in', 'safety.out',
+           'dedup.in', 'dedup.out', 'tokenize.in', 'tokenize.out']),
+         unnest([loaded, target, target, cleaned, cleaned, safe, safe, uniq, uniq, final]) FROM c
+  UNION ALL SELECT 'drop_reason_counts', item, value FROM drops
+  UNION ALL SELECT 'cleaning_drop_reasons', substr(item, 10), value FROM drops WHERE item LIKE 'cleaning_%'
+  UNION ALL SELECT 'prefilter_tags', tag, count(*) FROM r GROUP BY tag
+  UNION ALL SELECT 'pii_type_counts', t, count(*) FROM (SELECT unnest(pii_all) AS t FROM r WHERE drop_reason = 'contains_pii') GROUP BY t
+  UNION ALL (SELECT 'toxic_removals', token, count(*) FROM (SELECT doc_id, unnest(hits) AS token, generate_subscripts(hits, 1) AS pos FROM tot)
+             GROUP BY token ORDER BY count(*) DESC, min(doc_id * 1000000 + pos) LIMIT 20)
+  UNION ALL (SELECT 'language_top', lang, n FROM lang ORDER BY n DESC, lang LIMIT 5)
+  UNION ALL SELECT 'token_boxplot', unnest(['q1', 'median', 'q3', 'whisker_low', 'whisker_high', 'avg', 'min', 'max']),
+         unnest([q1, med, q3, (SELECT min(n) FROM fin WHERE n >= q1 - 1.5 * (q3 - q1)), (SELECT max(n) FROM fin WHERE n <= q3 + 1.5 * (q3 - q1)),
+                 (SELECT avg(n) FROM fin), lo, hi]) FROM q
+  UNION ALL SELECT 'token_histogram', CAST(b.bin AS VARCHAR), coalesce(k.n, 0) FROM (SELECT unnest(range(50)) AS bin) b LEFT JOIN (
+         SELECT CASE WHEN n >= hi THEN 49 ELSE floor((n - lo) / width) END AS bin, count(*) AS n FROM fin, w GROUP BY 1) k ON k.bin = b.bin)
+SELECT section, item, round(CAST(value AS DOUBLE), 6) AS value FROM u
+"""
+
+
+@register("report_run", _REPORT_SQL)
+def q_report_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables of a run's report, in one: labelled languages, exact
+    deduplication and word-hash tokens, which SQL can follow."""
+    from ..config import DedupConfig, ExportConfig, PerplexityConfig, TokenConfig
+    from . import corpus_run
+    res = corpus_run.run(
+        spark, sf, detect_language=False, dedup_cfg=DedupConfig(method="hash"), token_cfg=TokenConfig(encoding="word_hash"),
+        ppl_cfg=PerplexityConfig(enabled=False), export_cfg=ExportConfig(clean=False, tokenized=False, training=False))
+
+    def part(section: str, df: DataFrame, item, value) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), item.cast("string").alias("item"), F.round(value.cast("double"), 6).alias("value"))
+
+    def wide(section: str) -> DataFrame:
+        row = res.tables[f"report_{section}"]
+        stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in row.columns)
+        return part(section, row.selectExpr(f"stack({len(row.columns)}, {stack}) AS (item, value)"), F.col("item"), F.col("value"))
+
+    summary = res.tables["report_summary"].where(~F.col("metric").endswith("_per_sec"))
+    stages = res.tables["report_throughput"].where("kind = 'stage'").selectExpr(
+        "stack(2, stage || '.in', rows_in, stage || '.out', rows_out) AS (item, value)")
+    parts = [wide("statistics"), wide("token_boxplot"), part("summary", summary, F.col("metric"), F.col("value")),
+             part("throughput", stages, F.col("item"), F.col("value")),
+             part("token_histogram", res.tables["report_token_histogram"], F.col("bin"), F.col("n"))]
+    for section, key in (("drop_reason_counts", "reason"), ("cleaning_drop_reasons", "drop_reason"), ("prefilter_tags", "tag"),
+                         ("pii_type_counts", "pii_type"), ("toxic_removals", "token"), ("language_top", "language")):
+        parts.append(part(section, res.tables[f"report_{section}"], F.col(key), F.col("n")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

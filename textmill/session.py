@@ -65,6 +65,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, through the file system that
+    Spark itself uses.  Anything outside the checkpoint folder is refused."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(f"{root}/") or len(path) <= len(root) + 1 or ".." in path:
+        raise ValueError(f"{path} is not below {root}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``textmill`` importable in Python workers (UDFs reference its
     functions): zip the package into the shared folder once per session and

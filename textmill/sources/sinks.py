@@ -52,6 +52,12 @@ def write_training_shards(sharded: DataFrame, path: str) -> None:
      .option("ignoreNullFields", "false").json(path))
 
 
+def read_training_shards(spark: SparkSession, path: str) -> DataFrame:
+    """Written blocks with their shard number."""
+    return spark.read.schema("tokens array<int>, token_count int, language string, source string, url string, char_length int, "
+                             "sample_id string, is_continuation boolean, chunk_index int, shard_id int").json(path)
+
+
 def write_metrics(one_row: DataFrame, path: str) -> None:
     """A metrics row as JSON and, flattened one level, as CSV."""
     one_row.coalesce(1).write.mode("overwrite").json(f"{path}/json")
@@ -68,13 +74,23 @@ def write_metrics(one_row: DataFrame, path: str) -> None:
 
 REQUIRED_KEYS = ["tokens", "token_count", "language", "source"]
 
+#: lines, or digests, under one node of a file's digest
+LEAVES = 4096
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of written shards with their file and shard number."""
     file = F.col("_metadata.file_path")
     return spark.read.option("recursiveFileLookup", "true").text(path).select(
         "value", file.alias("file"), F.regexp_extract(file, r"/shard_id=(\d+)/", 1).try_cast("int").alias("shard_id"),
-        F.col("_metadata.file_size").alias("file_size"))
+        F.col("_metadata.file_size").alias("file_size"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
+
+
+def shard_list(spark: SparkSession, path: str) -> DataFrame:
+    """(shard_id) of the written shards, from the names of their files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    return files.select(F.regexp_extract("path", r"/shard_id=(\d+)/", 1).try_cast("int").alias("shard_id")).distinct()
 
 
 def validate_shards(spark: SparkSession, path: str, min_tokens: int = 20) -> tuple[DataFrame, DataFrame]:
@@ -111,28 +127,71 @@ def validation_status(report: DataFrame) -> DataFrame:
 
 
 def audit_sample(spark: SparkSession, path: str, n_shards: int, total: int = 200, seed: int = 42) -> DataFrame:
-    """A seeded sample of ``total // n_shards`` lines of each shard (a shard's
-    size is bounded by the sink) with a PII re-check of ``text``: blocks carry
-    none, shards of documents do."""
-    per_shard = max(0, total // max(1, n_shards))
-    order = Window.partitionBy("shard_id").orderBy(F.md5(F.concat(F.lit(f"{int(seed)}:"), "value")), "value")
-    text = F.col("text")
-    return (_lines(spark, path).withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_shard)
-            .withColumn("text", F.get_json_object("value", "$.text"))
+    """A seeded sample of ``total // n_shards`` lines, one at least, of each
+    shard, with a PII re-check of ``text``: blocks carry none, shards of
+    documents do.  The first lines of a shard in hash order are kept in each task
+    before the shuffle (a limit under the window), so a shard of any size sends
+    a sample's rows only."""
+    per_shard = max(1, total // max(1, n_shards))
+    text = F.get_json_object("value", "$.text")
+    lines = _lines(spark, path).select("shard_id", "value", F.md5(F.concat(F.lit(f"{int(seed)}:"), F.coalesce(text, "value"))).alias("h"))
+    order = Window.partitionBy("shard_id").orderBy("h", "value")
+    return (lines.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_shard)
+            .withColumn("text", text)
             .select("shard_id", F.col("r").alias("sample"), F.get_json_object("value", "$.sample_id").alias("sample_id"),
-                    F.coalesce((text != "") & has_unredacted_pii(text), F.lit(False)).alias("pii_found")))
+                    F.coalesce((F.col("text") != "") & has_unredacted_pii(F.col("text")), F.lit(False)).alias("pii_found")))
+
+
+def audit_report(index: DataFrame, audit: DataFrame) -> DataFrame:
+    """A row for every shard of the index: audited lines, and those with PII."""
+    found = audit.groupBy("shard_id").agg(F.count(F.lit(1)).alias("audited"), F.count_if("pii_found").alias("with_pii"))
+    return index.select("shard_id").join(found, "shard_id", "left").na.fill(0, ["audited", "with_pii"])
+
+
+def file_digests(lines: DataFrame) -> DataFrame:
+    """(shard_id, file, digest): SHA-256 over a tree of each file's lines.  The
+    leaves are the lines' digests; a node is the digest of up to ``LEAVES`` of its
+    children's hexadecimal digests one after the other; the root has no brother.
+    Order and repeats count, files are read in splits, and a group holds
+    ``LEAVES`` digests at most.
+
+    ``lines`` are those of ``_lines``: rows of a split follow each other in one
+    partition, so a line's number is its place in its split, and the lines of the
+    splits before it."""
+    leaves = lines.select("shard_id", "file", "block", "at", F.sha2("value", 256).alias("digest"))
+    splits = leaves.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row a split
+    splits = splits.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    nodes = leaves.join(splits, ["file", "block"]).select(
+        "shard_id", "file", (F.col("at") - F.col("first") + F.col("before")).alias("no"), "digest")
+    most = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    height = 0
+    while True:
+        children = F.array_sort(F.collect_list(F.struct("no", "digest")))
+        grouped = nodes.groupBy("shard_id", "file", F.floor(F.col("no") / LEAVES).alias("no")).agg(children.alias("c"))
+        joined = F.sha2(F.array_join(F.transform("c", lambda x: x["digest"]), ""), 256)
+        # a single node above the leaves is a root already
+        root = (F.size("c") == 1) & (F.col("no") == 0) & F.lit(height > 0)
+        nodes = grouped.select("shard_id", "file", "no", F.when(root, F.col("c")[0]["digest"]).otherwise(joined).alias("digest"))
+        height += 1
+        most = -(-most // LEAVES)
+        if most <= 1:
+            return nodes.drop("no")
 
 
 def dataset_index(spark: SparkSession, path: str) -> DataFrame:
-    """A row per shard: rows, tokens, bytes and a digest of its lines that does
-    not depend on their order, so large files are read in splits."""
-    lines = _lines(spark, path).withColumn("tokens", F.coalesce(F.from_json("value", "token_count long")["token_count"], F.lit(0)))
-    files = lines.groupBy("shard_id", "file").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), F.max("file_size").alias("b"),
-        F.bit_xor(F.xxhash64("value")).alias("x"), F.sum(F.crc32(F.col("value").cast("binary"))).alias("c"))
+    """A row per shard: rows, tokens, bytes and digest (of its file; of several
+    files, of their digests in order of their names)."""
+    lines = _lines(spark, path)
+    counted = lines.groupBy("shard_id", "file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.from_json("value", "token_count long")["token_count"], F.lit(0))).alias("t"),
+        F.max("file_size").alias("b"))
+    files = counted.join(file_digests(lines).drop("shard_id"), "file")
+    digests = F.transform(F.array_sort(F.collect_list(F.struct("file", "digest"))), lambda x: x["digest"])  # a file each
     return files.groupBy("shard_id").agg(
-        F.sum("n").alias("num_rows"), F.sum("t").alias("num_tokens"), F.sum("b").alias("bytes"),
-        F.concat(F.lower(F.hex(F.bit_xor("x"))), F.lit("-"), F.lower(F.hex(F.sum("c")))).alias("digest"))
+        F.sum("n").alias("num_rows"), F.sum("t").alias("num_tokens"), F.sum("b").alias("bytes"), digests.alias("d")).select(
+        "shard_id", "num_rows", "num_tokens", "bytes",
+        F.when(F.size("d") == 1, F.col("d")[0]).otherwise(F.sha2(F.array_join("d", ""), 256)).alias("digest"))
 
 
 def index_totals(index: DataFrame, report: DataFrame) -> DataFrame:
