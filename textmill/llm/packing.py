@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.store import partitions, prepare
-from textmill.llm.tokens import END_ID, encoded, id_type
+from textmill.llm.tokens import END_ID, encoded, encodes, id_type
 
 LENGTH = 2048
 GROUP_PIECES = 4096
@@ -58,6 +58,7 @@ def first_fit(sizes: list[int], capacity: int) -> list[int]:
 
 
 def _pieces(tokenizer: str, length: int, end_id: int):
+    @encodes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = id_type(tokenizer)
         for batch in batches:

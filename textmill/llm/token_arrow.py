@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.store import (attempt_name, open_input, open_output, partitions, prepare, shared_folder, written)
-from textmill.llm.tokens import END_ID, encoded, id_type
+from textmill.llm.tokens import END_ID, encoded, encodes, id_type
 
 LENGTH = 2048
 BATCH = 256
@@ -102,6 +102,7 @@ class SequenceFile:
 
 
 def _write(tokenizer: str, folder: str, length: int, batch_rows: int, end_id: int):
+    @encodes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = docs = None
         n_docs, paths = 0, (attempt_name(folder, "tokens", ".arrow"), attempt_name(folder, "docs", ".arrow"))

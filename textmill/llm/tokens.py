@@ -21,6 +21,7 @@ by other rules than their plain string, whole texts are encoded.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Iterator
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from textmill.llm.store import trim
 from textmill.llm.words import LOWER, NOT_SPACE, Words, ragged, slices
 
 END_ID = 1
@@ -176,17 +178,35 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder of a file; its pieces live as long as the worker."""
+    """The worker's encoder of a file; its pieces are kept until ``forget``."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Drop the worker's pieces, at the end of a task; the tokenizers stay."""
+    for e in _ENCODERS.values():
+        e._forget()
+
+
 def id_type(path: str) -> np.dtype:
     """Smallest unsigned type that holds all ids."""
     return np.dtype("<u2") if encoder(path).vocabulary <= 1 << 16 else np.dtype("<u4")
 
 
+def encodes(run):
+    """A batch function that encodes: its pieces go when its task ends."""
+    @functools.wraps(run)
+    def forgetting(batches):
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+            trim()
+    return forgetting
+
+
 def encoded(path: str, col: pa.Array, end_id: int | None = END_ID) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, ids, offsets) of slices of a text column."""
     e = encoder(path)

@@ -31,12 +31,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.llm.samples import fair_length, held_to
-from textmill.llm.store import prepare
+from textmill.llm.store import prepare, tidy, trim, written
 from textmill.llm.words import ALNUM, U64, Words, mix, slices, split_words
 
 BUCKETS = 1 << 16
@@ -120,18 +120,21 @@ def scores(model: Model, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(logits(model, best).astype(np.float64) - model.thresholds[language], -30, 30)))
 
 
-def fit(texts: list[str], toxic: np.ndarray, language: list[str | None], calibrate: np.ndarray, seed: int = 7,
+def fit(texts: list[str] | pa.Array, toxic: np.ndarray, language: list[str | None], calibrate: np.ndarray, seed: int = 7,
         epochs: int = EPOCHS) -> Model | None:
     """Train on the rows that ``calibrate`` leaves, set thresholds on the others."""
     toxic = np.asarray(toxic, dtype=bool)
-    if not texts or not (toxic & ~calibrate).any() or not (~toxic & ~calibrate).any():
+    if not len(texts) or not (toxic & ~calibrate).any() or not (~toxic & ~calibrate).any():
         return None
     parts, counts = [], []
-    for _, _, data, offs in slices(pa.array(texts, pa.large_string())):  # the driver holds buckets, not words
+    rows = len(texts)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+    for _, _, data, offs in slices(texts):  # the driver holds buckets, not words
         words = split_words(data, offs, ALNUM, lower=True)
         parts.append(word_buckets(words))
         counts.append(np.diff(words.row_first))
-    buckets, rows = np.concatenate(parts), len(texts)
+    del texts, data, words
+    buckets = np.concatenate(parts)
     row_first = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
     row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(row_first))
     del parts
@@ -140,12 +143,15 @@ def fit(texts: list[str], toxic: np.ndarray, language: list[str | None], calibra
 
     # how often each bucket occurs in toxic texts, beyond chance and shrunk for rare ones
     seen = np.zeros((2, BUCKETS))
-    for c in range(buckets.shape[1]):
-        pairs = np.unique(row.astype(np.int64) * BUCKETS + buckets[:, c])
-        r, b = pairs // BUCKETS, pairs % BUCKETS
-        ok = ~calibrate[r]
-        for k in (0, 1):
-            seen[k] += np.bincount(b[ok & (toxic[r] == k)], minlength=BUCKETS)
+    ends = np.append(np.flatnonzero(np.diff(row_first[1:] // CHUNK)) + 1, rows)  # about CHUNK words, whole texts
+    for lo, hi in zip(np.append(0, ends[:-1]), ends):
+        at = slice(row_first[lo], row_first[hi])
+        for c in range(buckets.shape[1]):
+            pairs = np.unique(row[at].astype(np.int64) * BUCKETS + buckets[at, c])
+            r, b = pairs // BUCKETS, pairs % BUCKETS
+            ok = ~calibrate[r]
+            for k in (0, 1):
+                seen[k] += np.bincount(b[ok & (toxic[r] == k)], minlength=BUCKETS)
     share = toxic[fitted].mean()
     n = seen.sum(axis=0)
     told = (seen[1] - share * n) / np.sqrt(share * (1 - share) * n + 3)
@@ -250,31 +256,44 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "
           sample_bytes: int = SAMPLE_BYTES) -> Model | None:
     """Fit on a bounded sample; ``may_learn`` is a condition on ``docs``."""
     prepare(docs.sparkSession)
+    model = fit(*_sample(docs, labels, may_learn, doc_id, text, label, lang, per_class, sample_bytes))
+    trim()
+    return model
+
+
+def _sample(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str, text: str, label: str, lang: str | None,
+            per_class: int, sample_bytes: int) -> tuple[pa.Array, np.ndarray, list[str | None], np.ndarray]:
+    """The arguments of ``fit``."""
     known = (labels.select(F.col(doc_id).alias("i"), F.col(label).cast("int").alias("y")).dropna()
              .groupBy("i").agg(F.max("y").alias("y")))
     languages = F.col(lang) if lang else F.lit(None).cast("string")
-    ids = docs.where(may_learn & F.col(text).isNotNull()).select(F.col(doc_id).alias("i")).dropna().distinct().join(known, "i")
+    rows = docs.where(may_learn & F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).alias("i"), F.col(text).alias("t"), languages.alias("l"))
+    # one pass finds the ids, one takes their texts; all the rest reads that table
+    first = Window.partitionBy("y").orderBy(F.xxhash64("i"), "i")
+    part = (rows.select("i").distinct().join(known, "i").where("y IN (0, 1)")
+            .withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_class).drop("r"))
+    part = written(part, "toxicity-ids")
+    found = written(rows.join(F.broadcast(part), "i").withColumn("h", F.xxhash64("i", "t")).dropDuplicates(["h"])  # 2 * per_class ids
+                    .withColumn("n", F.length("t")), "toxicity-texts")
     texts, ys, langs, cal = [], [], [], []
     for y in (1, 0):
-        part = ids.where(F.col("y") == y).orderBy(F.xxhash64("i"), "i").limit(per_class)
-        rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"), languages.alias("l"), may_learn.alias("ok")).where("ok")
-        found = (rows.join(F.broadcast(part), "i").dropna(subset=["t"])  # at most per_class ids
-                 .withColumn("h", F.xxhash64("i", "t")).dropDuplicates(["h"]))
-        sizes = found.select("h", F.length("t").alias("n")).orderBy("h").limit(per_class).collect()
+        own = found.where(F.col("y") == y)
+        sizes = own.select("h", "n").orderBy("h").limit(per_class).collect()
         if not sizes:
             continue
         most = fair_length([r.n for r in sizes], sample_bytes // 2)
-        found = found.where(F.col("h") <= sizes[-1].h).withColumn("t", held_to(F.col("t"), F.lit(most)))
-        before = len(texts)
-        for r in found.orderBy(F.xxhash64("i"), "i", "t").toLocalIterator():
-            texts.append(r.t)
-            ys.append(y)
-            langs.append(r.l)
-            cal.append(r.i)
-        if len(texts) == before:
+        taken = own.where(F.col("h") <= sizes[-1].h).select("i", F.xxhash64("i").alias("k"), held_to(F.col("t"), F.lit(most)).alias("t"), "l")
+        taken = sorted(taken.collect(), key=lambda r: (r.k, r.i, r.t))  # at most sample_bytes / 2 characters
+        if not taken:
             raise RuntimeError(f"labelled texts of class {y} exist, but none was taken")
+        texts += [r.t for r in taken]
+        langs += [r.l for r in taken]
+        cal += [r.i for r in taken]
+        ys += [y] * len(taken)
+        del taken
     calibrate = mix(np.array([hash_of(i) for i in cal], dtype=U64)) % U64(5) == 0 if cal else np.zeros(0, bool)
-    return fit(texts, np.array(ys, dtype=bool), langs, calibrate)
+    return pa.array(texts, pa.large_string()), np.array(ys, dtype=bool), langs, calibrate
 
 
 def hash_of(value) -> int:
@@ -293,6 +312,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)])
     names = [*plain.columns, "score"]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [scores(shared.value, data, offs) for _, _, data, offs in slices(batch.column(at))]

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.store import prepare, written
-from textmill.llm.tokens import END_ID, encoded, id_type
+from textmill.llm.tokens import END_ID, encoded, encodes, id_type
 from textmill.llm.words import ragged
 
 LENGTH = 4096
@@ -107,6 +107,7 @@ def places(counts: np.ndarray) -> np.ndarray:
 
 
 def _pieces(tokenizer: str, length: int, end_id: int):
+    @encodes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = id_type(tokenizer)
         seen = np.zeros(length + 1, dtype=np.int64)  # pieces of each size in this task so far
