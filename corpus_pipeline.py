@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.llm import decontaminate, near_dup, packing, recompress, toxicity
-from textmill.llm.store import written
+from textmill.llm.store import mark_written, release_written, written
 from textmill.sources.tables import table
 
 #: words of a repeated passage: shorter repeats are left alone
@@ -77,8 +77,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage wrote is deleted when the next
+    one's table stands."""
+    docs, mark = table(spark, sf_dir, "documents"), mark_written()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        release_written(spark, mark)
     return STAGES[-1][1](spark, docs, sf_dir)
