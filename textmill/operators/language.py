@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import ship_package
+
 BUCKETS = 4093
 MAX_LANGUAGES = 1000  # of a model: bounds what is broadcast
 STEP_BYTES = 1 << 21
@@ -99,18 +101,15 @@ def train_profile(labelled: DataFrame, text_col: str = "text", label_col: str =
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(np.bincount(own, minlength=len(names))),
                                               pa.array(list(table), pa.list_(pa.int64()))], names=["l", "docs", "c"])
 
+    ship_package(labelled.sparkSession)
     parts = rows.mapInArrow(count, "l string, docs long, c array<long>")
-    sums = parts.select("l", "docs", F.posexplode("c").alias("k", "c")).groupBy("l", "k").agg(F.sum("c").alias("c"))
-    docs = parts.groupBy("l").agg(F.sum("docs").alias("docs")).orderBy("l").limit(MAX_LANGUAGES + 1).collect()
-    if len(docs) > MAX_LANGUAGES:
+    sums = parts.select("l", F.posexplode(F.concat(F.array("docs"), "c")).alias("k", "c")).groupBy("l", "k").agg(F.sum("c").alias("c"))
+    # fixed width: the number of documents, then a count a bucket
+    got = sums.groupBy("l").agg(F.array_sort(F.collect_list(F.struct("k", "c"))).alias("c")).orderBy("l").limit(MAX_LANGUAGES + 1).collect()
+    if len(got) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: not a language column")
-    names = [r.l for r in docs]
-    counts = np.zeros((len(names), BUCKETS))
-    if names:
-        got = sums.groupBy("l").agg(F.array_sort(F.collect_list(F.struct("k", "c"))).alias("c"))  # fixed width
-        for r in got.collect():
-            counts[names.index(r.l)] = [x.c for x in r.c]
-    n = np.array([float(r.docs) for r in docs])
+    names, table = [r.l for r in got], np.array([[x.c for x in r.c] for r in got], dtype=np.float64).reshape(-1, BUCKETS + 1)
+    counts, n = table[:, 1:], table[:, 0]
     return Profile(names, np.log(n) - np.log(n.sum()) if names else n,
                    np.log(counts + alpha) - np.log(counts.sum(axis=1, keepdims=True) + alpha * BUCKETS), int(n.sum()))
 
@@ -118,7 +117,6 @@ def train_profile(labelled: DataFrame, text_col: str = "text", label_col: str =
 def detect(df: DataFrame, profile: Profile, text_col: str = "text", out_col: str = "language") -> DataFrame:
     """Adds ``out_col`` = most likely language (the first by name if equal),
     ``'unknown'`` without a letter or without a model."""
-    from ..session import ship_package
     ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(profile)
 
