@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from textmill.llm import packing, token_arrow
@@ -174,3 +175,11 @@ def test_sequence_file_index_error(tmp_path):
     assert len(f) == 5 and f.ids(4).tolist() == [32, 33, 34, 35, 36, 0, 0, 0]
     with pytest.raises(IndexError):
         f.ids(5)
+
+
+def test_groups_stay_bounded_without_ids(spark):
+    """30,000 rows of one null id, all of one text, still spread over their groups."""
+    docs = spark.range(30_000, numPartitions=6).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a few words").alias("text"))
+    pieces = packing.pack(docs, BYTE)
+    sizes = [r.n for r in pieces.groupBy((F.col("sequence_id") / (1 << 32)).cast("long").alias("g")).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 30_000 and len(sizes) >= 7 and max(sizes) < 1.3 * packing.GROUP_PIECES

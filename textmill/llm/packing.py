@@ -2,10 +2,11 @@
 
 A document's ids are cut at multiples of ``length``; whole pieces are sequences
 of their own, and the rest is packed first-fit decreasing.  Pieces are dealt to
-groups by a seeded hash; groups are packed independently, each by one task, and
-their number follows from a bound on the number of pieces (documents + bytes /
-length for a byte-level vocabulary), so a group holds about ``group_pieces``
-pieces of at most ``length`` ids whatever the input.  Bins lie at the leaves of
+groups by a seeded hash of their task and their number in it, so that null and
+repeated ids and texts spread too; groups are packed independently, each by one
+task, and their number follows from a bound on the number of pieces (documents +
+bytes / length for a byte-level vocabulary), so a group holds about
+``group_pieces`` pieces of at most ``length`` ids whatever the input.  Bins lie at the leaves of
 a tournament tree of free space; the leftmost bin that fits is found in
 O(log bins).
 
@@ -29,6 +30,7 @@ from textmill.llm.tokens import END_ID, encoded, encodes, id_type
 LENGTH = 2048
 GROUP_PIECES = 4096
 SEED = 17
+TASK_PIECES = 1 << 40  # beyond those of any task
 
 
 def first_fit(sizes: list[int], capacity: int) -> list[int]:
@@ -60,7 +62,7 @@ def first_fit(sizes: list[int], capacity: int) -> list[int]:
 def _pieces(tokenizer: str, length: int, end_id: int):
     @encodes
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = id_type(tokenizer)
+        dtype, made = id_type(tokenizer), 0
         for batch in batches:
             for lo, _, ids, ends in encoded(tokenizer, batch.column(1), end_id):
                 total = np.diff(ends)
@@ -72,9 +74,11 @@ def _pieces(tokenizer: str, length: int, end_id: int):
                 offsets = np.append(at, ends[-1]).astype(np.int32) * dtype.itemsize
                 binary = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(offsets.tobytes()),
                                                                              pa.py_buffer(ids.astype(dtype).tobytes())])
+                number = batch.column(2)[0].as_py() * TASK_PIECES + made + np.arange(len(row))
+                made += len(row)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row + lo)), pa.array(start), pa.array(size), pa.array(total[row]), binary],
-                    names=["doc_id", "start", "length", "doc_tokens", "ids"])
+                    [batch.column(0).take(pa.array(row + lo)), pa.array(start), pa.array(size), pa.array(total[row]), binary,
+                     pa.array(number)], names=["doc_id", "start", "length", "doc_tokens", "ids", "number"])
     return run
 
 
@@ -106,13 +110,14 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     and ids (little-endian unsigned 32-bit)."""
     spark = docs.sparkSession
     prepare(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t"),
+                       F.spark_partition_id().cast("long").alias("p"))
     # a byte gives at most one token, so this bounds the pieces without encoding
     bound = rows.agg((F.count("*") + F.coalesce(F.sum(F.octet_length("t")), F.lit(0)) / length).alias("n")).first().n
     groups = max(1, -(-int(bound) // group_pieces))
     pieces = rows.mapInArrow(_pieces(tokenizer, length, end_id),
-                             "doc_id long, start long, length long, doc_tokens long, ids binary")
-    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)).cast("long"))
+                             "doc_id long, start long, length long, doc_tokens long, ids binary, number long")
+    dealt = pieces.withColumn("group", F.pmod(F.xxhash64("number", F.lit(seed)), F.lit(groups)).cast("long")).drop("number")
     return dealt.repartition(min(groups, 4 * partitions(spark)), "group").groupBy("group").applyInArrow(
         _pack(length, id_type(tokenizer).str),
         "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
