@@ -366,15 +366,40 @@ def _buckets(reps: DataFrame, cfg: DedupConfig) -> DataFrame:
     return _bands(reps, cfg).select(F.xxhash64("band", "bh").alias("key"), IDX)
 
 
+def _near(pairs: DataFrame, firsts: DataFrame, cfg: DedupConfig) -> DataFrame:
+    """The similar ones of (lead, index) pairs."""
+    return _similar(pairs.select(F.col("lead").alias("i"), F.col(IDX).alias("j")), firsts, cfg).select(
+        F.col("i").alias("lead"), F.col("j").alias(IDX))
+
+
+def leaders(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
+    """(index, leader) of every row that the near-duplicate rule drops: the
+    smallest kept row it is similar to; of a copy (equal representation), its
+    first one or that one's leader.  A row is compared with the kept rows of its
+    buckets only, so a group of copies costs its size and not its square."""
+    fp = fingerprint(df, cfg.squeeze_punct).filter(F.col("content_hash").isNotNull())
+    reps = _reps(fp, cfg)
+    firsts = reps.filter(~F.col("_copy"))
+    buckets = reliable_checkpoint(_buckets(firsts, cfg).distinct())
+    dropped = reliable_checkpoint(leader_rounds(buckets, lambda pairs: _near(pairs, firsts, cfg)).distinct())
+    members = buckets.join(dropped, IDX, "left_semi")
+    kept = buckets.join(dropped, IDX, "left_anti").withColumnRenamed(IDX, "lead")
+    pairs = kept.join(members, "key").where(F.col("lead") < F.col(IDX)).select("lead", IDX).distinct()
+    led = reliable_checkpoint(_near(pairs, firsts, cfg).groupBy(IDX).agg(F.min("lead").alias("leader")))
+    first_copy = firsts.select("_rep_key", F.col(IDX).alias("first"))
+    copies = (reps.where("_copy").select(IDX, "_rep_key").join(first_copy, "_rep_key")
+              .join(led.select(F.col(IDX).alias("first"), "leader"), "first", "left")
+              .select(IDX, F.coalesce("leader", "first").alias("leader")))
+    return led.unionByName(copies)
+
+
 def annotate_near(df: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
     """All rows with text, fingerprinted, with ``is_duplicate`` by the
     near-duplicate rule (first occurrence wins)."""
     fp = fingerprint(df, cfg.squeeze_punct).filter(F.col("content_hash").isNotNull())
     reps = _reps(fp, cfg)
     firsts = reps.filter(~F.col("_copy"))
-    dropped = leader_rounds(_buckets(firsts, cfg), lambda pairs: _similar(
-        pairs.select(F.col("lead").alias("i"), F.col(IDX).alias("j")), firsts, cfg).select(
-            F.col("i").alias("lead"), F.col("j").alias(IDX)))
+    dropped = leader_rounds(_buckets(firsts, cfg), lambda pairs: _near(pairs, firsts, cfg))
     decided = (reps.select(IDX, "_copy").join(dropped.withColumn("_dropped", F.lit(True)), IDX, "left")
                .select(IDX, (F.col("_copy") | F.coalesce("_dropped", F.lit(False))).alias("is_duplicate")))
     return fp.join(decided, IDX, "inner")

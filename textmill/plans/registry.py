@@ -351,6 +351,29 @@ def q_dedup_greedy(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.annotate_near(tables.documents(spark, sf), _exact_cfg()).select("original_index", "is_duplicate")
 
 
+@register("dedup_leaders", f"""
+WITH RECURSIVE {_SH.strip()},
+nodes AS (SELECT v, row_number() OVER (ORDER BY v) AS rn FROM (SELECT i AS v FROM edges UNION SELECT j FROM edges)),
+walk(rn, kept) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT n.rn,
+         CASE WHEN len(list_filter(w.kept, lambda x: list_contains(n.nb, x))) > 0 THEN w.kept
+              ELSE list_append(w.kept, n.v) END
+  FROM walk w JOIN (SELECT nodes.v, nodes.rn, coalesce((SELECT list(e.i) FROM edges e WHERE e.j = nodes.v), []) AS nb FROM nodes) n
+    ON n.rn = w.rn + 1),
+final AS (SELECT kept FROM walk ORDER BY rn DESC LIMIT 1),
+gone AS (SELECT v FROM nodes WHERE NOT list_contains((SELECT kept FROM final), v)),
+led AS (SELECT j AS doc_id, min(i) AS leader FROM edges WHERE j IN (SELECT v FROM gone) AND i NOT IN (SELECT v FROM gone) GROUP BY j),
+firsts AS (SELECT k, min(doc_id) AS first FROM reps GROUP BY k)
+SELECT doc_id AS original_index, leader FROM led
+UNION ALL SELECT reps.doc_id, coalesce(led.leader, first) FROM reps JOIN firsts USING (k) LEFT JOIN led ON led.doc_id = first WHERE copy
+""")
+def q_dedup_leaders(spark: SparkSession, sf: str) -> DataFrame:
+    """Members with their leaders: no pairs of members are listed."""
+    return dedup.leaders(tables.documents(spark, sf), _exact_cfg())
+
+
 @register("dedup_minhash")
 def q_dedup_minhash(spark: SparkSession, sf: str) -> DataFrame:
     from ..config import DedupConfig
