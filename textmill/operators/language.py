@@ -72,6 +72,11 @@ def shares(dist: DataFrame) -> DataFrame:
                        .otherwise(F.lit(0.0)).alias("share"))
 
 
+def keep_target(df: DataFrame, target: str, lang_col: str = "language") -> DataFrame:
+    """Rows of the target language."""
+    return df.where(F.col(lang_col) == F.lit(target))
+
+
 def target_share(df: DataFrame, target: str, lang_col: str = "language") -> DataFrame:
     return df.agg(F.avg((F.col(lang_col) == F.lit(target)).cast("double")).alias("target_share"))
 

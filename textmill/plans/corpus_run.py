@@ -141,7 +141,7 @@ def run(spark: SparkSession, sf_dir: str | None = None, target_language: str = "
         res.tables["language_distribution"] = language.distribution(loaded)
     n = res.figures["load_language"]["kept_samples"]
 
-    cleaned, seen = stages.write("clean", lambda: cleaning.annotate(loaded.where(wanted), clean_cfg), n, cleaning.metric_columns())
+    cleaned, seen = stages.write("clean", lambda: cleaning.annotate(language.keep_target(loaded, target_language), clean_cfg), n, cleaning.metric_columns())
     res.tables["clean_drops"] = report_run.counts_of(spark, seen, "reason", "drop_reason")
 
     safe, seen = stages.write("safety", lambda: safety.annotate(cleaning.kept(cleaned), safety_cfg, blocklist=blocklist),

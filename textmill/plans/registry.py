@@ -1183,6 +1183,43 @@ def q_summary_table(spark: SparkSession, sf: str) -> DataFrame:
     return report.summary_table({"dedup": m}, r["total_samples"], r["kept_samples"])
 
 
+@register("safety_disabled", _toxicity_sql("SELECT 1 AS dummy").replace("WHERE tag IN ('suspect', 'unknown')", "WHERE tag <> 'empty'")
+          .replace("\nSELECT 1 AS dummy", f"""
+, piis AS (SELECT d.doc_id, {_pii_list_sql('d')} AS pii_all FROM documents d)
+SELECT d.doc_id AS original_index, CAST(NULL AS VARCHAR) AS drop_reason, CASE WHEN tg.tag = 'empty' THEN 'safe' ELSE tg.tag END AS tag,
+       coalesce(tot.score >= 1.5, false) AS is_toxic, coalesce(round(tot.score, 3), 0.0) AS score,
+       CASE WHEN d.text IS NULL OR d.text = '' THEN []::VARCHAR[] ELSE pii_all END AS pii_types
+FROM documents d JOIN tg ON tg.doc_id = d.doc_id LEFT JOIN tot ON tot.doc_id = d.doc_id JOIN piis ON piis.doc_id = d.doc_id
+"""))
+def q_safety_disabled(spark: SparkSession, sf: str) -> DataFrame:
+    """Everything is annotated, also what the prefilter would skip, and nothing is dropped."""
+    from ..config import SafetyConfig
+    from ..operators import safety
+    return safety.annotate(tables.documents(spark, sf), SafetyConfig(enabled=False)).select(
+        "original_index", "drop_reason", "prefilter.tag", "toxicity.is_toxic", "toxicity.score", "pii.pii_types")
+
+
+@register("target_filter", "SELECT doc_id AS original_index, text, lang AS language FROM documents WHERE lang = 'en'")
+def q_target_filter(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import language
+    return language.keep_target(tables.documents(spark, sf), "en").select("original_index", "text", "language")
+
+
+@register("metrics_sink", f"""
+WITH m AS ({ORACLE["dedup_metrics"]})
+SELECT * FROM m, (SELECT unnest(['csv', 'json']) AS kind)
+""")
+def q_metrics_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Stage metrics written as JSON and flat CSV and read back."""
+    from ..session import scratch_path
+    from ..sources import sinks
+    path = scratch_path(spark, "metrics")
+    m = dedup.metrics(dedup.annotate_exact(tables.documents(spark, sf)))
+    sinks.write_metrics(m, path)
+    csv = spark.read.option("header", "true").schema(m.schema).csv(f"{path}/csv").withColumn("kind", F.lit("csv"))
+    return csv.unionByName(spark.read.schema(m.schema).json(f"{path}/json").withColumn("kind", F.lit("json")))
+
+
 # --------------------------------------------------------------------------- H15: the report of a run
 
 _REPORT_SQL = f"""
