@@ -183,3 +183,18 @@ def test_groups_stay_bounded_without_ids(spark):
     pieces = packing.pack(docs, BYTE)
     sizes = [r.n for r in pieces.groupBy((F.col("sequence_id") / (1 << 32)).cast("long").alias("g")).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == 30_000 and len(sizes) >= 7 and max(sizes) < 1.3 * packing.GROUP_PIECES
+
+
+def test_pieces_that_go_are_learned_again():
+    """Thinned between batches, the ids stay those of whole texts."""
+    e, rng = Encoder(BYTE), np.random.default_rng(3)
+    for _ in range(6):
+        texts = [" ".join(f"w{rng.integers(60)}" for _ in range(rng.integers(0, 30))) for _ in range(20)] + ["the same words", ""]
+        for lo in (0, 11):
+            raw = [t.encode() for t in texts[lo: lo + 11]]
+            data, offs = np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+            ids, ends = e.encode(data, offs)
+            assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [ids_of(BYTE, t) for t in texts[lo: lo + 11]]
+        before = len(e.names)
+        e.thin()
+        assert 0 < len(e.names) < before

@@ -81,6 +81,17 @@ class Encoder:
         self.at = self.n = self.met = np.empty(0, dtype=np.int32)  # place and number of ids, slices met in
         self.pool = np.empty(0, dtype=np.uint32)
 
+    def _keep(self, keep: np.ndarray) -> None:
+        size, at = self.n[keep], self.at[keep]
+        self.pool = self.pool[np.repeat(at, size) + ragged(size)]
+        self.names, self.n = self.names[keep], size
+        self.at = (np.cumsum(size) - size).astype(np.int32)
+
+    def thin(self) -> None:
+        """Keep the pieces met in several slices since the last time."""
+        self._keep(self.met > 1)
+        self.met = np.zeros(len(self.names), dtype=np.int32)
+
     def _added(self, data: np.ndarray, offs: np.ndarray) -> list[tuple[int, int]]:
         """Byte spans of added tokens' strings inside rows, from left to right."""
         raw, out, at = data.tobytes(), [], 0
@@ -139,10 +150,8 @@ class Encoder:
             keep = (self.met > 1) | np.isin(self.names, used)
             if keep.sum() + len(names) > KEPT_PIECES:
                 keep = np.isin(self.names, used)
-            size, at = self.n[keep], self.at[keep]
-            self.pool = self.pool[np.repeat(at, size) + ragged(size)]
-            self.names, self.n, self.met = self.names[keep], size, np.ones(len(size), dtype=np.int32)
-            self.at = (np.cumsum(size) - size).astype(np.int32)
+            self._keep(keep)
+            self.met = np.ones(len(self.names), dtype=np.int32)
         at = (np.cumsum(n) - n + len(self.pool)).astype(np.int32)
         where = np.searchsorted(self.names, names)  # both are sorted
         self.names = np.insert(self.names, where, names)
@@ -178,16 +187,16 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder of a file; its pieces are kept until ``forget``."""
+    """The worker's encoder of a file."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
 
 
 def forget() -> None:
-    """Drop the worker's pieces, at the end of a task; the tokenizers stay."""
+    """Drop the worker's rare pieces, at the end of a task."""
     for e in _ENCODERS.values():
-        e._forget()
+        e.thin()
 
 
 def id_type(path: str) -> np.dtype:
@@ -196,7 +205,7 @@ def id_type(path: str) -> np.dtype:
 
 
 def encodes(run):
-    """A batch function that encodes: its pieces go when its task ends."""
+    """A batch function that encodes: rare pieces go when its task ends."""
     @functools.wraps(run)
     def forgetting(batches):
         try:
