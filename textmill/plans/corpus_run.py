@@ -151,8 +151,10 @@ def run(spark: SparkSession, sf_dir: str | None = None, target_language: str = "
     res.tables["flagged_tokens"] = safety.flagged_token_top(safe)
     res.tables["pii_type_counts"] = report_run.counts_of(spark, seen, "pii", "pii_type")
 
-    unique, seen = stages.write("dedup", lambda: dedup.deduplicate(safety.kept(safe), dedup_cfg), seen["kept_samples"],
-                                dedup.metric_columns())
+    # what later stages do not read is not written again; without the safety stage the report reads its columns
+    safe_rows = safety.kept(safe).drop(*["prefilter", "toxicity"] * safety_cfg.enabled)
+    unique, seen = stages.write("dedup", lambda: dedup.deduplicate(safe_rows, dedup_cfg).drop("canonical_text"),
+                                seen["kept_samples"], dedup.metric_columns())
     res.tables["dedup_metrics"] = report_run.one_row(spark, seen)
 
     tokenised, seen = stages.write("tokenize", lambda: tokens.annotate(unique.where(~F.col("is_duplicate")), token_cfg),
