@@ -202,8 +202,10 @@ def similar_rows(names, block: np.ndarray, threshold: float) -> tuple[np.ndarray
         cells = np.zeros((rows, min(width, int(some.sum()) - first)), dtype=np.float32)
         cells[row[x:y], column[x:y] - first] = 1
         both += cells[left] @ cells[right].T if cross else cells @ cells.T
-    both = both.astype(np.float64)
-    union = n[left][:, None] + n[right][None, :] - both
-    a, b = np.nonzero(np.where(union == 0, 1.0, both / np.maximum(union, 1)) > threshold)
-    a, b = left[a], right[b]
+    found = []
+    for i, row in enumerate(both):
+        row = row.astype(np.float64)
+        union = n[left[i]] + n[right] - row
+        found.append(np.flatnonzero(np.where(union == 0, 1.0, row / np.maximum(union, 1)) > threshold))
+    a, b = np.repeat(left, [len(x) for x in found]), right[np.concatenate(found)]
     return (np.concatenate([a, b]), np.concatenate([b, a])) if cross else (a[a != b], b[a != b])
